@@ -60,6 +60,13 @@ def _line_counts() -> dict[str, Column]:
 ALT_COUNTS = ["goals", "assists", "penalty_goals", "shots_on_target"]
 
 
+def orders_as_of(spark: SparkSession, sf_dir: str, as_of: str | None = None) -> DataFrame:
+    """Orders placed before ``as_of`` (a snapshot of the history); the date
+    filter is pushed into the Parquet scan."""
+    o = table(spark, sf_dir, "orders")
+    return o if as_of is None else o.filter(F.col("o_orderdate") < F.to_timestamp(F.lit(as_of)))
+
+
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-order partial aggregate of line items (one row per order)."""
     li = table(spark, sf_dir, "lineitem")
@@ -71,10 +78,10 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.groupBy("l_orderkey").agg(*aggs)
 
 
-def customer_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def customer_metrics(spark: SparkSession, sf_dir: str, as_of: str | None = None) -> DataFrame:
     """Per-customer raw counts, including the alternate-competition subset."""
     per_order = order_lines(spark, sf_dir)
-    orders = table(spark, sf_dir, "orders").select(
+    orders = orders_as_of(spark, sf_dir, as_of).select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     j = per_order.join(orders, per_order.l_orderkey == orders.o_orderkey)
     alt = F.col("o_orderpriority") == ALT_PRIORITY
@@ -90,17 +97,17 @@ def customer_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.groupBy(F.col("o_custkey").alias("custkey")).agg(*aggs)
 
 
-def latest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def latest_orders(spark: SparkSession, sf_dir: str, as_of: str | None = None) -> DataFrame:
     """E1 on the valuation history: latest order per customer (ties: higher key)."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
+    o = orders_as_of(spark, sf_dir, as_of).select("o_orderkey", "o_custkey", "o_orderdate",
                                               "o_totalprice")
     return latest_per_key(o, ["o_custkey"], "o_orderdate", [F.col("o_orderkey").desc()])
 
 
-def standings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def standings(spark: SparkSession, sf_dir: str, as_of: str | None = None) -> DataFrame:
     """League tables: league = region, team = nation; W/D/L = order status F/O/P
     of the nation's customers; position by points then team id."""
-    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus")
+    orders = orders_as_of(spark, sf_dir, as_of).select("o_custkey", "o_orderstatus")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     per_nation = (orders.join(cust, orders.o_custkey == cust.c_custkey)
                         .groupBy("c_nationkey")
@@ -135,14 +142,15 @@ def _ratio(num: str, den: str = "n_li") -> Column:
     return F.lit(100.0) * F.col(num) / F.col(den)
 
 
-def silver_players(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Current-snapshot analog of the Silver player table (suffix lineage kept)."""
+def silver_players(spark: SparkSession, sf_dir: str, as_of: str | None = None) -> DataFrame:
+    """Snapshot analog of the merged player table (suffix lineage kept), from
+    orders placed before ``as_of`` (all orders when None)."""
     cust = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = table(spark, sf_dir, "region")
-    m = customer_metrics(spark, sf_dir)
-    latest = latest_orders(spark, sf_dir)
-    ranks = standings(spark, sf_dir).select(F.col("team_id").alias("__tid"),
+    m = customer_metrics(spark, sf_dir, as_of)
+    latest = latest_orders(spark, sf_dir, as_of)
+    ranks = standings(spark, sf_dir, as_of).select(F.col("team_id").alias("__tid"),
                                             F.col("position").alias("__rank"))
     idx = F.pmod(F.col("c_custkey"), F.lit(9)).cast("int")
     pos_arr = F.array(*[F.lit(p) for p in POSITIONS])
@@ -203,5 +211,5 @@ def valuation_history(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("o_orderkey"))
 
 
-__all__ = ["POSITIONS", "order_lines", "customer_metrics", "latest_orders", "standings",
+__all__ = ["POSITIONS", "orders_as_of", "order_lines", "customer_metrics", "latest_orders", "standings",
            "silver_players", "valuation_history"]

@@ -1,8 +1,8 @@
 """Registered queries over the driver tables: each takes (spark, sf_dir) and
 returns a lazy DataFrame whose column names match its oracle SQL."""
 
-from queries import core
+from queries import core, silver
 
 REGISTRY = {}
-for _mod in (core,):
+for _mod in (core, silver):
     REGISTRY.update(_mod.QUERIES)

@@ -71,34 +71,41 @@ SFS_COUNTS = ["goals", "assists", "penalty_goals", "shots_on_target", "possessio
               "dribbled_past"]
 
 
-def standings_ctes() -> str:
-    return """
-pn AS (
+def orders_src(as_of: str | None) -> str:
+    if as_of is None:
+        return "orders"
+    return f"(SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '{as_of} 00:00:00')"
+
+
+def standings_ctes(sfx: str = "", as_of: str | None = None) -> str:
+    return f"""
+pn{sfx} AS (
   SELECT c_nationkey, COUNT(*) AS matches,
          COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS wins,
          COUNT(*) FILTER (WHERE o_orderstatus = 'O') AS draws,
          COUNT(*) FILTER (WHERE o_orderstatus = 'P') AS losses
-  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey),
-st0 AS (
+  FROM {orders_src(as_of)} o JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey),
+st0{sfx} AS (
   SELECT r_name AS league_name, CAST(n_nationkey AS BIGINT) AS team_id, n_name AS team_name,
          coalesce(matches, 0) AS matches, coalesce(wins, 0) AS wins,
          coalesce(draws, 0) AS draws, coalesce(losses, 0) AS losses
   FROM nation JOIN region ON n_regionkey = r_regionkey
-  LEFT JOIN pn ON n_nationkey = pn.c_nationkey),
-st1 AS (
+  LEFT JOIN pn{sfx} pn ON n_nationkey = pn.c_nationkey),
+st1{sfx} AS (
   SELECT *, wins * 2 + draws AS goals_scored, losses * 2 + draws AS goals_conceded,
          wins * 3 + draws AS points,
-         (wins * 2 + draws) - (losses * 2 + draws) AS goal_diff FROM st0),
-standings AS (
+         (wins * 2 + draws) - (losses * 2 + draws) AS goal_diff FROM st0{sfx}),
+standings{sfx} AS (
   SELECT league_name, team_id, team_name,
          CAST(row_number() OVER (PARTITION BY league_name ORDER BY points DESC, team_id ASC)
               AS BIGINT) AS position,
          matches, wins, draws, losses, goals_scored, goals_conceded, goal_diff, points
-  FROM st1)"""
+  FROM st1{sfx})"""
 
 
-def silver_ctes() -> str:
-    """CTEs ending in ``sp``: the Silver player analog (one row per customer)."""
+def silver_ctes(sfx: str = "", as_of: str | None = None) -> str:
+    """CTEs ending in ``sp<sfx>``: the player snapshot analog (one row per
+    customer) from orders before ``as_of``."""
     ol_counts = ",\n         ".join(
         f"COUNT(*) FILTER (WHERE {cond}) AS {name}" for name, cond in LINE_COUNTS.items())
     cm_sums = ",\n         ".join(f"CAST(SUM({n}) AS BIGINT) AS {n}" for n in LINE_COUNTS)
@@ -112,12 +119,12 @@ def silver_ctes() -> str:
         return f"{dbl(100.0)} * {num} / n_li"
 
     return f"""
-ol AS (
+ol{sfx} AS (
   SELECT l_orderkey, COUNT(*) AS n_li, SUM(l_quantity) AS qty,
          SUM(round(l_discount * 100)) AS disc_pts, SUM(round(l_tax * 100)) AS tax_pts,
          {ol_counts}
   FROM lineitem GROUP BY l_orderkey),
-cm AS (
+cm{sfx} AS (
   SELECT o_custkey AS custkey, CAST(SUM(n_li) AS BIGINT) AS n_li, SUM(qty) AS qty,
          SUM(disc_pts) AS disc_pts, SUM(tax_pts) AS tax_pts,
          COUNT(*) AS appearances,
@@ -125,15 +132,15 @@ cm AS (
          CAST(SUM(CASE WHEN {alt} THEN n_li ELSE 0 END) AS BIGINT) AS n_li_alt,
          {cm_sums},
          {cm_alt}
-  FROM ol JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey),
-lo AS (
+  FROM ol{sfx} JOIN {orders_src(as_of)} o ON l_orderkey = o_orderkey GROUP BY o_custkey),
+lo{sfx} AS (
   SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM (
     SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice,
            row_number() OVER (PARTITION BY o_custkey
                               ORDER BY o_orderdate DESC NULLS FIRST, o_orderkey DESC) AS rn
-    FROM orders) WHERE rn = 1),
-{standings_ctes()},
-sp AS (
+    FROM {orders_src(as_of)} o) WHERE rn = 1),
+{standings_ctes(sfx, as_of)},
+sp{sfx} AS (
   SELECT printf('PLR_%05d', c_custkey + 1) AS internal_player_id,
          CAST(c_custkey AS VARCHAR) AS id_sfs,
          c_name AS name_sfs_raw,
@@ -167,9 +174,9 @@ sp AS (
   FROM customer
   LEFT JOIN nation ON c_nationkey = n_nationkey
   LEFT JOIN region ON n_regionkey = r_regionkey
-  LEFT JOIN cm ON c_custkey = cm.custkey
-  LEFT JOIN lo ON c_custkey = lo.o_custkey
-  LEFT JOIN standings st ON CAST(c_nationkey AS BIGINT) = st.team_id)"""
+  LEFT JOIN cm{sfx} cm ON c_custkey = cm.custkey
+  LEFT JOIN lo{sfx} lo ON c_custkey = lo.o_custkey
+  LEFT JOIN standings{sfx} st ON CAST(c_nationkey AS BIGINT) = st.team_id)"""
 
 
 def group_sql(col: str) -> str:
@@ -256,3 +263,48 @@ gold AS (
 
 def with_ctes(*parts: str, body: str) -> str:
     return "WITH " + ",".join(p.strip("\n").rstrip(",") for p in parts) + "\n" + body
+
+
+# ----------------------------------------------------------------- SCD2
+TRACKED = ["goals_sfs", "assists_sfs", "market_value_tm", "team_sfs", "team_tm"]
+NUMERIC_TRACKED = {"goals_sfs", "assists_sfs", "market_value_tm"}
+
+
+def scd2_step_ctes(prev: str | None, snap: str, run_date: str, out: str,
+                   key: str = "internal_player_id", tracked=TRACKED) -> str:
+    """CTE ``out``: the history after loading snapshot ``snap`` on ``run_date``."""
+    if prev is None:
+        return f"""
+{out} AS (
+  SELECT *, TRUE AS is_current, DATE '{run_date}' AS valid_from, CAST(NULL AS DATE) AS valid_to
+  FROM {snap} WHERE {key} IS NOT NULL)"""
+    diffs = []
+    for c in tracked:
+        if c in NUMERIC_TRACKED:
+            diffs.append(f"coalesce(CAST(s.{c} AS DOUBLE), -1.0) <> coalesce(CAST(c.{c} AS DOUBLE), -1.0)")
+        else:
+            diffs.append(f"coalesce(s.{c}, '') <> coalesce(c.{c}, '')")
+    any_diff = " OR ".join(diffs)
+    return f"""
+{out}_tag AS (
+  SELECT s.*, CASE WHEN k.{key} IS NULL THEN 'new'
+                   WHEN c.{key} IS NOT NULL AND ({any_diff}) THEN 'changed'
+                   ELSE 'unchanged' END AS __status
+  FROM {snap} s
+  LEFT JOIN (SELECT DISTINCT {key} FROM {prev}) k ON s.{key} = k.{key}
+  LEFT JOIN (SELECT * FROM {prev} WHERE is_current) c ON s.{key} = c.{key}
+  WHERE s.{key} IS NOT NULL),
+{out}_cur AS (
+  SELECT p.*, p.{key} IN (SELECT {key} FROM {out}_tag WHERE __status = 'changed') AS __chg
+  FROM {prev} p WHERE is_current),
+{out} AS (
+  SELECT * FROM {prev} WHERE NOT is_current
+  UNION ALL BY NAME
+  SELECT * EXCLUDE (__chg) REPLACE (
+           CASE WHEN __chg THEN DATE '{run_date}' ELSE valid_to END AS valid_to,
+           CASE WHEN __chg THEN FALSE ELSE is_current END AS is_current)
+  FROM {out}_cur WHERE NOT (__chg AND valid_from = DATE '{run_date}')
+  UNION ALL BY NAME
+  SELECT * EXCLUDE (__status), TRUE AS is_current, DATE '{run_date}' AS valid_from,
+         CAST(NULL AS DATE) AS valid_to
+  FROM {out}_tag WHERE __status IN ('new', 'changed'))"""
