@@ -101,10 +101,9 @@ def season_bounds(col, run_year: Column | None = None) -> tuple[Column, Column]:
     """
     c = _col(col)
     parts = F.split(c, "-")
-    ok = (F.size(parts) == 2) & F.try_cast(parts[0], "int").isNotNull() & \
-        F.try_cast(parts[1], "int").isNotNull()
-    y0 = F.try_cast(parts[0], "int")
-    y1 = F.try_cast(parts[1], "int")
+    y0 = F.get(parts, 0).try_cast("int")
+    y1 = F.get(parts, 1).try_cast("int")
+    ok = (F.size(parts) == 2) & y0.isNotNull() & y1.isNotNull()
     ry = run_year if run_year is not None else F.year(F.current_date())
     start = F.when(ok, F.make_date(y0, F.lit(8), F.lit(1))).otherwise(
         F.make_date(ry, F.lit(8), F.lit(1)))

@@ -65,7 +65,7 @@ def contract_report(df: DataFrame, rules: list[Rule]) -> DataFrame:
             aggs.append(F.count_if(c.isNull()).cast("bigint"))
             labels.append((r.column, "not_null"))
         if r.dtype == "double" and r.coerce and isinstance(dt, T.StringType):
-            aggs.append(F.count_if(c.isNotNull() & F.try_cast(c, "double").isNull())
+            aggs.append(F.count_if(c.isNotNull() & c.try_cast("double").isNull())
                         .cast("bigint"))
             labels.append((r.column, "coercible"))
     spark = df.sparkSession

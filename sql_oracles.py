@@ -308,3 +308,82 @@ def scd2_step_ctes(prev: str | None, snap: str, run_date: str, out: str,
   SELECT * EXCLUDE (__status), TRUE AS is_current, DATE '{run_date}' AS valid_from,
          CAST(NULL AS DATE) AS valid_to
   FROM {out}_tag WHERE __status IN ('new', 'changed'))"""
+
+
+# ------------------------------------------------------------------ star
+def ladder_sql(p: str = "") -> str:
+    return (f"COALESCE({p}sub_position_tm, {p}position_tm, CASE {p}position_sfs "
+            "WHEN 'G' THEN 'Goalkeeper' WHEN 'D' THEN 'Defender' WHEN 'M' THEN 'Midfielder' "
+            "WHEN 'F' THEN 'Forward' ELSE 'Unknown' END)")
+
+
+def general_position_sql(col: str) -> str:
+    low = f"lower(coalesce({col}, 'none'))"
+    return (f"CASE WHEN {low} LIKE '%forward%' OR {low} LIKE '%wing%' OR {low} LIKE '%striker%' "
+            f"THEN 'Attack' WHEN {low} LIKE '%midfield%' THEN 'Midfield' "
+            f"WHEN {low} LIKE '%back%' OR {low} LIKE '%defender%' THEN 'Defender' "
+            f"WHEN {low} LIKE '%goalkeeper%' THEN 'Goalkeeper' ELSE 'Unknown' END")
+
+
+def country_sql(col: str) -> str:
+    from pitchforge.functions.positions import LEAGUE_COUNTRY
+    parts = " ".join(f"WHEN {col} = '{k}' THEN '{v}'" for k, v in LEAGUE_COUNTRY.items())
+    return f"CASE {parts} ELSE 'Unknown' END"
+
+
+def star_ctes(h: str) -> str:
+    """dims dp, dt, dpos, dtour, dseas and fact over history ``h``; needs ``gold``."""
+    return f"""
+dp AS (
+  SELECT CAST(row_number() OVER (ORDER BY internal_player_id ASC NULLS LAST,
+                                 valid_from ASC NULLS LAST) AS BIGINT) AS player_key,
+         internal_player_id, name_sfs_raw AS name, CAST(NULL AS VARCHAR) AS dob,
+         {ladder_sql()} AS sub_position, CAST(market_value_tm AS DOUBLE) AS current_market_value,
+         is_current, valid_from, valid_to
+  FROM {h}),
+dt AS (
+  SELECT CAST(row_number() OVER (ORDER BY name) AS BIGINT) AS team_key, name,
+         upper(substr(name, 1, 3)) AS short_name, '#000000' AS primary_color,
+         '#FFFFFF' AS secondary_color
+  FROM (SELECT team_sfs AS name FROM {h} WHERE team_sfs IS NOT NULL
+        UNION SELECT team_tm AS name FROM {h} WHERE team_tm IS NOT NULL)),
+dpos AS (
+  SELECT CAST(row_number() OVER (ORDER BY name) AS BIGINT) AS position_key, name,
+         {general_position_sql('name')} AS general_position, '{{}}' AS role_weights
+  FROM (SELECT DISTINCT {ladder_sql()} AS name FROM {h}
+        WHERE sub_position_tm IS NOT NULL OR position_tm IS NOT NULL OR position_sfs IS NOT NULL)),
+dtour AS (
+  SELECT CAST(row_number() OVER (ORDER BY name) AS BIGINT) AS tournament_key, name,
+         {country_sql('name')} AS country
+  FROM (SELECT DISTINCT league_sfs AS name FROM {h} WHERE league_sfs IS NOT NULL AND is_current)),
+dseas AS (
+  SELECT CAST(row_number() OVER (ORDER BY name) AS BIGINT) AS season_key, name,
+         make_date(CAST(split_part(name, '-', 1) AS INTEGER), 8, 1) AS start_date,
+         make_date(CAST(split_part(name, '-', 2) AS INTEGER), 5, 31) AS end_date
+  FROM (SELECT DISTINCT season_sfs AS name FROM {h} WHERE season_sfs IS NOT NULL AND is_current)),
+fact AS (
+  SELECT p.player_key, t.team_key, coalesce(tr.tournament_key, 1) AS tournament_key,
+         coalesce(se.season_key, 1) AS season_key, pos.position_key,
+         CAST(c.goals_sfs AS DOUBLE) AS goals, CAST(c.assists_sfs AS DOUBLE) AS assists,
+         g.final_scout_score
+  FROM (SELECT * FROM {h} WHERE is_current) c
+  LEFT JOIN (SELECT internal_player_id, player_key FROM dp WHERE is_current) p
+         ON c.internal_player_id = p.internal_player_id
+  LEFT JOIN dt t ON coalesce(c.team_sfs, c.team_tm) = t.name
+  LEFT JOIN dpos pos ON {ladder_sql('c.')} = pos.name
+  LEFT JOIN dtour tr ON c.league_sfs = tr.name
+  LEFT JOIN dseas se ON c.season_sfs = se.name
+  LEFT JOIN gold g ON c.internal_player_id = g.internal_player_id
+  WHERE p.player_key IS NOT NULL)"""
+
+
+def star_history_sql(n_runs: int, runs) -> tuple[list[str], str]:
+    ctes, prev = [], None
+    for i, (run_date, as_of) in enumerate(runs[:n_runs]):
+        ctes.append(silver_ctes(f"_{i}", as_of))
+        ctes.append(scd2_step_ctes(prev, f"sp_{i}", run_date, f"h{i}"))
+        prev = f"h{i}"
+    ctes.append(f"cur AS (SELECT * FROM {prev} WHERE is_current)")
+    ctes.append(rating_ctes("cur"))
+    ctes.append(star_ctes(prev))
+    return ctes, prev
