@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import sql_oracles as O
 from pitchforge.operators.aggregates import matched_counts
 from pitchforge.plans import analytics, rating, star
+from pitchforge.session import cut_lineage
 from queries.silver import RUNS, history_after
 
 STAR_RUNS = 2
@@ -16,8 +17,9 @@ RUN_YEAR = 2026
 
 
 def star_inputs(spark: SparkSession, d: str):
+    """History -> gold rating table (materialised, as the Gold layer is) -> star."""
     silver = history_after(spark, d, STAR_RUNS)
-    gold = rating.gold_rating(silver)
+    gold = cut_lineage(rating.gold_rating(silver), "gold-rating")
     return silver, gold, star.build_star(silver, gold, RUN_YEAR)
 
 
@@ -117,9 +119,10 @@ _SILVER_COLS = {
     "penalty_goals_cl_sfs"}
 
 
-def dashboard_sql(body: str) -> str:
+def dashboard_sql(body: str, *extra_ctes: str) -> str:
     ctes, _ = O.star_history_sql(STAR_RUNS, RUNS)
     ctes.append(dashboard_sql_cte())
+    ctes.extend(extra_ctes)
     return O.with_ctes(*ctes, body=body)
 
 
