@@ -80,7 +80,7 @@ DATE_FORMATS = ("yyyy-MM-dd", "yyyy/MM/dd", "dd/MM/yyyy", "MMM d, yyyy", "yyyy-M
 def lenient_date(col, formats=DATE_FORMATS) -> Column:
     """First format that parses; bad input -> null."""
     c = _col(col).cast("string")
-    return F.coalesce(*[F.try_to_date(c, F.lit(f)) for f in formats])
+    return F.coalesce(*[F.try_to_date(c, f) for f in formats])
 
 
 def iso_date_string(col) -> Column:

@@ -21,10 +21,12 @@ CORRUPT = "_corrupt_record"
 
 
 def read_documents(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                   name_glob: str | None = None, recursive: bool = False) -> DataFrame:
-    """Multi-line JSON documents with file name; broken files are kept as a
+                   name_glob: str | None = None, recursive: bool = False,
+                   multi_line: bool = True) -> DataFrame:
+    """JSON documents with file name; ``multi_line`` for one (pretty-printed)
+    document per file, else JSON lines.  Broken input is kept as a
     ``_corrupt_record`` row (A23) instead of failing the job."""
-    reader = (spark.read.option("multiLine", True).option("mode", "PERMISSIVE")
+    reader = (spark.read.option("multiLine", multi_line).option("mode", "PERMISSIVE")
                    .option("columnNameOfCorruptRecord", CORRUPT))
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)

@@ -14,14 +14,15 @@ from pyspark.sql import types as T
 
 
 def write_landing(df: DataFrame, root: str, source_col: str = "source",
-                  dt_col: str = "dt", fmt: str = "json") -> None:
+                  dt_col: str = "dt", fmt: str = "json", **options) -> None:
     """Append raw records partitioned by source and day.
 
     Rows are clustered by the partition columns first so each task writes a
     few large files per partition instead of one small file per task.
     """
     (df.repartition(source_col, dt_col)
-       .write.mode("append").partitionBy(source_col, dt_col).format(fmt).save(root))
+       .write.mode("append").partitionBy(source_col, dt_col).format(fmt).options(**options)
+       .save(root))
 
 
 def partition_values(spark: SparkSession, root: str, column: str = "dt") -> list[str]:
