@@ -1,8 +1,8 @@
 """Registered queries over the driver tables: each takes (spark, sf_dir) and
 returns a lazy DataFrame whose column names match its oracle SQL."""
 
-from queries import core, dashboard, silver, sources, star
+from queries import core, dashboard, misc, silver, sources, star
 
 REGISTRY = {}
-for _mod in (core, silver, star, dashboard, sources):
+for _mod in (core, silver, star, dashboard, sources, misc):
     REGISTRY.update(_mod.QUERIES)
