@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchforge.operators.dedupe import keep_last
+from pitchforge.session import cut_lineage
 
 SCD_COLS = ("is_current", "valid_from", "valid_to")
 
@@ -125,9 +126,18 @@ def enrich_non_tracked(result: DataFrame, new: DataFrame, key: str) -> DataFrame
 
 def scd2_load(new: DataFrame, silver: DataFrame | None, key: str, tracked: Sequence[str],
               run_date: Column, order: Sequence[str | Column] | None = None,
-              validate: Callable[[DataFrame], None] | None = None) -> DataFrame:
-    """Dedupe (keep last) -> contract -> detect -> apply -> enrich."""
+              validate: Callable[[DataFrame], None] | None = None,
+              materialize_input: bool = True) -> DataFrame:
+    """Dedupe (keep last) -> contract -> detect -> apply -> enrich.
+
+    The snapshot is read by the contract check, change detection and
+    enrichment; with ``materialize_input`` it is written once to the shared
+    checkpoint folder so an expensive upstream plan is not evaluated three
+    times.
+    """
     snapshot = keep_last(new, [key], order) if order else new
+    if materialize_input:
+        snapshot = cut_lineage(snapshot, "scd2-snapshot")
     if validate is not None:
         validate(snapshot)
     tagged = detect_changes(snapshot, silver, key, tracked)
