@@ -124,18 +124,19 @@ def null_safe_equal(a: Column, b: Column) -> Column:
 
 def bounded_broadcast_join(big: DataFrame, small: DataFrame, on: str | Sequence[str],
                            how: str = "left", max_rows: int = 1_000_000,
-                           name: str = "small-side") -> DataFrame:
+                           name: str = "small-side", materialized: bool = False) -> DataFrame:
     """Join ``big`` to a side whose size is checked before it is broadcast.
 
     ``small`` (an aggregate or dimension) is first written to the shared
     checkpoint folder, so counting it costs one read of that small output
     rather than recomputing it.  Under ``max_rows`` it is broadcast (the
     count is the proven bound); beyond it the join stays a shuffle join that
-    AQE can split when a key is hot.
+    AQE can split when a key is hot.  ``materialized=True`` skips the write
+    for a side that is already stored (e.g. a checkpointed dimension).
     """
     from pitchforge.session import cut_lineage
 
-    materialised = cut_lineage(small, name)
+    materialised = small if materialized else cut_lineage(small, name)
     if materialised.count() <= max_rows:
         materialised = F.broadcast(materialised)
     return big.join(materialised, on, how)

@@ -126,16 +126,16 @@ def build_fact(silver: DataFrame, dims: dict[str, DataFrame],
     fact = base.join(players, "internal_player_id", "left")
     fact = bounded_broadcast_join(
         fact, dims["team"].select(F.col("name").alias("__team"), "team_key"), "__team", "left",
-        name="dim-team")
+        name="dim-team", materialized=True)
     fact = bounded_broadcast_join(
         fact, dims["position"].select(F.col("name").alias("__pos"), "position_key"), "__pos",
-        "left", name="dim-position")
+        "left", name="dim-position", materialized=True)
     fact = bounded_broadcast_join(
         fact, dims["tournament"].select(F.col("name").alias("__league"), "tournament_key"),
-        "__league", "left", name="dim-tournament")
+        "__league", "left", name="dim-tournament", materialized=True)
     fact = bounded_broadcast_join(
         fact, dims["season"].select(F.col("name").alias("__season"), "season_key"),
-        "__season", "left", name="dim-season")
+        "__season", "left", name="dim-season", materialized=True)
     if rating is not None and "final_scout_score" in rating.columns:
         fact = fact.join(rating.select("internal_player_id", "final_scout_score"),
                          "internal_player_id", "left")
