@@ -126,7 +126,47 @@ def dashboard_sql(body: str, *extra_ctes: str) -> str:
     return O.with_ctes(*ctes, body=body)
 
 
+def q_constraint_audit(spark: SparkSession, d: str) -> DataFrame:
+    """Primary keys unique, foreign keys present, (id, valid_from) unique."""
+    from pitchforge.operators.contract import constraint_audit, duplicate_keys, orphan_keys
+    st = star_inputs(spark, d)[2]
+    f = st["fact"]
+    checks = {"dim_player_pk_unique": duplicate_keys(st["player"], ["player_key"]),
+              "dim_player_version_unique": duplicate_keys(st["player"],
+                                                          ["internal_player_id", "valid_from"]),
+              "dim_team_pk_unique": duplicate_keys(st["team"], ["team_key"]),
+              "fact_player_fk": orphan_keys(f, st["player"], "player_key", "player_key"),
+              "fact_team_fk": orphan_keys(f, st["team"], "team_key", "team_key"),
+              "fact_position_fk": orphan_keys(f, st["position"], "position_key", "position_key"),
+              "fact_tournament_fk": orphan_keys(f, st["tournament"], "tournament_key",
+                                                "tournament_key"),
+              "fact_season_fk": orphan_keys(f, st["season"], "season_key", "season_key"),
+              "fact_null_team": f.filter(F.col("team_key").isNull())}
+    return constraint_audit(spark, checks)
+
+
+SQL_CONSTRAINT_AUDIT = _sql("""
+SELECT 'dim_player_pk_unique' AS "check", (SELECT COUNT(*) FROM (SELECT player_key FROM dp
+       GROUP BY player_key HAVING COUNT(*) > 1)) AS failures
+UNION ALL SELECT 'dim_player_version_unique', (SELECT COUNT(*) FROM (SELECT 1 FROM dp
+       GROUP BY internal_player_id, valid_from HAVING COUNT(*) > 1))
+UNION ALL SELECT 'dim_team_pk_unique', (SELECT COUNT(*) FROM (SELECT 1 FROM dt GROUP BY team_key
+       HAVING COUNT(*) > 1))
+UNION ALL SELECT 'fact_player_fk', (SELECT COUNT(*) FROM fact WHERE player_key IS NOT NULL
+       AND player_key NOT IN (SELECT player_key FROM dp))
+UNION ALL SELECT 'fact_team_fk', (SELECT COUNT(*) FROM fact WHERE team_key IS NOT NULL
+       AND team_key NOT IN (SELECT team_key FROM dt))
+UNION ALL SELECT 'fact_position_fk', (SELECT COUNT(*) FROM fact WHERE position_key IS NOT NULL
+       AND position_key NOT IN (SELECT position_key FROM dpos))
+UNION ALL SELECT 'fact_tournament_fk', (SELECT COUNT(*) FROM fact WHERE tournament_key IS NOT NULL
+       AND tournament_key NOT IN (SELECT tournament_key FROM dtour))
+UNION ALL SELECT 'fact_season_fk', (SELECT COUNT(*) FROM fact WHERE season_key IS NOT NULL
+       AND season_key NOT IN (SELECT season_key FROM dseas))
+UNION ALL SELECT 'fact_null_team', (SELECT COUNT(*) FROM fact WHERE team_key IS NULL)""")
+
+
 QUERIES = {
+    "constraint_audit": (q_constraint_audit, SQL_CONSTRAINT_AUDIT),
     "dim_player": (q_dim("player"), _sql("SELECT * FROM dp")),
     "dim_team": (q_dim("team"), _sql("SELECT * FROM dt")),
     "dim_position": (q_dim("position"), _sql("SELECT * FROM dpos")),
