@@ -176,9 +176,10 @@ def star_top(star: dict[str, DataFrame], n: int = 15) -> DataFrame:
                .limit(n).drop("final_scout_score"))
 
 
-def schema_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """(table, column, type, role); ``*_key`` is PK in ``dim_*`` and FK
-    in ``fact*`` tables.  Built from schemas only."""
+def schema_report(tables: dict[str, DataFrame], with_stats: bool = True) -> DataFrame:
+    """(table, column, type, role) with ``*_key`` tagged PK in ``dim_*``
+    and FK in ``fact*`` tables; with ``with_stats`` each column also gets its
+    row and non-null counts, one aggregate pass per table."""
     rows = []
     for tname, df in tables.items():
         for pos, fld in enumerate(df.schema.fields):
@@ -195,7 +196,19 @@ def schema_report(tables: dict[str, DataFrame]) -> DataFrame:
                            T.StructField("data_type", T.StringType()),
                            T.StructField("role", T.StringType())])
     spark: SparkSession = next(iter(tables.values())).sparkSession
-    return spark.createDataFrame(rows, schema)
+    meta = spark.createDataFrame(rows, schema)
+    if not with_stats:
+        return meta
+    stats = None
+    for tname, df in tables.items():
+        cols = df.columns
+        wide = df.agg(F.count(F.lit(1)).alias("__rows"),
+                      *[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(cols)])
+        pairs = ", ".join(f"'{c.replace(chr(39), chr(39) * 2)}', c{i}" for i, c in enumerate(cols))
+        long = wide.selectExpr(f"'{tname}' AS table_name", "__rows AS n_rows",
+                               f"stack({len(cols)}, {pairs}) AS (column_name, non_null)")
+        stats = long if stats is None else stats.unionByName(long)
+    return meta.join(stats, ["table_name", "column_name"], "left")
 
 
 __all__ = ["dim_player", "dim_team", "dim_position", "dim_tournament", "dim_season",
