@@ -14,13 +14,19 @@ candidate pairs only (see ``operators.fuzzy``).
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The Arrow UDFs below are shipped to executors by value, so Python workers
+# need no copy of this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # ---------------------------------------------------------------------------
 # Transliterations that NFKD does not produce (letters without a
 # canonical decomposition).  Lower and upper case, in natural order.
