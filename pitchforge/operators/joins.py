@@ -120,8 +120,6 @@ def null_safe_equal(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
 
 
-
-
 def bounded_broadcast_join(big: DataFrame, small: DataFrame, on: str | Sequence[str],
                            how: str = "left", max_rows: int = 1_000_000,
                            name: str = "small-side", materialized: bool = False) -> DataFrame:

@@ -4,7 +4,7 @@ I18 I19 I28-I30)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 import sql_oracles as O
@@ -280,8 +280,7 @@ def q_registry_lookup(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").cast("string")
                                          .alias("cust_id"))
     reg = _registry(spark, d).withColumn("__ord", F.col("internal_id"))
-    return joins.registry_lookup(o, reg.withColumnRenamed("internal_id", "internal_id"),
-                                 "cust_id", "left_id", "internal_id", "__ord")
+    return joins.registry_lookup(o, reg, "cust_id", "left_id", "internal_id", "__ord")
 
 
 REGISTRY_SQL = """
