@@ -160,7 +160,10 @@ b AS (SELECT internal_player_id, player_name, market_value / 1000000.0 AS x,
 
 
 def q_history_order(spark, d):
-    return analytics.market_value_history(star_inputs(spark, d)[2]["player"])
+    from queries.silver import history_after
+    from queries.star import STAR_RUNS
+    from pitchforge.plans.star import dim_player
+    return analytics.market_value_history(dim_player(history_after(spark, d, STAR_RUNS)))
 
 
 SQL_HISTORY_ORDER = dashboard_sql("""

@@ -28,8 +28,17 @@ def _sql(body: str) -> str:
     return O.with_ctes(*ctes, body=body)
 
 
+DIM_BUILDERS = {"player": star.dim_player, "team": star.dim_team,
+                "position": star.dim_position, "tournament": star.dim_tournament,
+                "season": lambda s: star.dim_season(s, RUN_YEAR)}
+
+
 def q_dim(name):
+    """One dimension needs only the history; the fact needs every dimension
+    and the rating."""
     def run(spark, d):
+        if name in DIM_BUILDERS:
+            return DIM_BUILDERS[name](history_after(spark, d, STAR_RUNS))
         return star_inputs(spark, d)[2][name]
     run.__name__ = f"q_dim_{name}"
     return run
