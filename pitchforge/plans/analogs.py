@@ -78,9 +78,13 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.groupBy("l_orderkey").agg(*aggs)
 
 
-def customer_metrics(spark: SparkSession, sf_dir: str, as_of: str | None = None) -> DataFrame:
-    """Per-customer raw counts, including the alternate-competition subset."""
-    per_order = order_lines(spark, sf_dir)
+def customer_metrics(spark: SparkSession, sf_dir: str, as_of: str | None = None,
+                     per_order: DataFrame | None = None) -> DataFrame:
+    """Per-customer raw counts, including the alternate-competition subset.
+
+    ``per_order`` (the per-order line aggregate) does not depend on the
+    snapshot date, so several snapshots can share one materialised copy."""
+    per_order = per_order if per_order is not None else order_lines(spark, sf_dir)
     orders = orders_as_of(spark, sf_dir, as_of).select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     j = per_order.join(orders, per_order.l_orderkey == orders.o_orderkey)
@@ -142,13 +146,14 @@ def _ratio(num: str, den: str = "n_li") -> Column:
     return F.lit(100.0) * F.col(num) / F.col(den)
 
 
-def silver_players(spark: SparkSession, sf_dir: str, as_of: str | None = None) -> DataFrame:
+def silver_players(spark: SparkSession, sf_dir: str, as_of: str | None = None,
+                   per_order: DataFrame | None = None) -> DataFrame:
     """Snapshot analog of the merged player table (suffix lineage kept), from
     orders placed before ``as_of`` (all orders when None)."""
     cust = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = table(spark, sf_dir, "region")
-    m = customer_metrics(spark, sf_dir, as_of)
+    m = customer_metrics(spark, sf_dir, as_of, per_order)
     latest = latest_orders(spark, sf_dir, as_of)
     ranks = standings(spark, sf_dir, as_of).select(F.col("team_id").alias("__tid"),
                                             F.col("position").alias("__rank"))

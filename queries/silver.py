@@ -23,8 +23,10 @@ def history_after(spark: SparkSession, d: str, n_runs: int) -> DataFrame:
     """Load the first ``n_runs`` snapshots; each version is written to a new
     path in the shared folder before the next run reads it."""
     silver = None
+    # The per-order line aggregate is the same for every snapshot: build it once.
+    per_order = cut_lineage(analogs.order_lines(spark, d), "order-lines") if n_runs > 1 else None
     for run_date, as_of in RUNS[:n_runs]:
-        snap = analogs.silver_players(spark, d, as_of)
+        snap = analogs.silver_players(spark, d, as_of, per_order)
         result = scd2_load(snap, silver, KEY, TRACKED, run_date_col(run_date))
         silver = cut_lineage(result, "silver-version")
     return silver
