@@ -53,3 +53,14 @@ def test_envelope_chunks_by_split(spark):
 def test_keep_last_hot_key(spark):
     df = spark.range(0, 5000).select(F.lit(1).alias("k"), F.col("id").alias("pos"))
     assert keep_last(df, ["k"], ["pos"]).first().pos == 4999
+
+
+def test_no_single_partition_exchange(spark):
+    """Key registered queries never funnel rows through one partition."""
+    import __spark_entry__ as E
+    qs = E.queries()
+    for name in ["rating", "scd2_run2", "fuzzy_match", "dedupe_keep_last", "minmax_group",
+                 "text_norm", "json_explode_flatten"]:
+        plan = qs[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution() \
+                                                            .executedPlan().toString()
+        assert "SinglePartition" not in plan, name
