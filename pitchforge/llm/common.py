@@ -59,11 +59,23 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return cut_lineage(df, f"llm-{name}")
 
 
+#: Rows of a few numbers each that may be broadcast (tens of MB).
+BROADCAST_ROWS = 500_000
+
+
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A written narrow table, marked for broadcast only if it has at most ``rows`` rows.
+
+    Beyond that it stays as it is, and the join shuffles.
+    """
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def worker_state(name: str) -> dict:
     """A dict that lives as long as the Python worker, across tasks and queries."""
     home = sys.modules.setdefault("_llm_worker_state", types.ModuleType("_llm_worker_state"))
     return home.__dict__.setdefault(name, {})
 
 
-__all__ = ["prepare", "table", "narrow", "fresh", "with_row_id", "materialize", "worker_state",
+__all__ = ["prepare", "table", "narrow", "fresh", "with_row_id", "materialize", "small_side", "worker_state",
            "scratch_path", "BATCH_ROWS"]

@@ -15,6 +15,7 @@ stays null; an empty table gives no rows.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -188,15 +189,14 @@ def has_letter(text: str | None) -> bool:
 
 def identify(docs: DataFrame, model: ByteCNN | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (doc_id, lang_pred, score), one for each document."""
-    src = narrow(docs, doc_id=id_col, text=text_col)
-
-    def predict(batches):
-        for pdf in batches:
-            lang, score = identify_texts(pdf.text.tolist(), model)
-            yield pd.DataFrame({"doc_id": pdf.doc_id, "lang_pred": lang, "score": score})
-
-    kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInPandas(predict, f"doc_id {kind}, lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double")
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            lang, score = identify_texts(texts.tolist(), model)
+            yield pd.DataFrame({"lang_pred": pd.Series(lang, dtype=object), "score": np.array(score, dtype=float)})
+
+    found = narrow(docs, doc_id=id_col, text=text_col).select("doc_id", predict("text").alias("p"))
+    return found.select("doc_id", "p.lang_pred", "p.score")
 
 
 def identify_texts(texts: list[str | None], model: ByteCNN | None) -> tuple[list[str], list[float]]:

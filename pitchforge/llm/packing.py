@@ -17,6 +17,7 @@ table gives no rows.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -37,22 +38,23 @@ def tokenize_pieces(docs: DataFrame, vocabulary: str, end_id: int = 0, sequence:
     """Rows (rid, doc_id, piece, start, length, ids_crc32): one for each piece."""
     src = with_row_id(narrow(docs, doc_id=id_col, text=text_col))
 
-    def pieces(batches):
+    @F.pandas_udf("array<struct<piece: int, start: long, length: long, ids_crc32: long>>")
+    def pieces(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         enc, end = encoder(vocabulary), end_id.to_bytes(4, "little")
-        for pdf in batches:
+        for texts in batches:
             out = []
-            for rid, doc_id, text in zip(pdf.rid, pdf.doc_id, pdf.text, strict=True):
-                ids = enc.encode(text) + end
-                at, n, piece = 0, len(ids) // 4, 0
+            for text in texts:
+                ids, cut = enc.encode(text) + end, []
+                at, n = 0, len(ids) // 4
                 while at < n:
                     size = (n - at) % sequence or sequence
-                    out.append((rid, doc_id, piece, at, size, zlib.crc32(ids[4 * at:4 * (at + size)])))
-                    at, piece = at + size, piece + 1
-            made = pd.DataFrame(out, columns=["rid", "doc_id", "piece", "start", "length", "ids_crc32"])
-            yield made.astype({"doc_id": pdf.doc_id.dtype if len(pdf) else "float64"}) if out else made
+                    crc = zlib.crc32(ids[4 * at:4 * (at + size)])
+                    cut.append({"piece": len(cut), "start": at, "length": size, "ids_crc32": crc})
+                    at += size
+                out.append(cut)
+            yield pd.Series(out, dtype=object)
 
-    kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInPandas(pieces, f"rid long, doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    return src.select("rid", "doc_id", F.inline(pieces("text")))
 
 
 def best_fit(lengths, capacity: int = SEQUENCE, open_bins: int = OPEN_BINS):
@@ -97,14 +99,17 @@ def pack_pieces(pieces: DataFrame, sequence: int = SEQUENCE, open_bins: int = OP
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["length", "rid", "piece"], ascending=[False, True, True], kind="stable")
-        placed = best_fit(pdf.length.tolist(), sequence, open_bins)
-        base = int(pdf.shard.iloc[0]) << 40
-        return pdf.assign(sequence_id=[base + b for b, _ in placed], offset=[o for _, o in placed])[names]
-
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("rid", "piece"), F.lit(shards)))
-    schema = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in pieces.schema)}, sequence_id long, offset long"
-    names = [*pieces.columns, "sequence_id", "offset"]
-    return dealt.groupBy("shard").applyInPandas(pack, schema)
+        placed = best_fit(pdf["length"].tolist(), sequence, open_bins)
+        base = int(pdf["shard"].iloc[0]) << 40
+        return pdf.assign(sequence_id=[base + b for b, _ in placed], offset=[o for _, o in placed]).drop(columns="shard")
+
+    # pandas has no exact long that may be null, so ids go through it as text
+    kind = pieces.schema["doc_id"].dataType
+    dealt = pieces.withColumn("doc_id", F.col("doc_id").cast("string")).withColumn(
+        "shard", F.pmod(F.xxhash64("rid", "piece"), F.lit(shards)))
+    schema = ("rid long, doc_id string, piece int, start long, length long, ids_crc32 long, "
+              "sequence_id long, offset long")
+    return dealt.groupBy("shard").applyInPandas(pack, schema).withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, end_id: int = 0, sequence: int = SEQUENCE,

@@ -26,6 +26,7 @@ import math
 import re
 from bisect import bisect_right
 from collections import Counter
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -140,16 +141,13 @@ def linked(parts: list[tuple[int, int, str]], blanks: list[int], reach: int = RE
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row for each document: (doc_id, spans array<struct<kind, start, end>>)."""
-    src = narrow(docs, doc_id=id_col, text=text_col)
-
-    def find(batches):
+    @F.pandas_udf("array<struct<kind: string, start: int, end: int>>")
+    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         finder = Finder()
-        for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf.doc_id, "spans": [
-                [{"kind": k, "start": s, "end": e} for s, e, k in finder.spans(t)[1]] for t in pdf.text]})
+        for texts in batches:
+            yield pd.Series([[{"kind": k, "start": s, "end": e} for s, e, k in finder.spans(t)[1]] for t in texts], dtype=object)
 
-    kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInPandas(find, f"doc_id {kind}, spans array<struct<kind: string, start: int, end: int>>")
+    return narrow(docs, doc_id=id_col, text=text_col).select("doc_id", find("text").alias("spans"))
 
 
 def span_digest(found: DataFrame) -> DataFrame:

@@ -22,6 +22,8 @@ no other has null); an empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -61,13 +63,12 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
     """Rows (rid, doc_id, fp): ``fp`` is the 64-bit fingerprint as a signed long."""
     src = with_row_id(narrow(docs, doc_id=id_col, text=text_col))
 
-    def compute(batches):
-        for pdf in batches:
-            fp = np.array([fingerprint(t, shingle) for t in pdf.text], dtype=np.uint64).view(np.int64)
-            yield pd.DataFrame({"rid": pdf.rid, "doc_id": pdf.doc_id, "fp": fp})
+    @F.pandas_udf("long")
+    def compute(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series(np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64).view(np.int64))
 
-    kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInPandas(compute, f"rid long, doc_id {kind}, fp long")
+    return src.select("rid", "doc_id", compute("text").alias("fp"))
 
 
 # ---- shards ---------------------------------------------------------------

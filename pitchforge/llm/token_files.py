@@ -56,7 +56,8 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
     order = [F.col("doc_id").asc_nulls_first(), F.col("tie").asc(), F.col("text").asc_nulls_first()]
     # Ties are ranged by the text's hash as well: no range has to hold all rows of one id.
     dealt = src.repartitionByRange(ranges, *order[:2]).sortWithinPartitions(*order)
-    dealt = dealt.select("doc_id", "text", F.spark_partition_id().alias("shard"))
+    dealt = dealt.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), "text",
+                         F.spark_partition_id().alias("shard"))
     kind = f"<u{id_bits // 8}"
 
     def write(batches):
@@ -73,8 +74,8 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
                 got = np.frombuffer(enc.encode(text) + end, dtype="<u4")
                 counts.append(len(got))
                 opened.write(got.astype(kind).tobytes())
-            nulls.append(pdf.doc_id.isna().to_numpy())
-            ids.append(pdf.doc_id.fillna(0).to_numpy(dtype="<i8"))
+            nulls.append(pdf["no_id"].to_numpy())
+            ids.append(pdf["doc_id"].to_numpy(dtype="<i8"))
         if opened is None:
             return
         opened.close()
