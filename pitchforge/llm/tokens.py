@@ -9,61 +9,68 @@ Both give the same ids (tests/llm/test_tokens.py).
 
 from __future__ import annotations
 
-import numpy as np
+import re
+from array import array
 
 from .common import worker_state
 
 #: Words that a worker keeps; when full, it starts anew.
 CACHE_WORDS = 1_000_000
 
-# Split patterns of the two vocabularies.
-BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"""
+# The vocabularies' published split patterns for characters up to U+024F; letters and numbers there are fixed values.
+LETTERS, NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾"
+BYTE_PATTERN = rf" ?[{LETTERS}]+| ?[{NUMBERS}]+|'(?:[stmd]|re|ve|ll)| ?[^\s{LETTERS}{NUMBERS}]+|\s+(?!\S)|\s+"
+WORD_PATTERN = rf"[{LETTERS}]+|[{NUMBERS}]|'(?:[stmd]|re|ve|ll)|[^\s{LETTERS}{NUMBERS}]+"
+#: Text with other characters, odd white space or what may be a special token.
+UNUSUAL = r"[^\t\n\r\x20-\x7e\xa1-ɏ]|<\|"
 
 
 def byte_alphabet() -> dict[int, int]:
     """Byte -> character of byte-level vocabularies: printable bytes stand for themselves."""
-    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in set(printable)]
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
     return {b: b for b in printable} | {b: 256 + i for i, b in enumerate(others)}
 
 
+class WordIds(dict):
+    """Word -> its ids as bytes, from the model when it is first met."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.split, self.alphabet = model.tokenize, byte_alphabet()
+
+    def __missing__(self, word: str) -> bytes:
+        pieces = self.split(word.encode().decode("latin-1").translate(self.alphabet))
+        ids = self[word] = array("I", [p.id for p in pieces]).tobytes()
+        return ids
+
+
 class Encoder:
-    """``encode(text)`` gives the ids as little-endian unsigned 32-bit bytes."""
+    """``encode(text)`` gives the ids as unsigned 32-bit numbers in the machine's (little-endian) order."""
 
     def __init__(self, path: str):
         import json
 
-        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
         # Lower-casing vocabularies drop white space, byte-level ones keep it.
         self.lower = bool(json.loads(self.tokenizer.to_str())["normalizer"])
-        self.words = regex.compile(WORD_PATTERN if self.lower else BYTE_PATTERN).findall
-        self.unusual = regex.compile(r"[^\t\n\r\x20-\x7e\xa1-ɏ]|<\|").search
-        self.alphabet = byte_alphabet()
-        self.cache: dict[str, bytes] = {}
+        self.words = re.compile(WORD_PATTERN if self.lower else BYTE_PATTERN).findall
+        self.unusual = re.compile(UNUSUAL).search
+        self.ids = WordIds(self.tokenizer.model)
 
     def plain(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         if self.unusual(text):
             return self.plain(text)
-        words, cache = self.words(text.lower() if self.lower else text), self.cache
-        for w in set(words):
-            if w not in cache:
-                if len(cache) >= CACHE_WORDS:
-                    cache.clear()
-                    return self.encode(text) if len(set(words)) < CACHE_WORDS else self.plain(text)
-                pieces = self.model.tokenize(w.encode().decode("latin-1").translate(self.alphabet))
-                cache[w] = np.array([p.id for p in pieces], dtype="<u4").tobytes()
-        return b"".join(map(cache.__getitem__, words))
+        if len(self.ids) > CACHE_WORDS:
+            self.ids.clear()
+        return b"".join(map(self.ids.__getitem__, self.words(text.lower() if self.lower else text)))
 
 
 def encoder(path: str) -> Encoder:
