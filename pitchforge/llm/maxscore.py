@@ -17,8 +17,8 @@ results merge by rank.
 
 Vectors that are null, or hold a null or non-finite component, take no part;
 missing components of shorter vectors weigh 0; a null id is no query and comes
-last among ties; repeated rows are vectors of their own, and a query leaves out
-all rows with its own id; empty tables give no rows.
+last among ties; repeated rows are vectors and queries of their own, and a query
+leaves out its own row alone; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, narrow
+from .common import materialize, narrow, with_row_id
 
 #: Vectors of a shard and queries of a block.
 SHARD_ROWS, BLOCK_ROWS = 8192, 2048
@@ -39,18 +39,18 @@ STEP = 8
 
 
 def integer_vectors(df: DataFrame, id_col: str, vector_col: str, scale: int = 256) -> DataFrame:
-    """Rows (id, v array<long>): floor(scale * component), of the vectors that take part."""
-    src = narrow(df, id=id_col, v=vector_col).withColumn("v", F.col("v").cast("array<double>"))
+    """Rows (rid, id, v array<long>): floor(scale * component), of the vectors that take part."""
+    src = with_row_id(narrow(df, id=id_col, v=vector_col)).withColumn("v", F.col("v").cast("array<double>"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
     src = src.where(F.col("v").isNotNull() & ~F.coalesce(bad, F.lit(True)))
     return src.withColumn("v", F.transform("v", lambda x: F.floor(x * scale).cast("long")))
 
 
 class Shard:
-    """Posting lists of a block of vectors; ``ids`` ascending, so places order ties."""
+    """Posting lists of a block of vectors (rows ``rids``) in the order of ties."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray):
-        self.ids, self.x = ids, x
+    def __init__(self, rids: np.ndarray, x: np.ndarray):
+        self.rids, self.x = rids, x
         self.columns = np.ascontiguousarray(x.T)
         self.lists = {}
         for d, c in enumerate(self.columns):
@@ -62,9 +62,9 @@ class Shard:
     def scores(self, q: np.ndarray, at: np.ndarray) -> np.ndarray:
         return self.x[at] @ q
 
-    def top(self, query_id: int, q: np.ndarray, k: int):
-        """(place, score) of the k best vectors other than the query's own."""
-        own = self.ids == query_id
+    def top(self, rid: int, q: np.ndarray, k: int):
+        """(place, score) of the k best vectors other than row ``rid``, the query's own."""
+        own = self.rids == rid
         signs = np.sign(q).astype(int)
         terms = [d for d in np.flatnonzero(q) if self.lists[d, signs[d]][1]]
         bound = {d: abs(q[d]) * self.lists[d, signs[d]][1] for d in terms}
@@ -73,7 +73,7 @@ class Shard:
         # non-essential terms are a tail of the order by bound
         left = np.concatenate([np.cumsum([bound[d] for d in terms][::-1])[::-1], [0]]) if terms else np.zeros(1)
         essential = int(np.searchsorted(-left, -floor, side="right")) if floor is not None else len(terms)
-        found = np.zeros(len(self.ids), bool)
+        found = np.zeros(len(self.rids), bool)
         if floor is None or floor <= 0:
             found[:] = True  # vectors in no list of the query's signs compete too
         for d in terms[:essential]:
@@ -125,7 +125,7 @@ def exact_type(x: np.ndarray, q: np.ndarray):
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, shard_rows: int = SHARD_ROWS,
           block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Rows (query_id, rank, id, score) from a written table (id long, v array<long>).
+    """Rows (query_id, rank, id, score) from a written table (rid long, id long, v array<long>).
 
     Each query of ``is_query`` meets all vectors: shards and blocks are joined
     by number, and each pair of them is one bounded group.
@@ -133,33 +133,33 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, shard_rows: int = SH
     counts = vectors.agg(F.count("*"), F.count(F.when(is_query & F.col("id").isNotNull(), 1))).first()
     shards, blocks = max(1, -(-counts[0] // shard_rows)), max(1, -(-counts[1] // block_rows))
     numbered = vectors.withColumn("no_id", F.col("id").isNull()).withColumn("id", F.coalesce("id", F.lit(0)))
-    deal = lambda n, salt: F.pmod(F.xxhash64("id", "v", F.lit(salt)), F.lit(n))
+    deal = lambda n, salt: F.pmod(F.xxhash64("rid", F.lit(salt)), F.lit(n))
     data = numbered.withColumn("shard", deal(shards, 1)).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    asked = numbered.where(is_query & ~F.col("no_id")).drop("no_id").withColumn("block", deal(blocks, 2)).withColumn(
-        "shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    # names of their own: both sides of a cogroup come from one table
+    asked = numbered.where(is_query & ~F.col("no_id")).select(
+        F.col("rid").alias("query"), F.col("id").alias("query_id"), F.col("v").alias("q"), deal(blocks, 2).alias("block"))
+    asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = {"query_id": [], "no_id": [], "id": [], "score": []}
+        out = []
         if len(left) and len(right):
-            left = left.sort_values(["no_id", "id"], kind="stable")
-            width = max(int(left["v"].map(len).max()), int(right["v"].map(len).max()))
-            x, q = matrix(left["v"], width), matrix(right["v"], width)
+            left = left.sort_values(["no_id", "id", "rid"], kind="stable")
+            width = max(int(left["v"].map(len).max()), int(right["q"].map(len).max()))
+            x, q = matrix(left["v"], width), matrix(right["q"], width)
             kind = exact_type(x, q)
-            none = left["no_id"].to_numpy()
-            ids = left["id"].to_numpy()
-            shard = Shard(np.where(none, -1, ids), x.astype(kind))
-            shard.ids = np.where(none, np.iinfo(np.int64).min, ids)
-            for query_id, row in zip(right["id"], q.astype(kind), strict=True):
-                at, score = shard.top(query_id, row, k)
-                out["query_id"] += [query_id] * len(at)
-                out["no_id"] += none[at].tolist()
-                out["id"] += ids[at].tolist()
-                out["score"] += score.astype(np.int64).tolist()
-        return pd.DataFrame(out).astype({"query_id": "int64", "no_id": bool, "id": "int64", "score": "int64"})
+            shard = Shard(left["rid"].to_numpy(), x.astype(kind))
+            no_id, ids = left["no_id"].to_numpy(), left["id"].to_numpy()
+            for query, query_id, row in zip(right["query"], right["query_id"], q.astype(kind), strict=True):
+                at, score = shard.top(query, row, k)
+                out.append(pd.DataFrame({"query": query, "query_id": query_id, "no_id": no_id[at], "id": ids[at],
+                                         "rid": shard.rids[at], "score": score.astype(np.int64)}))
+        if not out:
+            return pd.DataFrame({c: [] for c in ("query", "query_id", "no_id", "id", "rid", "score")})
+        return pd.concat(out, ignore_index=True)
 
     each = data.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(
-        search, "query_id long, no_id boolean, id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "no_id", "id")
+        search, "query long, query_id long, no_id boolean, id long, rid long, score long")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "no_id", "id", "rid")
     best = each.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return best.select("query_id", "rank", F.when(~F.col("no_id"), F.col("id")).alias("id"), "score")
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lang_cnn, packing, secrets_scan, simhash_bk, token_files
+from . import decontam, lang_cnn, maxscore, packing, secrets_scan, simhash_bk, suffix_dedup, token_files
 from .common import table
 
 
@@ -14,10 +14,19 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_scan.span_digest(secrets_scan.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op4_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxscore.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0, k=5)
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(spark, table(spark, sf_dir, "documents"),
                                   public_tokenizers.path("word_bpe_49k.json"), end_id=1)
@@ -28,6 +37,11 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash_bk.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_words", "similarity")
+
+
 def language_model(spark: SparkSession, sf_dir: str) -> lang_cnn.ByteCNN | None:
     """Trained on the labelled documents that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -40,7 +54,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_secret_scan, op5_best_fit_packing, op7_token_files, op8_simhash, op10_language_id)}
+    op1_secret_scan, op4_maxscore, op5_best_fit_packing, op6_suffix_dedup, op7_token_files, op8_simhash,
+    op9_decontamination, op10_language_id)}
 
 #: DuckDB SQL of the queries that SQL can express.
 SQL: dict[str, str] = {}

@@ -9,8 +9,8 @@ of its ``GRAM``-byte grams, so equal strings have equal keys, and neighbours
 mostly share one: a run of starts with one key, with the bytes up to the end of
 its last string, is a *segment*.
 
-1. Keys are counted; a key that stands on one segment, too short to repeat
-   within itself, can't match and is dropped.  If all segments of a key have the
+1. Keys are counted; a key that stands on one segment, which has the least gram
+   once, can't match and is dropped.  If all segments of a key have the
    same bytes, all their strings repeat.
 2. Of the other keys, one copy of each distinct segment goes to the key's
    shard.  There, batches of segments get suffix arrays (sorted starts, ranked by
@@ -68,15 +68,16 @@ def sliding_min(h: np.ndarray, width: int) -> np.ndarray:
 
 
 def segments_of(bodies: list[bytes], length: int = LENGTH, gram: int = GRAM):
-    """(document, start, number of strings, key, digest of the bytes) arrays of some texts."""
+    """(document, start, number of strings, key, digest of the bytes, may repeat within itself) of some texts."""
     import xxhash
 
     raw = b"".join(bodies)
     sizes = np.array([len(b) for b in bodies], dtype=np.int64)
     if len(raw) < length:
-        return [np.zeros(0, np.int64)] * 5
-    begin = np.cumsum(sizes) - sizes
-    key = sliding_min(gram_hashes(np.frombuffer(raw, np.uint8), gram), length - gram + 1)
+        return [np.zeros(0, np.int64)] * 5 + [np.zeros(0, bool)]
+    begin, grams = np.cumsum(sizes) - sizes, length - gram + 1
+    hashes = gram_hashes(np.frombuffer(raw, np.uint8), gram)
+    key = sliding_min(hashes, grams)
     owner = np.repeat(np.arange(len(bodies)), sizes)[:len(key)]
     inside = np.arange(len(key)) + length <= (begin + sizes)[owner]  # strings never cross documents
     change = np.ones(len(key) + 1, bool)
@@ -87,11 +88,18 @@ def segments_of(bodies: list[bytes], length: int = LENGTH, gram: int = GRAM):
     at, count = edge[:-1][count > 0], count[count > 0].astype(np.int64)
     digest = np.array([xxhash.xxh3_64_intdigest(raw[a:a + c + length - 1]) for a, c in zip(at.tolist(), count.tolist(), strict=True)],
                       dtype=np.uint64)
-    return owner[at], at - begin[owner[at]], count, key[at], digest
+    # places of least grams: hashes that equal the largest minimum of the strings around them
+    around = ~sliding_min(~np.pad(key, grams - 1), grams)
+    least = np.flatnonzero(hashes == around)
+    low, high = np.searchsorted(least, at), np.searchsorted(least, at + count + grams - 1)
+    each = np.repeat(np.arange(len(at)), high - low)
+    place = least[np.arange(len(each)) - np.repeat(np.cumsum(high - low) - high, high - low)]
+    own = np.bincount(each, hashes[place] == key[at][each], len(at)) > 1
+    return owner[at], at - begin[owner[at]], count, key[at], digest, own
 
 
 def segments(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """Rows (rid, start, strings, key, digest) of all texts (rid, text)."""
+    """Rows (rid, start, strings, key, digest, own) of all texts (rid, text)."""
 
     def cut(batches):
         for pdf in batches:
@@ -101,12 +109,12 @@ def segments(texts: DataFrame, length: int, gram: int) -> DataFrame:
                 rids.append(rid)
                 size += len(bodies[-1])
                 if size >= CHUNK_BYTES or i == len(pdf) - 1:
-                    doc, start, count, key, digest = segments_of(bodies, length, gram)
+                    doc, start, count, key, digest, own = segments_of(bodies, length, gram)
                     yield pd.DataFrame({"rid": np.array(rids, dtype=np.int64)[doc], "start": start, "strings": count,
-                                        "key": key.view(np.int64), "digest": digest.view(np.int64)})
+                                        "key": key.view(np.int64), "digest": digest.view(np.int64), "own": own})
                     bodies, rids, size = [], [], 0
 
-    return texts.select("rid", "text").mapInPandas(cut, "rid long, start int, strings int, key long, digest long")
+    return texts.select("rid", "text").mapInPandas(cut, "rid long, start int, strings int, key long, digest long, own boolean")
 
 
 # ---- suffix arrays --------------------------------------------------------
@@ -207,7 +215,7 @@ class IndexFamily:
                 # equal strings within one array are marked already, so the first stands for all
                 self.marks += [level.number[place[found]], number[once[found]]]
         self.levels.append(Level(text, starts, number))
-        while len(self.levels) > 1 and len(self.levels[-2].starts) <= 2 * len(self.levels[-1].starts):
+        while len(self.levels) > 1 and len(self.levels[-2].starts) < 2 * len(self.levels[-1].starts):
             late = self.levels.pop()
             self.levels[-1] = self.levels[-1].merged(late, self.length)
         self.seen.append((np.asarray(keys), np.asarray(digests), count))
@@ -290,8 +298,8 @@ def long_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_se
     spark = docs.sparkSession
     cut = segments(texts, length, gram)
     keys = cut.groupBy("key").agg(F.count("*").alias("n"), F.min("digest").alias("lo"), F.max("digest").alias("hi"),
-                                  F.max("strings").alias("longest"))
-    keys = keys.where((F.col("n") > 1) | (F.col("longest") > length - gram + 1))
+                                  F.max("own").alias("own"))
+    keys = keys.where((F.col("n") > 1) | F.col("own"))
     keys = materialize(keys.select("key", ((F.col("n") > 1) & (F.col("lo") == F.col("hi"))).alias("same"),
                                    (F.col("n") > hot_segments).alias("hot")), "repeated-keys")
     found = materialize(cut.join(keys, "key").select("rid", "start", "strings", "key", "digest", "same", "hot"), "segments")
