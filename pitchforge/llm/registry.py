@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, lang_cnn, maxscore, packing, secrets_scan, simhash_bk, suffix_dedup, token_files
+from . import (decontam, lang_cnn, license_scan, maxscore, packing, quality_bayes, secrets_scan, simhash_bk,
+               suffix_dedup, token_files)
 from .common import table
 
 
@@ -14,6 +15,18 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_scan.span_digest(secrets_scan.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources are the hosts of documents, and a source's languages its paths."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    labelled = docs.select("doc_id", "text").join(labels.select("doc_id", F.col("quality").alias("label")), "doc_id")
+    return quality_bayes.classify(docs, quality_bayes.train(labelled))
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return license_scan.summary(license_scan.find_licences(docs, license_scan.train(docs)))
+
+
 def op4_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxscore.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0, k=5)
 
@@ -54,7 +67,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_secret_scan, op4_maxscore, op5_best_fit_packing, op6_suffix_dedup, op7_token_files, op8_simhash,
+    op1_secret_scan, op2_quality, op3_license_scan, op4_maxscore, op5_best_fit_packing, op6_suffix_dedup, op7_token_files, op8_simhash,
     op9_decontamination, op10_language_id)}
 
 #: DuckDB SQL of the queries that SQL can express.
