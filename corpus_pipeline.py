@@ -4,7 +4,7 @@ Each stage works on all rows that the one before it kept, as they were written
 and read again, and all but the last return the columns of documents.
 
 1. language_id: documents without a letter, or in which no learned language
-   reaches a score of 0.4, go.
+   reaches a score of 0.3, go.
 2. near_duplicates: of each SimHash component (shingles of 3 words, 3 bits) the
    row with the smallest id stays.
 3. decontamination: documents that hold a benchmark item go.

@@ -214,7 +214,7 @@ def identify_texts(texts: list[str | None], model: ByteCNN | None) -> tuple[list
     return lang, score
 
 
-def keep_identified(docs: DataFrame, model: ByteCNN | None, least: float = 0.4, text_col: str = "text") -> DataFrame:
+def keep_identified(docs: DataFrame, model: ByteCNN | None, least: float = 0.3, text_col: str = "text") -> DataFrame:
     """``docs`` without those of no language (``und``) or of none with a score of ``least`` or more."""
 
     @F.pandas_udf("boolean")
