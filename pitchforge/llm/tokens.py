@@ -9,6 +9,7 @@ Both give the same ids (tests/llm/test_tokens.py).
 
 from __future__ import annotations
 
+import gc
 import re
 from array import array
 
@@ -23,6 +24,8 @@ BYTE_PATTERN = rf" ?[{LETTERS}]+| ?[{NUMBERS}]+|'(?:[stmd]|re|ve|ll)| ?[^\s{LETT
 WORD_PATTERN = rf"[{LETTERS}]+|[{NUMBERS}]|'(?:[stmd]|re|ve|ll)|[^\s{LETTERS}{NUMBERS}]+"
 #: Text with other characters, odd white space or what may be a special token.
 UNUSUAL = r"[^\t\n\r\x20-\x7e\xa1-ɏ]|<\|"
+#: What of it there can be in Latin-1 text: white space on which the two split patterns differ, special tokens.
+ODD = ("<|", "\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\xa0")
 
 
 def byte_alphabet() -> dict[int, int]:
@@ -38,9 +41,14 @@ class WordIds(dict):
     def __init__(self, model):
         super().__init__()
         self.split, self.alphabet = model.tokenize, byte_alphabet()
+        self.space = chr(self.alphabet[32])
 
     def __missing__(self, word: str) -> bytes:
-        pieces = self.split(word.encode().decode("latin-1").translate(self.alphabet))
+        if word.isascii() and word[1:].isalpha():  # only a space in front needs its stand-in
+            known = word if word[0] != " " else self.space + word[1:]
+        else:
+            known = word.encode().decode("latin-1").translate(self.alphabet)
+        pieces = self.split(known)
         ids = self[word] = array("I", [p.id for p in pieces]).tobytes()
         return ids
 
@@ -60,13 +68,21 @@ class Encoder:
         self.unusual = re.compile(UNUSUAL).search
         self.ids = WordIds(self.tokenizer.model)
 
+    def odd(self, text: str) -> bool:
+        """Whether the text needs the library's own path; a few byte searches tell for most."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.unusual(text) is not None
+        return any(c in text for c in ODD)
+
     def plain(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if self.unusual(text):
+        if self.odd(text):
             return self.plain(text)
         if len(self.ids) > CACHE_WORDS:
             self.ids.clear()
@@ -77,5 +93,6 @@ def encoder(path: str) -> Encoder:
     """The worker's encoder for one vocabulary file."""
     made = worker_state("encoders")
     if path not in made:
+        gc.set_threshold(200_000, 20, 100)  # the cached words hold no cycles to look for
         made[path] = Encoder(path)
     return made[path]
