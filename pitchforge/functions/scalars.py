@@ -55,7 +55,23 @@ def money_millions(col) -> Column:
     """H15: '%.1fM€', null -> 'N/A'."""
     c = _col(col)
     return F.when(c.isNull(), F.lit("N/A")).otherwise(
-        F.concat(F.format_number(c / F.lit(1e6), 1), F.lit("M€")))
+        F.format_string("%.1fM€", _exact_tenths(c / F.lit(1e6))))
+
+
+def _exact_tenths(c: Column) -> Column:
+    """Round to one decimal by the exact binary value, ties to even, as C's printf does.
+
+    The JVM formats from the shortest decimal text, so 0.35 (just below it in
+    binary) and 0.25 (a tie) come out otherwise.  With k tenths below x, 4x is
+    compared with q = (2k + 1) / 5; both comparisons below are free of rounding.
+    """
+    x = F.abs(c)
+    k = F.floor(x * 10).cast("double")
+    odd = 2 * k + 1
+    q, above = odd / 5, F.signum(odd / 5 - (odd - 4 * (odd / 5)))  # above: q was rounded up (1) or down (-1)
+    up = (4 * x > q) | ((4 * x == q) & ((above > 0) | ((above == 0) & (k % 2 == 1))))
+    tenths = F.signum(c) * (k + F.when(up, 1.0).otherwise(0.0)) / 10
+    return F.when(x < 1e15, tenths).otherwise(c)
 
 
 def zero_padded_id(col, prefix: str = "PLR_", width: int = 5) -> Column:
@@ -74,12 +90,17 @@ def id_to_string(col) -> Column:
 
 
 # ------------------------------------------------------------------- dates
-DATE_FORMATS = ("yyyy-MM-dd", "yyyy/MM/dd", "dd/MM/yyyy", "MMM d, yyyy", "yyyy-MM-dd HH:mm:ss")
+# Formats in order of preference; of day and month the month comes
+# first, unless it is above 12.
+DATE_FORMATS = ("yyyy-M-d", "yyyyMMdd", "yyyy/M/d", "yyyy.M.d", "M/d/yyyy", "d/M/yyyy", "M-d-yyyy", "d-M-yyyy",
+                "M.d.yyyy", "d.M.yyyy", "MMM d, yyyy", "MMMM d, yyyy", "MMM d yyyy", "MMMM d yyyy",
+                "d MMM yyyy", "d MMMM yyyy", "d-MMM-yyyy", "yyyy-MM", "yyyy")
+_TIME = r"[T ]\s*\d{1,2}:\d{2}(:\d{2}([.,]\d+)?)?\s*(Z|UTC|[+-]\d{2}:?\d{2})?$"
 
 
 def lenient_date(col, formats=DATE_FORMATS) -> Column:
-    """First format that parses; bad input -> null."""
-    c = _col(col).cast("string")
+    """The date of a value on its own, with or without a time of day; bad input -> null."""
+    c = F.regexp_replace(F.trim(_col(col).cast("string")), _TIME, "")
     return F.coalesce(*[F.try_to_date(c, f) for f in formats])
 
 
@@ -149,9 +170,8 @@ def underdog_multiplier(rank) -> Column:
 
 
 def round_half_up(col, digits: int = 2) -> Column:
-    """H37 with one rounding rule in every engine: floor(x*10^d + 0.5)/10^d."""
-    scale = float(10 ** digits)
-    return F.floor(_col(col) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    """ROUND(x, d), half away from zero."""
+    return F.round(_col(col), digits)
 
 
 def radar_multiplier(mult) -> Column:

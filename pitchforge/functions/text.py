@@ -2,10 +2,11 @@
 
 ``normalize_text`` stays inside whole-stage codegen: the accent table is a
 single ``translate`` built at import time *by rule* (Unicode NFKD of every
-precomposed Latin letter in U+00C0..U+024F whose decomposition starts with an
-ASCII letter) plus a handful of fixed multi-letter transliterations.  Scripts
-outside that table pass through unchanged; ``normalize_text_udf`` is the
-Arrow-batched general path (full NFKD on every value).
+precomposed Latin letter in U+00C0..U+024F and U+1E00..U+1EFF whose
+decomposition starts with an ASCII letter) plus fixed transliterations of other
+letters and of punctuation; combining marks go, so decomposed input folds like
+precomposed.  Other scripts pass through unchanged; ``normalize_text_udf`` is
+the Arrow-batched path for callers that need them folded as well.
 
 ``token_sort_ratio`` is an Arrow UDF over *pairs*; callers feed it distinct
 candidate pairs only (see ``operators.fuzzy``).
@@ -45,6 +46,11 @@ FIXED_TRANSLITERATIONS = {
     "ŋ": "ng", "Ŋ": "NG",
     "ĸ": "k",
     "ŀ": "l", "Ŀ": "L",
+    "ə": "@", "Ə": "@",
+    "\u2018": "'", "\u2019": "'", "\u201a": ",", "\u201b": "'", "ʼ": "'", "´": "'",
+    "\u201c": '"', "\u201d": '"', "\u201e": ",,", "«": "<<", "»": ">>",
+    "\u2010": "-", "\u2011": "-", "\u2012": "-", "\u2013": "-", "\u2014": "--",
+    "\u2026": "...", "\u00a0": " ",
 }
 # ---------------------------------------------------------------------------
 
@@ -52,7 +58,7 @@ FIXED_TRANSLITERATIONS = {
 def _accent_table() -> tuple[str, str]:
     """Rule-built single-character map: precomposed Latin letter -> ASCII base."""
     src, dst = [], []
-    for cp in range(0x00C0, 0x0250):
+    for cp in (*range(0x00C0, 0x0250), *range(0x1E00, 0x1F00)):
         ch = chr(cp)
         if ch in FIXED_TRANSLITERATIONS:
             continue
@@ -75,7 +81,9 @@ def strip_accents(col: Column) -> Column:
                       ACCENT_TO + "".join(_SINGLE_FIXED.values()))
     for k, v in _MULTI_FIXED.items():
         out = F.replace(out, F.lit(k), F.lit(v))
-    return out
+    out = F.regexp_replace(out, r"\p{M}+", "")
+    # most values are plain ASCII and need none of this
+    return F.when(col.rlike(r"[^\x00-\x7F]"), out).otherwise(col)
 
 
 def normalize_text(col: Column | str) -> Column:

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitchforge.session import ensure_checkpoint_dir
+from pitchforge.session import cut_lineage, ensure_checkpoint_dir
 
 OrderSpec = Sequence[Column | str]
 
@@ -76,14 +76,28 @@ def dense_key(df: DataFrame, order: OrderSpec, key_col: str = "key",
                     ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("cnt")).collect())
     offsets, running = [], start
     for pid, cnt in counts:
-        offsets.extend([F.lit(pid), F.lit(running)])
+        offsets.append((pid, running))
         running += cnt
-    offset_map = F.create_map(*offsets) if offsets else F.create_map(
-        F.lit(0), F.lit(start))
+    # one row for each partition: a bounded side of a join, looked up by hash
+    table = F.broadcast(spark.createDataFrame(offsets, "__pid int, __base bigint"))
     local_index = F.col("__mid") - F.shiftleft(F.col("__pid").cast("bigint"), 33)
-    return (ranged.withColumn(key_col, (F.element_at(offset_map, F.col("__pid")) +
-                                        local_index).cast("bigint"))
-                  .drop("__pid", "__mid"))
+    return (ranged.join(table, "__pid")
+                  .withColumn(key_col, (F.col("__base") + local_index).cast("bigint"))
+                  .select(*df.columns, key_col))
+
+
+def small_dense_key(df: DataFrame, order: OrderSpec, key_col: str, start: int = 1,
+                    max_rows: int = 10_000) -> DataFrame:
+    """E5 for an aggregate that is expected to be small, such as a list of names.
+
+    It is written once and counted; up to ``max_rows`` rows one task numbers
+    them, beyond that ``dense_key`` does.
+    """
+    rows = cut_lineage(df, "names")
+    if rows.count() > max_rows:
+        return dense_key(rows, order, key_col, start)
+    numbered = F.row_number().over(Window.orderBy(*_cols(order))) + F.lit(start - 1)
+    return rows.withColumn(key_col, numbered.cast("bigint"))
 
 
 def mint_ids(df: DataFrame, order: OrderSpec, id_col: str, start_after: int = 0,
@@ -96,7 +110,7 @@ def mint_ids(df: DataFrame, order: OrderSpec, id_col: str, start_after: int = 0,
 
 
 def display_rank(df: DataFrame, order: OrderSpec, rank_col: str = "rank") -> DataFrame:
-    """1..n display rank after a sort (use on bounded, top-k results)."""
+    """1..n display rank of all rows after a sort."""
     return dense_key(df, order, rank_col, start=1)
 
 
@@ -113,4 +127,4 @@ def removed_duplicates(df: DataFrame, key: str) -> DataFrame:
 
 
 __all__ = ["first_per_key", "latest_per_key", "keep_last", "keep_first", "dense_key",
-           "mint_ids", "display_rank", "best_per_key", "removed_duplicates"]
+           "small_dense_key", "mint_ids", "display_rank", "best_per_key", "removed_duplicates"]

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from pitchforge.functions.scalars import min_max_scaled
 from pitchforge.operators.joins import bounded_broadcast_join
+from pitchforge.session import cut_lineage
 
 
 def group_min_max(df: DataFrame, group: str, metrics: Sequence[str],
@@ -32,14 +33,18 @@ def group_min_max(df: DataFrame, group: str, metrics: Sequence[str],
 
 def scale_by_group(df: DataFrame, group: str, metrics: Sequence[str],
                    where: Column | None = None, suffix: str = "_scaled",
-                   max_groups: int = 1_000_000) -> DataFrame:
+                   max_groups: int = 1_000_000, materialize: bool = True) -> DataFrame:
     """``<m><suffix>`` = min-max of ``m`` within ``group`` scaled to 0..100.
 
     Statistics come from rows matching ``where``; max == min -> 0; the result
-    is clipped to [0, 100]; a null value (or an all-null group) -> 0.
+    is clipped to [0, 100]; a null value (or an all-null group) -> 0.  The rows
+    are read twice, so they are written once first; ``materialize=False`` for
+    rows that come from a stored table.
     """
     if not metrics:
         return df
+    if materialize:
+        df = cut_lineage(df, "scaling-input")
     stats = group_min_max(df, group, metrics, where)
     joined = bounded_broadcast_join(df, stats, group, "left", max_rows=max_groups,
                                     name="group-stats")

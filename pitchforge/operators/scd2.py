@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitchforge.operators.dedupe import keep_last
+from pitchforge.operators.dedupe import first_per_key, keep_last
 from pitchforge.session import cut_lineage
 
 SCD_COLS = ("is_current", "valid_from", "valid_to")
@@ -83,10 +83,12 @@ def apply_scd2(tagged: DataFrame, silver: DataFrame | None, key: str, run_date:
         return inserts
     changed = tagged.filter(F.col(status_col) == "changed").select(key).distinct() \
                     .withColumn("__chg", F.lit(True))
-    history = silver.filter(F.col("is_current") != F.lit(True))
-    current = silver.filter(F.col("is_current") == F.lit(True)).join(changed, key, "left")
+    # null flags count as not current and null dates as another day: no row may fall between
+    active = F.col("is_current").eqNullSafe(F.lit(True))
+    history = silver.filter(~active)
+    current = silver.filter(active).join(changed, key, "left")
     hit = F.col("__chg").isNotNull()
-    same_day = hit & (F.col("valid_from") == run_date.cast("date"))
+    same_day = hit & F.col("valid_from").eqNullSafe(run_date.cast("date"))
     current = (current.filter(~same_day)
                       .withColumn("valid_to", F.when(hit, run_date.cast("date"))
                                   .otherwise(F.col("valid_to")))
@@ -130,19 +132,27 @@ def scd2_load(new: DataFrame, silver: DataFrame | None, key: str, tracked: Seque
               materialize_input: bool = True) -> DataFrame:
     """Dedupe (keep last) -> contract -> detect -> apply -> enrich.
 
+    Without an ``order`` one row of each key stays, chosen by a hash of the row,
+    so a key never gets two current versions; rows without a key are left to
+    change detection.  The result is a stored table, evaluated once.
+
     The snapshot is read by the contract check, change detection and
     enrichment; with ``materialize_input`` it is written once to the shared
     checkpoint folder so an expensive upstream plan is not evaluated three
     times.
     """
-    snapshot = keep_last(new, [key], order) if order else new
+    if order:
+        snapshot = keep_last(new, [key], order)
+    else:
+        snapshot = first_per_key(new, [key], [F.xxhash64(*[F.col(f"`{c}`") for c in new.columns])])
     if materialize_input:
         snapshot = cut_lineage(snapshot, "scd2-snapshot")
     if validate is not None:
         validate(snapshot)
     tagged = detect_changes(snapshot, silver, key, tracked)
-    result = apply_scd2(tagged, silver, key, run_date)
-    return enrich_non_tracked(result, snapshot, key)
+    result = cut_lineage(apply_scd2(tagged, silver, key, run_date), "scd2-applied")
+    enriched = enrich_non_tracked(result, snapshot, key)
+    return result if enriched is result else cut_lineage(enriched, "scd2-enriched")
 
 
 def change_summary(tagged: DataFrame, status_col: str = "__status") -> DataFrame:

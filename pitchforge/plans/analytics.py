@@ -20,6 +20,7 @@ from pitchforge.functions.scalars import (millions, radar_multiplier, round_half
 from pitchforge.operators.aggregates import value_counts
 from pitchforge.operators.columns import column_or, mode_switch, name_matches, participation
 from pitchforge.operators.dedupe import display_rank, keep_first
+from pitchforge.operators.joins import bounded_broadcast_join
 
 TEAM_LOGO = ("https://img.example.org/team/", "/image")
 
@@ -71,8 +72,10 @@ def dashboard_frame(star: Mapping[str, DataFrame], silver: DataFrame) -> DataFra
     s_cols += [F.coalesce(column_or(cur, src, F.lit(None).cast("double")), F.lit(0.0)).alias(dst)
                for dst, src in DASHBOARD_ZERO_DEFAULT.items()]
     s = cur.select(F.col("internal_player_id").alias("__sid"), *s_cols)
-    out = (f.join(p, "player_key", "left").join(t, "team_key", "left")
-            .join(pos, "position_key", "left").join(tour, "tournament_key", "left"))
+    out = f.join(p, "player_key", "left")
+    # a team or league may hold a third of the fact: small dimensions are broadcast after a size check
+    for dim, key in ((t, "team_key"), (pos, "position_key"), (tour, "tournament_key")):
+        out = bounded_broadcast_join(out, dim, key, "left", materialized=True)
     out = out.join(s, F.col("internal_player_id") == F.col("__sid"), "left").drop("__sid")
     return out.withColumn("scout_score", round_half_up(F.col("final_scout_score"), 2)).drop(
         "player_key", "team_key", "position_key", "tournament_key", "season_key",
@@ -169,24 +172,24 @@ def radar(rating: DataFrame, fdf: DataFrame, player: str, metrics: Sequence[str]
                       "team_multiplier": "team_multiplier"}
     r = keep_first(rating.filter(F.col("name") == player), ["name"], ["internal_player_id"])
     p = keep_first(fdf.filter(F.col(name_col) == player), [name_col], ["internal_player_id"])
-    found = p.agg(F.count(F.lit(1))).scalar() > 0
-    parts = []
+    plain = [m for m in metrics if m not in rating_metrics]
+    # one pass over the filtered set: the player's value and the maximum of each metric
+    p = p.select(*[F.col(m).cast("double").alias(f"own_{m}") for m in plain], F.lit(1).alias("found"))
+    top = fdf.agg(*[F.greatest(F.coalesce(F.max(m).cast("double"), F.lit(1.0)), F.lit(1.0)).alias(f"max_{m}")
+                    for m in plain], F.count(F.lit(1)).alias("rows"))
+    scored = {}
     for m in metrics:
         if m in rating_metrics:
             v = F.col(rating_metrics[m]).cast("double")
-            if m == "team_multiplier":
-                v = radar_multiplier(v)
-            val = r.agg(F.first(F.coalesce(v, F.lit(0.0)))).scalar()
-        else:
-            mx = fdf.agg(F.greatest(F.coalesce(F.max(m).cast("double"), F.lit(1.0)),
-                                    F.lit(1.0))).scalar()
-            val = p.agg(F.first(F.coalesce(F.col(m).cast("double"), F.lit(0.0)) / mx
-                                * F.lit(100.0))).scalar()
-        parts.append(F.struct(F.lit(m).alias("metric"),
-                              F.when(found, F.coalesce(val, F.lit(0.0))).otherwise(F.lit(0.0))
-                              .alias("value")))
-    spark = fdf.sparkSession
-    return spark.range(1).select(F.explode(F.array(*parts)).alias("r")).select("r.*")
+            scored[f"score_{m}"] = radar_multiplier(v) if m == "team_multiplier" else v
+    r = r.select(*[v.alias(c) for c, v in scored.items()], F.lit(1).alias("rated"))
+    # one row on each side
+    one = top.join(F.broadcast(p.agg(*[F.first(c).alias(c) for c in p.columns])), F.lit(True), "left").join(
+        F.broadcast(r.agg(*[F.first(c).alias(c) for c in r.columns])), F.lit(True), "left")
+    rows = [F.struct(F.lit(m).alias("metric"), F.when(F.col("found") == 1, F.coalesce(
+        F.col(f"score_{m}") if m in rating_metrics else F.col(f"own_{m}") / F.col(f"max_{m}") * F.lit(100.0),
+        F.lit(0.0))).otherwise(F.lit(0.0)).alias("value")) for m in metrics]
+    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def compare_players(fdf: DataFrame, player_a: str, player_b: str, metrics: Sequence[str],

@@ -18,6 +18,7 @@ from pitchforge.functions.scalars import clip, per90, underdog_multiplier
 from pitchforge.operators.columns import column_or, sample_status, with_default
 from pitchforge.operators.dedupe import dense_key
 from pitchforge.operators.scaling import scale_by_group
+from pitchforge.session import cut_lineage
 
 # ---------------------------------------------------------------------------
 # Scoring matrix (group -> weights, penalties), config order.
@@ -136,14 +137,21 @@ def prepare_rating_input(silver: DataFrame, order_key: str = "internal_player_id
             cols["clean_sheets_pct"] = zero
     df = df.withColumns(cols)
     # Fallback rating 6.5 + (i % 10) * 0.15, i = zero-based position by id.
-    # The numbering pass also materialises the prepared rows once (reliable
-    # checkpoint), so the league statistics and the scoring pass reuse them.
+    # The prepared rows are stored once: the league statistics and the scoring pass
+    # read them again.  Ids are numbered only if a rating is missing, and alone.
     src = [c for c in ("base_rating", "base_rating_sfs") if c in df.columns]
-    df = dense_key(df, [F.col(order_key).asc_nulls_last()], "__row", start=0)
-    fallback = F.lit(FALLBACK_RATING_BASE) + \
-        F.pmod(F.col("__row"), F.lit(10)).cast("double") * F.lit(FALLBACK_RATING_STEP)
-    df = df.withColumn("base_rating", F.coalesce(*[F.col(c) for c in src], fallback)) \
-           .drop("__row")
+    df = cut_lineage(df, "rating-input")
+    known = F.coalesce(*[F.col(c) for c in src], F.lit(None).cast("double"))
+    if df.filter(known.isNull()).isEmpty():
+        df = df.withColumn("base_rating", known)
+    else:
+        df = df.withColumn("__rid", F.monotonically_increasing_id())
+        numbered = dense_key(df.select(order_key, "__rid"), [F.col(order_key).asc_nulls_last(), "__rid"], "__row", start=0)
+        missing = df.filter(known.isNull()).join(numbered.select("__rid", "__row"), "__rid")
+        fallback = F.lit(FALLBACK_RATING_BASE) + \
+            F.pmod(F.col("__row"), F.lit(10)).cast("double") * F.lit(FALLBACK_RATING_STEP)
+        df = df.filter(known.isNotNull()).withColumn("base_rating", known).unionByName(
+            missing.withColumn("base_rating", fallback).drop("__row")).drop("__rid")
     p90, scale = required_metrics(config)
     missing = {c: F.lit(0.0) for c in dict.fromkeys(p90 + scale)
                if c not in df.columns and f"{c}_p90" not in df.columns}
@@ -174,7 +182,7 @@ def rate(df: DataFrame, config: Mapping = POSITION_CONFIG, min_minutes: float =
     p90, scale = required_metrics(config)
     df = df.withColumns({f"{m}_p90": per90(m, minutes_col) for m in p90 if m in df.columns})
     to_scale = [m for m in scale if m in df.columns]
-    df = scale_by_group(df, league_col, to_scale, where=active)
+    df = scale_by_group(df, league_col, to_scale, where=active, materialize=False)
     present = {f"{m}_scaled" for m in to_scale}
     group = scoring_group(F.col(position_col)) if position_col in df.columns else F.lit("CM")
     base_expr = penalty_expr = None

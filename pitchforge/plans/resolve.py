@@ -52,12 +52,16 @@ def resolve_entities(left: DataFrame, right: DataFrame, registry: DataFrame | No
     minted = mint_ids(entries, [F.col(left_order).asc()], "internal_id", start_after=int(issued),
                       prefix=prefix).select(*REGISTRY_COLUMNS)
     new_registry = registry.select(*REGISTRY_COLUMNS).unionByName(minted)
-    ids = new_registry.select(F.col("left_id").alias("__lid"), "internal_id",
-                              F.col("right_id").alias("__bridge"))
+    # one entry for each left id (the last one), so no left row is doubled
+    ids = reg.select(*REGISTRY_COLUMNS).unionByName(minted).select(
+        F.col("left_id").alias("__lid"), "internal_id", F.col("right_id").alias("__bridge"))
     merged = left.join(ids, F.col(left_id).cast("string") == F.col("__lid"), "left").drop("__lid")
     keep = [c for c in right.columns if c not in merged.columns]
     rside = right.select(F.col(right_id).cast("string").alias("__rk"), *keep)
-    merged = merged.join(rside, F.col("__bridge") == F.col("__rk"), "left").drop("__rk")
+    # the placeholder matches nothing: as null it isn't dealt to one task
+    target = F.when(F.col("__bridge") != PLACEHOLDER, F.col("__bridge"))
+    merged = merged.withColumn("__target", target).join(
+        rside, F.col("__target") == F.col("__rk"), "left").drop("__rk", "__target")
     return merged.withColumnRenamed("__bridge", "bridge_id"), new_registry
 
 

@@ -18,7 +18,7 @@ from pitchforge.functions.positions import (FALLBACK_LEAGUES, general_position,
                                             position_category)
 from pitchforge.functions.scalars import round_half_up, season_bounds, short_name
 from pitchforge.operators.columns import column_or
-from pitchforge.operators.dedupe import dense_key
+from pitchforge.operators.dedupe import dense_key, small_dense_key
 from pitchforge.operators.joins import bounded_broadcast_join
 from pitchforge.operators.setops import union_domains
 
@@ -57,7 +57,7 @@ def dim_team(silver: DataFrame) -> DataFrame:
     """UNION of both team columns' domains; key by name."""
     names = union_domains(silver, "team_sfs", silver, "team_tm", "name").filter(
         F.col("name").isNotNull())
-    keyed = dense_key(names, [F.col("name").asc()], "team_key")
+    keyed = small_dense_key(names, [F.col("name").asc()], "team_key")
     return keyed.select("team_key", "name", short_name("name").alias("short_name"),
                         F.lit(PRIMARY_COLOR).alias("primary_color"),
                         F.lit(SECONDARY_COLOR).alias("secondary_color"))
@@ -70,7 +70,7 @@ def dim_position(silver: DataFrame) -> DataFrame:
         if c in silver.columns:
             any_src = any_src | F.col(c).isNotNull()
     names = silver.filter(any_src).select(_ladder(silver).alias("name")).distinct()
-    keyed = dense_key(names, [F.col("name").asc()], "position_key")
+    keyed = small_dense_key(names, [F.col("name").asc()], "position_key")
     return keyed.select("position_key", "name", general_position("name").alias("general_position"),
                         F.lit(EMPTY_ROLE_WEIGHTS).alias("role_weights"))
 
@@ -93,7 +93,7 @@ def dim_tournament(silver: DataFrame) -> DataFrame:
         keyed = spark.createDataFrame([(i + 1, n) for i, n in enumerate(FALLBACK_LEAGUES)],
                                       "tournament_key bigint, name string")
     else:
-        keyed = dense_key(names, [F.col("name").asc()], "tournament_key")
+        keyed = small_dense_key(names, [F.col("name").asc()], "tournament_key")
     return keyed.select("tournament_key", "name", league_country("name").alias("country"))
 
 
@@ -103,7 +103,7 @@ def dim_season(silver: DataFrame, run_year: int | None = None) -> DataFrame:
     names = _distinct_current(silver, "season_sfs")
     if names is None:
         names = spark.createDataFrame([(n,) for n in FALLBACK_SEASONS], "name string")
-    keyed = dense_key(names, [F.col("name").asc()], "season_key")
+    keyed = small_dense_key(names, [F.col("name").asc()], "season_key")
     start, end = season_bounds(F.col("name"), F.lit(run_year) if run_year else None)
     return keyed.select("season_key", "name", start.alias("start_date"), end.alias("end_date"))
 
@@ -161,7 +161,9 @@ def build_star(silver: DataFrame, rating: DataFrame | None = None,
 
 def star_top(star: dict[str, DataFrame], n: int = 15) -> DataFrame:
     """I16: fact with dimension names, best ``n`` by score (ties: player key)."""
-    f = star["fact"]
+    # keys are unique in their dimensions, so the best rows of the fact are known before any join
+    order = [F.col("final_scout_score").desc_nulls_last(), F.col("player_key").asc()]
+    f = star["fact"].orderBy(*order).limit(n)
     p = star["player"].select("player_key", F.col("name").alias("player_name"), "sub_position")
     t = star["team"].select("team_key", F.col("name").alias("team"))
     tour = star["tournament"].select("tournament_key", F.col("name").alias("league"))
@@ -172,8 +174,7 @@ def star_top(star: dict[str, DataFrame], n: int = 15) -> DataFrame:
                        "goals", "assists",
                        round_half_up(F.col("final_scout_score"), 2).alias("scout_score"),
                        "final_scout_score")
-               .orderBy(F.col("final_scout_score").desc_nulls_last(), F.col("player_key").asc())
-               .limit(n).drop("final_scout_score"))
+               .orderBy(*order).drop("final_scout_score"))
 
 
 def schema_report(tables: dict[str, DataFrame], with_stats: bool = True) -> DataFrame:

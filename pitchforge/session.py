@@ -55,7 +55,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        # Only reached in local runs/tests: nothing names a shared folder.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        # local mode: driver and executors are one machine
         configured = tempfile.mkdtemp(prefix="pitchforge-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

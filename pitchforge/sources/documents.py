@@ -22,12 +22,12 @@ CORRUPT = "_corrupt_record"
 
 def read_documents(spark: SparkSession, path: str, schema: T.StructType | None = None,
                    name_glob: str | None = None, recursive: bool = False,
-                   multi_line: bool = True) -> DataFrame:
+                   multi_line: bool = True, **options) -> DataFrame:
     """JSON documents with file name; ``multi_line`` for one (pretty-printed)
     document per file, else JSON lines.  Broken input is kept as a
     ``_corrupt_record`` row (A23) instead of failing the job."""
     reader = (spark.read.option("multiLine", multi_line).option("mode", "PERMISSIVE")
-                   .option("columnNameOfCorruptRecord", CORRUPT))
+                   .option("columnNameOfCorruptRecord", CORRUPT).options(**options))
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
     if recursive:
@@ -43,14 +43,19 @@ def read_documents(spark: SparkSession, path: str, schema: T.StructType | None =
     return df
 
 
-def good_documents(df: DataFrame) -> DataFrame:
-    """Documents that parsed."""
+def good_documents(df: DataFrame, whole_files: bool = False) -> DataFrame:
+    """Documents that parsed; with ``whole_files`` none of a file that failed anywhere."""
+    if whole_files:
+        df = df.join(bad_files(df), "__file", "left_anti")
     return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def bad_files(df: DataFrame) -> DataFrame:
     """Files that failed to parse (one row per file)."""
-    return df.filter(F.col(CORRUPT).isNotNull()).select("__file").distinct()
+    # Spark doesn't scan raw JSON for the corrupt text alone, so a data column goes with it
+    data = next(c for c in df.columns if c not in (CORRUPT, "__file"))
+    broken = F.concat(F.col(CORRUPT), F.coalesce(F.col(f"`{data}`").cast("string"), F.lit("")))
+    return df.filter(broken.isNotNull()).select("__file").distinct()
 
 
 def explode_payload(df: DataFrame, array_col: str, alias: str = "item") -> DataFrame:

@@ -18,9 +18,10 @@ def write_landing(df: DataFrame, root: str, source_col: str = "source",
     """Append raw records partitioned by source and day.
 
     Rows are clustered by the partition columns first so each task writes a
-    few large files per partition instead of one small file per task.
+    few large files per partition instead of one small file per task; the
+    rebalance lets AQE split a day that holds most rows over several tasks.
     """
-    (df.repartition(source_col, dt_col)
+    (df.hint("rebalance", F.col(source_col), F.col(dt_col))
        .write.mode("append").partitionBy(source_col, dt_col).format(fmt).options(**options)
        .save(root))
 
@@ -47,6 +48,24 @@ def partition_values(spark: SparkSession, root: str, column: str = "dt") -> list
     return sorted(found)
 
 
+def latest_per_source(spark: SparkSession, root: str, schema: T.StructType | None = None,
+                      source: str = "source", column: str = "dt", fmt: str = "json",
+                      **options) -> tuple[DataFrame | None, dict[str, str]]:
+    """A1: each source's own latest day, so one that didn't land today keeps its last one.
+
+    Only the folders ``source=<s>/dt=<latest>`` are listed and read.
+    """
+    latest = {s: days[-1] for s in partition_values(spark, root, source)
+              if (days := partition_values(spark, f"{root.rstrip('/')}/{source}={s}", column))}
+    if not latest:
+        return None, {}
+    reader = spark.read.format(fmt).options(**options)
+    if schema is not None:
+        reader = reader.schema(schema)
+    folders = [f"{root.rstrip('/')}/{source}={s}/{column}={day}" for s, day in sorted(latest.items())]
+    return reader.option("basePath", root).load(folders), latest
+
+
 def latest_partition(spark: SparkSession, root: str, schema: T.StructType | None = None,
                      column: str = "dt", fmt: str = "json", **options) -> tuple[DataFrame | None, str | None]:
     """Read only the lexicographically greatest ``column=`` partition.
@@ -78,4 +97,4 @@ def read_all_partitions(spark: SparkSession, root: str, schema: T.StructType | N
     return df.withColumn("__file", F.col("_metadata.file_name"))
 
 
-__all__ = ["write_landing", "partition_values", "latest_partition", "read_all_partitions"]
+__all__ = ["write_landing", "partition_values", "latest_per_source", "latest_partition", "read_all_partitions"]

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import sql_oracles as O
-from pitchforge.functions.scalars import round_half_up
 from pitchforge.operators.aggregates import distinct_sorted
 from pitchforge.operators.columns import dashboard_filter
 from pitchforge.plans import analytics
@@ -27,7 +26,7 @@ INVERTED = ["team_rank"]
 
 
 def r6(col):
-    return round_half_up(col, 6)
+    return F.floor(col * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)
 
 
 def r6_sql(x: str) -> str:
@@ -160,10 +159,8 @@ b AS (SELECT internal_player_id, player_name, market_value / 1000000.0 AS x,
 
 
 def q_history_order(spark, d):
-    from queries.silver import history_after
-    from queries.star import STAR_RUNS
-    from pitchforge.plans.star import dim_player
-    return analytics.market_value_history(dim_player(history_after(spark, d, STAR_RUNS)))
+    from queries.star import star_table
+    return analytics.market_value_history(star_table(spark, d, "player"))
 
 
 SQL_HISTORY_ORDER = dashboard_sql("""

@@ -21,7 +21,7 @@ from pitchforge.sources.tables import DRIVER_TABLES, table
 
 
 def r6(c):
-    return S.round_half_up(c, 6)
+    return F.floor(c * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)
 
 
 # ---------------------------------------------------------------- H1 / H5-H18
@@ -148,15 +148,15 @@ FROM supplier"""
 
 
 def q_display_rank(spark, d):
+    """E7 ranks all rows."""
     c = table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal")
-    order = [F.col("c_acctbal").desc_nulls_last(), F.col("c_custkey").asc()]
-    return display_rank(c.orderBy(*order).limit(20), order, "rank")
+    return display_rank(c, [F.col("c_acctbal").desc_nulls_last(), F.col("c_custkey").asc()], "rank")
 
 
 SQL_DISPLAY_RANK = """
 SELECT c_custkey, c_name, c_acctbal,
        CAST(row_number() OVER (ORDER BY c_acctbal DESC NULLS LAST, c_custkey) AS BIGINT) AS rank
-FROM customer ORDER BY c_acctbal DESC NULLS LAST, c_custkey LIMIT 20"""
+FROM customer"""
 
 
 # ---------------------------------------------------------------- G1 / G2
@@ -209,17 +209,19 @@ FROM customer LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION B
 
 
 def q_rank_default(spark, d):
-    """Supplier nation -> table position in the standings analog, default 20."""
-    s = table(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").cast("bigint")
-                                           .alias("team_id"))
-    st = analogs.standings(spark, d).filter(F.col("position") <= 3)
+    """Supplier nation -> table position in the standings analog, default 20.
+
+    Suppliers with a negative balance belong to no known team."""
+    team = F.col("s_nationkey").cast("bigint") + F.when(F.col("s_acctbal") < 0, 1000).otherwise(0)
+    s = table(spark, d, "supplier").select("s_suppkey", team.alias("team_id"))
+    st = analogs.standings(spark, d)
     return joins.rank_lookup(s, st, "team_id", "team_id", "position", "team_rank", 20)
 
 
 SQL_RANK_DEFAULT = O.with_ctes(O.standings_ctes(), body="""
-SELECT s_suppkey, CAST(s_nationkey AS BIGINT) AS team_id, coalesce(st.position, 20) AS team_rank
-FROM supplier LEFT JOIN (SELECT * FROM standings WHERE position <= 3) st
-  ON CAST(s_nationkey AS BIGINT) = st.team_id""")
+SELECT s_suppkey, s.team_id, coalesce(st.position, 20) AS team_rank
+FROM (SELECT s_suppkey, CAST(s_nationkey AS BIGINT) + CASE WHEN s_acctbal < 0 THEN 1000 ELSE 0 END AS team_id
+      FROM supplier) s LEFT JOIN standings st USING (team_id)""")
 
 
 def _team_mapping(spark, d) -> DataFrame:

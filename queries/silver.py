@@ -12,6 +12,7 @@ from pitchforge.operators.scd2 import change_summary, detect_changes, scd2_load
 from pitchforge.operators.setops import key_difference, key_intersection
 from pitchforge.plans import analogs
 from pitchforge.session import cut_lineage
+from queries.store import stored
 
 KEY = "internal_player_id"
 TRACKED = O.TRACKED
@@ -19,17 +20,27 @@ TRACKED = O.TRACKED
 RUNS = [("2026-05-01", "1998-01-01"), ("2026-05-04", "2000-01-01"), ("2026-05-04", None)]
 
 
+def order_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The per-order line aggregate is the same for every snapshot."""
+    return stored(spark, d, "order-lines", lambda: analogs.order_lines(spark, d))
+
+
+def snapshot(spark: SparkSession, d: str, as_of: str | None) -> DataFrame:
+    return stored(spark, d, f"snapshot-{as_of}",
+                  lambda: analogs.silver_players(spark, d, as_of, order_lines(spark, d)))
+
+
 def history_after(spark: SparkSession, d: str, n_runs: int) -> DataFrame:
-    """Load the first ``n_runs`` snapshots; each version is written to a new
-    path in the shared folder before the next run reads it."""
-    silver = None
-    # The per-order line aggregate is the same for every snapshot: build it once.
-    per_order = cut_lineage(analogs.order_lines(spark, d), "order-lines") if n_runs > 1 else None
-    for run_date, as_of in RUNS[:n_runs]:
-        snap = analogs.silver_players(spark, d, as_of, per_order)
-        result = scd2_load(snap, silver, KEY, TRACKED, run_date_col(run_date))
-        silver = cut_lineage(result, "silver-version")
-    return silver
+    """History after the first ``n_runs`` loads; each load reads the stored
+    version before it and becomes a version of its own."""
+
+    def load() -> DataFrame:
+        run_date, as_of = RUNS[n_runs - 1]
+        before = history_after(spark, d, n_runs - 1) if n_runs > 1 else None
+        return scd2_load(snapshot(spark, d, as_of), before, KEY, TRACKED, run_date_col(run_date),
+                         order=["id_sfs"], materialize_input=False)
+
+    return stored(spark, d, f"silver-{n_runs}", load)
 
 
 def _sql_history(n_runs: int) -> tuple[list[str], str]:
@@ -61,7 +72,7 @@ def q_scd2_same_day(spark, d):
 def q_enrich_current(spark: SparkSession, d: str) -> DataFrame:
     """A column that first appears in a later snapshot is copied onto the
     current rows without opening new versions."""
-    snap = analogs.silver_players(spark, d, "2000-01-01")
+    snap = snapshot(spark, d, "2000-01-01")
     first = cut_lineage(scd2_load(snap.drop("tournament"), None, KEY, TRACKED,
                                   run_date_col("2026-05-01")), "silver-version")
     return scd2_load(snap, first, KEY, TRACKED, run_date_col("2026-05-08"))
@@ -78,7 +89,7 @@ def _sql_enrich() -> str:
 def q_snapshot_compare(spark: SparkSession, d: str) -> DataFrame:
     """Classify the second snapshot against the history after run 1."""
     silver = history_after(spark, d, 1)
-    snap = analogs.silver_players(spark, d, RUNS[1][1])
+    snap = snapshot(spark, d, RUNS[1][1])
     tagged = detect_changes(snap, silver, KEY, TRACKED)
     return tagged.select(KEY, F.col("__status").alias("status"))
 
@@ -93,7 +104,7 @@ def _sql_snapshot_compare() -> str:
 def q_change_summary(spark: SparkSession, d: str) -> DataFrame:
     """Number of new / changed / unchanged keys in the second load."""
     silver = history_after(spark, d, 1)
-    snap = analogs.silver_players(spark, d, RUNS[1][1])
+    snap = snapshot(spark, d, RUNS[1][1])
     return change_summary(detect_changes(snap, silver, KEY, TRACKED))
 
 

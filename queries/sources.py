@@ -36,14 +36,14 @@ def _land_events(spark: SparkSession, d: str) -> str:
 
 def q_latest_partition_scan(spark, d):
     root = _land_events(spark, d)
-    df, _ = landing.latest_partition(spark, root, EVENT_SCHEMA, timestampNTZFormat=TS_FMT)
+    df, _ = landing.latest_per_source(spark, root, EVENT_SCHEMA, timestampNTZFormat=TS_FMT)
     return df
 
 
 SQL_LATEST_PARTITION = """
 SELECT event_id, ts, user_id, event_type, value, props, event_type AS source,
        strftime(CAST(ts AS DATE), '%Y-%m-%d') AS dt
-FROM events WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)"""
+FROM events QUALIFY CAST(ts AS DATE) = max(CAST(ts AS DATE)) OVER (PARTITION BY event_type)"""
 
 
 def q_landing_partitioned(spark, d):
@@ -139,11 +139,9 @@ def q_bad_file_skip(spark, d):
                        F.lit(', "ts": ')).alias("value")).limit(1) \
       .write.mode("overwrite").text(root + "/bad")
     schema = T.StructType(EVENT_SCHEMA.fields[:6])
-    docs = (spark.read.schema(T.StructType(schema.fields + [T.StructField(documents.CORRUPT,
-                                                                         T.StringType())]))
-                 .option("mode", "PERMISSIVE").option("recursiveFileLookup", True)
-                 .option("timestampNTZFormat", TS_FMT).json(root))
-    return docs.filter(F.col(documents.CORRUPT).isNull()).drop(documents.CORRUPT)
+    docs = documents.read_documents(spark, root, schema, recursive=True, multi_line=False,
+                                    timestampNTZFormat=TS_FMT)
+    return documents.good_documents(docs, whole_files=True).drop("__file")
 
 
 def q_csv_all_string_parse(spark, d):
@@ -241,8 +239,8 @@ LINK = r'(?s)<a href="([^"]*)"[^>]*>(.*?)</a>'
 
 def q_html_rows(spark, d):
     pages = table(spark, d, "pages")
-    return html.extract_rows(pages, "html", ["page_id"], row_pattern=LI, link_pattern=LINK,
-                             value_pattern=None, scope_pattern=NAV)
+    return html.extract_rows(pages, "html", ["page_id"], row_start="<li>", link_pattern=LINK,
+                             value_pattern=r"(?s)<a href=\"/([^\"]*)\"", scope=("nav", "<nav>"))
 
 
 def _html_text_sql(x: str) -> str:
@@ -265,14 +263,14 @@ x AS (
 SELECT page_id, CAST(row_idx AS BIGINT) AS row_idx, name, href,
        CASE WHEN coalesce(string_split(href, '/')[-1], '') = '' THEN 'Unknown'
             ELSE string_split(href, '/')[-1] END AS item_id,
-       '€0' AS value
-FROM x WHERE whole <> '' AND name <> ''"""
+       substr(href, 2) AS value
+FROM x WHERE whole <> ''"""
 
 
 def q_html_first_link(spark, d):
     pages = table(spark, d, "pages")
     return html.first_link(pages, "html", "https://example.org", ["page_id"],
-                           scope_pattern=r"(?s)<article>(.*?)</article>")
+                           link_pattern=r'<a href="([^"]*)"', scope=("article", "<article>"))
 
 
 SQL_HTML_FIRST = """

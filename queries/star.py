@@ -9,18 +9,36 @@ from pyspark.sql import functions as F
 import sql_oracles as O
 from pitchforge.operators.aggregates import matched_counts
 from pitchforge.plans import analytics, rating, star
-from pitchforge.session import cut_lineage
 from queries.silver import RUNS, history_after
+from queries.store import stored
 
 STAR_RUNS = 2
 RUN_YEAR = 2026
 
 
+DIMENSIONS = ("player", "team", "position", "tournament", "season")
+
+
+def silver_history(spark: SparkSession, d: str) -> DataFrame:
+    return history_after(spark, d, STAR_RUNS)
+
+
+def gold_table(spark: SparkSession, d: str) -> DataFrame:
+    return stored(spark, d, "gold-rating", lambda: rating.gold_rating(silver_history(spark, d)))
+
+
+def star_table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """One table of the star schema; the fact reads the stored dimensions."""
+    if name in DIM_BUILDERS:
+        return stored(spark, d, f"dim-{name}", lambda: DIM_BUILDERS[name](silver_history(spark, d)))
+    return stored(spark, d, "fact", lambda: star.build_fact(
+        silver_history(spark, d), {n: star_table(spark, d, n) for n in DIMENSIONS}, gold_table(spark, d)))
+
+
 def star_inputs(spark: SparkSession, d: str):
-    """History -> gold rating table (materialised, as the Gold layer is) -> star."""
-    silver = history_after(spark, d, STAR_RUNS)
-    gold = cut_lineage(rating.gold_rating(silver), "gold-rating")
-    return silver, gold, star.build_star(silver, gold, RUN_YEAR)
+    """(history, rating, star) as stored tables."""
+    return silver_history(spark, d), gold_table(spark, d), {
+        n: star_table(spark, d, n) for n in (*DIMENSIONS, "fact")}
 
 
 def _sql(body: str) -> str:
@@ -34,12 +52,9 @@ DIM_BUILDERS = {"player": star.dim_player, "team": star.dim_team,
 
 
 def q_dim(name):
-    """One dimension needs only the history; the fact needs every dimension
-    and the rating."""
+    """One table of the star schema."""
     def run(spark, d):
-        if name in DIM_BUILDERS:
-            return DIM_BUILDERS[name](history_after(spark, d, STAR_RUNS))
-        return star_inputs(spark, d)[2][name]
+        return star_table(spark, d, name)
     run.__name__ = f"q_dim_{name}"
     return run
 
@@ -74,7 +89,7 @@ def q_star_join(spark: SparkSession, d: str) -> DataFrame:
 SQL_STAR_JOIN = _sql("""
 SELECT f.player_key, p.name AS player_name, p.sub_position, t.name AS team, tour.name AS league,
        s.name AS season, f.goals, f.assists,
-       floor(f.final_scout_score * 100.0 + 0.5) / 100.0 AS scout_score
+       round(f.final_scout_score, 2) AS scout_score
 FROM fact f LEFT JOIN dp p ON f.player_key = p.player_key
 LEFT JOIN dt t ON f.team_key = t.team_key
 LEFT JOIN dtour tour ON f.tournament_key = tour.tournament_key
@@ -109,7 +124,7 @@ dash AS (
   SELECT p.internal_player_id, p.name AS player_name, p.sub_position AS position,
          p.current_market_value AS market_value, pos.name AS position_group, t.name AS team,
          tour.name AS league, f.goals, f.assists,
-         floor(f.final_scout_score * 100.0 + 0.5) / 100.0 AS scout_score,
+         round(f.final_scout_score, 2) AS scout_score,
          {', '.join(cols)}
   FROM fact f LEFT JOIN dp p ON f.player_key = p.player_key
   LEFT JOIN dt t ON f.team_key = t.team_key
