@@ -119,12 +119,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
     near = window.withColumn("block", F.explode(blocks(F.col("fp"), radius)))
     near = near.join(items.select("item_id", "n", "shingles", F.col("fp").alias("item_fp"),
                                   F.explode(blocks(F.col("fp"), radius)).alias("block")), ["n", "block"])
-    # a pair meets in each block that agrees; the first one stands for it
-    both = F.expr("filter(transform(a, (x, i) -> if(x = b[i], x.at, -1)), i -> i >= 0)[0]")
-    near = near.withColumns({"a": blocks(F.col("fp"), radius), "b": blocks(F.col("item_fp"), radius)})
-    near = near.where((F.col("block.at") == both) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius))
-    shared = F.expr("""aggregate(array_distinct(shingles), 0, (n, x) -> n + least(
-        size(filter(seen, y -> y = x)), size(filter(shingles, y -> y = x))))""")
+    # a pair meets in each block that agrees; the first one, whose bits differ nowhere, stands for it
+    apart = blocks(F.col("fp").bitwiseXOR(F.col("item_fp")), radius)
+    first = F.element_at(F.filter(apart, lambda x: x["bits"] == 0), 1)["at"]
+    near = near.where((F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius) & (F.col("block.at") == first))
+    # without repeats on either side the common shingles are a set
+    shared = F.expr("""if(size(array_distinct(seen)) = size(seen) and size(array_distinct(shingles)) = size(shingles),
+        size(array_intersect(seen, shingles)),
+        aggregate(array_distinct(shingles), 0, (n, x) -> n + least(
+            size(filter(seen, y -> y = x)), size(filter(shingles, y -> y = x)))))""")
     exact = near.select("rid", "doc_id", "item_id", "n", "seen", "shingles", shared.alias("both")).select(
         "rid", "doc_id", "item_id", F.col("n").cast("long").alias("n_words"),
         (F.col("both") / (F.size("seen") + F.size("shingles") - F.col("both"))).alias("similarity"))
