@@ -12,16 +12,30 @@ dropped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchforge.operators.dedupe import keep_last, mint_ids
 from pitchforge.operators.fuzzy import fuzzy_best_match
+from pitchforge.sources.files import latest_version_path, next_version_path
 
 PLACEHOLDER = "unknown"
 REGISTRY_COLUMNS = ["internal_id", "left_id", "right_id", "display_name"]
 
 
+def save_registry(registry: DataFrame, base: str) -> str:
+    """Write the registry as the next version below ``base``; the one it was made from stays readable."""
+    path = next_version_path(registry.sparkSession, base)
+    registry.select(*REGISTRY_COLUMNS).write.parquet(path)
+    return path
+
+
+def load_registry(spark: SparkSession, base: str) -> DataFrame | None:
+    """The latest saved registry; None before the first run."""
+    path = latest_version_path(spark, base)
+    return None if path is None else spark.read.parquet(path)
+
+
 def resolve_entities(left: DataFrame, right: DataFrame, registry: DataFrame | None, *,
                      left_id: str, left_norm: str, left_raw: str, left_order: str,
                      right_id: str, right_norm: str, right_raw: str, right_order: str,
@@ -65,4 +79,4 @@ def resolve_entities(left: DataFrame, right: DataFrame, registry: DataFrame | No
     return merged.withColumnRenamed("__bridge", "bridge_id"), new_registry
 
 
-__all__ = ["resolve_entities", "PLACEHOLDER", "REGISTRY_COLUMNS"]
+__all__ = ["resolve_entities", "save_registry", "load_registry", "PLACEHOLDER", "REGISTRY_COLUMNS"]

@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 from pitchforge.session import path_exists
 
 
-def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:
-    """Header row, every column a string (no inference), quoted newlines ok."""
+def read_csv_strings(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Header row, every column a string (no inference).
+
+    With ``multi_line`` quoted values may hold newlines, and a file is one task;
+    without it files are split.
+    """
     return (spark.read.option("header", True).option("inferSchema", False)
-                 .option("multiLine", True).option("escape", '"').csv(path))
+                 .option("multiLine", multi_line).option("escape", '"').csv(path))
 
 
 def write_csv(df: DataFrame, path: str) -> None:

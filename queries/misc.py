@@ -15,6 +15,7 @@ from pitchforge.operators.dedupe import dense_key, display_rank, keep_last, mint
 from pitchforge.operators.fuzzy import fuzzy_best_match
 from pitchforge.operators.setops import concat_union, union_domains
 from pitchforge.plans import analogs, analytics, rating
+from pitchforge.plans.profiles import assemble_profiles, first_items
 from pitchforge.plans.resolve import resolve_entities
 from pitchforge.plans.star import schema_report
 from pitchforge.sources.tables import DRIVER_TABLES, table
@@ -371,31 +372,39 @@ def q_resolve_entities(spark, d):
         left_id="left_id", left_norm="name_norm", left_raw="name_raw", left_order="left_order",
         right_id="right_id", right_norm="right_norm", right_raw="right_raw",
         right_order="right_order")
-    return merged
+    return merged.withColumns({c: F.col(c).cast("string") for c in ("left_order", "right_id", "right_order")})
 
 
 # ------------------------------------------------------------ C18 / F4 / I29
 def q_profiles(spark, d):
-    """Per customer one profile struct from several 'endpoints' (core,
-    season stats, first 10 recent orders, team rank), failed parts null."""
-    c = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    """Per customer core fields, season stats, the last 10 orders and the team
+    rank as one profile; suppliers' nations beyond 20 have no table position."""
+    c = table(spark, d, "customer").select("c_custkey", "c_name", F.col("c_nationkey").cast("bigint").alias("team_id"))
     stats = analogs.customer_metrics(spark, d).select(
-        F.col("custkey").alias("c_custkey"), F.struct("n_li", "qty", "goals", "assists")
-        .alias("season_stats"))
-    from pyspark.sql import Window
-    o = table(spark, d, "orders")
-    w = Window.partitionBy("o_custkey").orderBy(F.col("o_orderdate").desc(), F.col("o_orderkey").desc())
-    recent = (o.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= 10)
-               .groupBy(F.col("o_custkey").alias("c_custkey"))
-               .agg(F.array_sort(F.collect_list(F.struct(F.col("__r").alias("i"), "o_orderkey",
-                                                         "o_totalprice"))).alias("recent_matches")))
-    ranks = analogs.standings(spark, d).select(F.col("team_id").alias("__t"),
-                                               F.col("position").alias("team_rank"))
-    prof = (c.join(stats, "c_custkey", "left").join(recent, "c_custkey", "left")
-             .join(ranks, F.col("c_nationkey").cast("bigint") == F.col("__t"), "left"))
-    return prof.select("c_custkey", "c_mktsegment", F.struct(
-        F.struct("c_custkey", "c_name").alias("core_info"), "season_stats", "recent_matches",
-        F.coalesce(F.col("team_rank"), F.lit(20)).alias("team_rank")).alias("profile"))
+        F.col("custkey").alias("c_custkey"), F.struct("n_li", "qty", "goals", "assists").alias("s"))
+    o = table(spark, d, "orders").withColumnRenamed("o_custkey", "c_custkey")
+    recent = first_items(o, "c_custkey", [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()],
+                         ["o_orderkey", "o_totalprice"], 10, "m")
+    ranks = analogs.standings(spark, d).filter("team_id <= 20").select("team_id", F.col("position").alias("team_rank"))
+    prof = assemble_profiles(c, "c_custkey", ["c_custkey", "c_name"], {"season_stats": stats, "recent_matches": recent},
+                             ranks, "team_id")
+    p = F.col("profile")
+    return prof.select(
+        "c_custkey", p["core_info"]["c_name"].alias("name"), p["season_stats"]["n_li"].alias("n_li"),
+        p["season_stats"]["qty"].alias("qty"), p["season_stats"]["goals"].alias("goals"),
+        p["season_stats"]["assists"].alias("assists"), p["team_rank"].alias("team_rank"),
+        F.array_join(F.transform(p["recent_matches"], lambda x: x["o_orderkey"].cast("string")), ",").alias("recent_orders"))
+
+
+SQL_PROFILES = O.with_ctes(O.silver_ctes(), body="""
+SELECT c_custkey, c_name AS name, n_li, qty, goals, assists,
+       coalesce(CASE WHEN c_nationkey <= 20 THEN st.position END, 20) AS team_rank, r.recent_orders
+FROM customer LEFT JOIN cm ON c_custkey = cm.custkey
+LEFT JOIN standings st ON st.team_id = c_nationkey
+LEFT JOIN (SELECT o_custkey, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY n) AS recent_orders
+           FROM (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey
+                 ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM orders) WHERE n <= 10 GROUP BY 1) r
+  ON c_custkey = r.o_custkey""")
 
 
 def q_schema_report(spark, d):
@@ -403,6 +412,35 @@ def q_schema_report(spark, d):
     return schema_report({t: table(spark, d, t) for t in DRIVER_TABLES})
 
 
+# Columns of the driver tables.
+DRIVER_SCHEMA = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
+def schema_sql() -> str:
+    rows = [(t, i, *c.split(" ")) for t, cols in DRIVER_SCHEMA.items() for i, c in enumerate(cols.split(", "))]
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST({i} AS INTEGER) AS ordinal, '{kind}' AS data_type, "
+        f"'' AS role, COUNT(*) AS n_rows, COUNT({c}) AS non_null FROM {t}" for t, i, c, kind in rows)
+
+
 # ------------------------------------------------------------- I18 / I19
 def q_standings_view(spark, d):
     return analytics.league_standings(analogs.standings(spark, d), "EUROPE",
@@ -435,6 +473,44 @@ FROM sp WHERE league_sfs = 'AUTO MOBILE' OR replace(league_sfs, ' ', '') = 'AUTO
    OR league_sfs IN ('AUTOMOBILE')""")
 
 
+# ------------------------------------------------- SQL of C4 / H4 / E8 / I3
+def fuzzy_ctes(sfx: str = "", left: str = "TRUE", right: str = "TRUE") -> str:
+    """CTEs l (left rows) and best (name -> best part): the longest common
+    subsequence by its table, row after row, of every pair of distinct sorted names."""
+    sort = lambda x: f"array_to_string(list_sort(string_split({x}, ' ')), ' ')"
+    return f"""
+l0{sfx} AS (SELECT p_partkey, CASE WHEN p_partkey % 2 = 0
+            THEN array_to_string(list_reverse(string_split(p_name, ' ')), ' ') ELSE p_name END AS s FROM part WHERE {left}),
+l1{sfx} AS (SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN replace(s, 'e', 'a') ELSE s END AS name_raw FROM l0{sfx}),
+l{sfx} AS (SELECT p_partkey, name_raw, {O.norm_sql('name_raw')} AS name_norm FROM l1{sfx}),
+r{sfx} AS (SELECT p_partkey, p_name, {sort(O.norm_sql('p_name'))} AS b FROM part WHERE {right}
+           QUALIFY row_number() OVER (PARTITION BY b ORDER BY p_partkey) = 1),
+a{sfx} AS (SELECT DISTINCT {sort('name_norm')} AS a FROM l{sfx} WHERE name_norm <> ''),
+pair{sfx} AS (SELECT a, b, p_partkey, p_name, length(a) AS n, length(b) AS m FROM a{sfx}, r{sfx}
+              WHERE 85 * (length(a) + length(b)) <= 200 * least(length(a), length(b))),
+lcs{sfx} AS (SELECT *, list_reduce(
+    list_prepend([0 FOR j IN range(m + 1)], [[ord(substr(a, i, 1))] FOR i IN range(1, n + 1)]),
+    lambda prev, ch: list_reduce(list_prepend([0], [[j] FOR j IN range(1, m + 1)]),
+      lambda row, j: list_append(row, CASE WHEN ord(substr(b, j[1], 1)) = ch[1] THEN prev[j[1]] + 1
+                                           ELSE greatest(row[j[1]], prev[j[1] + 1]) END)))[m + 1] AS lcs
+  FROM pair{sfx}),
+top{sfx} AS (SELECT a, 200.0::DOUBLE * lcs / (n + m) AS score, p_partkey AS right_id, p_name AS right_raw FROM lcs{sfx}
+             WHERE 200 * lcs >= 85 * (n + m)
+             QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, p_partkey) = 1),
+best{sfx} AS (SELECT name_norm, score, right_id, right_raw FROM (SELECT DISTINCT name_norm FROM l{sfx}) x
+              JOIN top{sfx} ON {sort('name_norm')} = a)"""
+
+
+SQL_FUZZY = "WITH " + fuzzy_ctes() + " SELECT * FROM best"
+SQL_RESOLVE = "WITH " + fuzzy_ctes() + f"""
+SELECT CAST(l.p_partkey AS VARCHAR) AS left_id, l.name_raw, l.name_norm, l.p_partkey AS left_order,
+       printf('PLR_%05d', row_number() OVER (ORDER BY l.p_partkey)) AS internal_id,
+       coalesce(CAST(best.right_id AS VARCHAR), 'unknown') AS bridge_id,
+       best.right_id, best.right_raw, {O.norm_sql('best.right_raw')} AS right_norm0, best.right_id AS right_order
+FROM l LEFT JOIN best USING (name_norm)"""
+SQL_RESOLVE = f"SELECT * EXCLUDE (right_norm0) REPLACE (CAST(left_order AS VARCHAR) AS left_order, CAST(right_id AS VARCHAR) AS right_id, CAST(right_order AS VARCHAR) AS right_order), CASE WHEN right_id IS NOT NULL THEN right_norm0 END AS right_norm FROM ({SQL_RESOLVE})"
+
+
 QUERIES = {
     "text_norm": (q_text_norm, SQL_TEXT_NORM),
     "string_formats": (q_string_formats, SQL_STRING_FORMATS),
@@ -455,10 +531,10 @@ QUERIES = {
     "registry_lookup": (q_registry_lookup, SQL_REGISTRY_LOOKUP),
     "bridge_join": (q_bridge_join, SQL_BRIDGE),
     "contract_report": (q_contract_report, SQL_CONTRACT),
-    "fuzzy_match": (q_fuzzy_match, None),
-    "resolve_entities": (q_resolve_entities, None),
-    "profiles": (q_profiles, None),
-    "schema_report": (q_schema_report, None),
+    "fuzzy_match": (q_fuzzy_match, SQL_FUZZY),
+    "resolve_entities": (q_resolve_entities, SQL_RESOLVE),
+    "profiles": (q_profiles, SQL_PROFILES),
+    "schema_report": (q_schema_report, schema_sql()),
     "standings_view": (q_standings_view, SQL_STANDINGS_VIEW),
     "top_view": (q_top_view, SQL_TOP_VIEW),
 }
