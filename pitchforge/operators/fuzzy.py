@@ -10,17 +10,20 @@ Plan, all DataFrame operations:
    keeps the first row per sorted form: same sorted form => same score for
    every left name, so only the earliest can win).
 2. Exact pass: equal sorted strings score 100 and cannot be beaten.
-3. Candidate pass (pass-join segment filter, Li et al., VLDB 2011).  A score
-   >= t implies the indel distance d <= floor((100-t)/100*(a+b)) and
-   a/b within [t/(200-t), (200-t)/t].  The right string of length b is cut
-   into tau(b)+1 even segments, tau(b) being the largest feasible distance; at
-   least one survives intact in the left string, shifted by at most tau(b).
-   Left strings emit exactly the substrings that could be such a survivor,
-   keyed by (b, segment index, text), so the equi-join yields only pairs that
-   share a positioned segment: a necessary condition, never a cap.
-4. Distinct candidate pairs are verified by an Arrow UDF (bit-parallel LCS),
-   kept when 200*LCS >= t*(a+b) (integer test), and the best per left string
-   is chosen by (score desc, right order asc).
+3. Candidate pass (pass-join segment filter, Li et al., VLDB 2011), for each
+   pair of lengths (a, b) on its own.  A score >= t allows an indel distance of
+   d = floor((100-t)/100*(a+b)).  Of d + 1 even segments of the right string at
+   least one survives intact in the left string; of the at most d edits,
+   (d + a - b)/2 are extra characters of the left and (d - a + b)/2 missing ones,
+   which bounds its shift to either side.  The equi-join on (a, b, segment
+   number, text) yields only pairs that share a placed segment: a necessary
+   condition, never a cap.
+4. A second necessary condition: the common characters, with multiplicity,
+   bound the LCS from above.  It is a set intersection of (character, number)
+   pairs in the JVM and leaves few pairs for the Arrow UDF.
+5. Distinct candidate pairs are verified by that UDF (bit-parallel LCS), kept
+   when 200*LCS >= t*(a+b) (integer test), and the best per left string is chosen
+   by (score desc, right order asc).
 """
 
 from __future__ import annotations
@@ -31,18 +34,20 @@ from pyspark.sql import functions as F
 from pitchforge.functions.text import lcs_udf, token_sort_key
 from pitchforge.operators.dedupe import first_per_key
 
+#: Below this a string may have fewer characters than segments.
+LEAST_THRESHOLD = 70
 
-def _feasible_b_bounds(a: Column, t: int) -> tuple[Column, Column]:
-    """Right lengths b compatible with left length a: t*(a+b) <= 200*min(a,b)."""
-    lo = F.ceil(a * F.lit(t) / F.lit(200 - t))
-    hi = F.floor(a * F.lit(200 - t) / F.lit(t))
-    return lo.cast("int"), hi.cast("int")
 
+def _feasible(n: Column, t: int) -> Column:
+    """Lengths a partner of a string of length n can have: t*(a+b) <= 200*min(a,b)."""
+    lo = F.greatest(F.lit(1), F.ceil(n * F.lit(t) / F.lit(200 - t)).cast("int"))
+    hi = F.floor(n * F.lit(200 - t) / F.lit(t)).cast("int")
+    return F.when(lo <= hi, F.sequence(lo, hi))
 
-def _tau(b: Column, t: int) -> Column:
-    """Largest indel distance any feasible partner of a length-b string can have."""
-    a_max = F.floor(b * F.lit(200 - t) / F.lit(t))
-    return F.floor((b + a_max) * F.lit(100 - t) / F.lit(100)).cast("int")
+
+def _distance(a: Column, b: Column, t: int) -> Column:
+    """Largest indel distance of strings of lengths a and b with a score of t."""
+    return F.floor((a + b) * F.lit(100 - t) / F.lit(100)).cast("int")
 
 
 def _segment(b: Column, k: Column, i: Column) -> tuple[Column, Column]:
@@ -57,36 +62,46 @@ def _segment(b: Column, k: Column, i: Column) -> tuple[Column, Column]:
 
 
 def right_segments(right_sorted: DataFrame, t: int) -> DataFrame:
-    """(rs, b, seg_i, seg_text) for every distinct right sorted string."""
-    b = F.length("rs")
-    k = _tau(b, t) + 1
-    df = right_sorted.select("rs", b.alias("b"), k.alias("k"))
-    df = df.select("rs", "b", "k", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("seg_i"))
+    """(rs, a, b, seg_i, seg_text): the segments of each string, for each partner length a."""
+    df = right_sorted.select("rs", F.length("rs").alias("b"))
+    df = df.select("rs", "b", F.explode(_feasible(F.col("b"), t)).alias("a"))
+    df = df.withColumn("k", _distance(F.col("a"), F.col("b"), t) + 1)
+    df = df.select("rs", "a", "b", "k", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("seg_i"))
     start, ln = _segment(F.col("b"), F.col("k"), F.col("seg_i"))
-    return df.select("rs", "b", "seg_i",
-                     F.substring(F.col("rs"), start + 1, ln).alias("seg_text"))
+    return df.select("rs", "a", "b", "seg_i", F.substring(F.col("rs"), start + 1, ln).alias("seg_text"))
 
 
 def left_probes(left_sorted: DataFrame, t: int) -> DataFrame:
-    """(ls, b, seg_i, seg_text): substrings of ls that could be an intact
-    segment of some feasible right string of length b."""
-    a = F.length("ls")
-    lo, hi = _feasible_b_bounds(a, t)
-    df = left_sorted.select("ls", a.alias("a"), lo.alias("lo"), hi.alias("hi"))
-    df = df.filter(F.col("lo") <= F.col("hi")).select(
-        "ls", "a", F.explode(F.sequence(F.greatest(F.col("lo"), F.lit(1)), F.col("hi"))).alias("b"))
-    df = df.withColumn("tau", _tau(F.col("b"), t)).withColumn("k", F.col("tau") + 1)
-    df = df.select("ls", "a", "b", "tau", "k",
-                   F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("seg_i"))
+    """(ls, a, b, seg_i, seg_text): substrings of ls that can be a surviving segment
+    of a right string of length b, within the shift that the two lengths allow."""
+    df = left_sorted.select("ls", F.length("ls").alias("a"))
+    df = df.select("ls", "a", F.explode(_feasible(F.col("a"), t)).alias("b"))
+    df = df.withColumn("d", _distance(F.col("a"), F.col("b"), t)).withColumn("k", F.col("d") + 1)
+    df = df.select("*", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("seg_i"))
     start, ln = _segment(F.col("b"), F.col("k"), F.col("seg_i"))
-    df = df.select("ls", "a", "b", "seg_i", start.alias("st"), ln.alias("ln"), "tau")
-    lo_q = F.greatest(F.lit(0), F.col("st") - F.col("tau"))
-    hi_q = F.least(F.col("a") - F.col("ln"), F.col("st") + F.col("tau"))
-    df = df.filter((F.col("ln") >= 1) & (lo_q <= hi_q))
-    df = df.select("ls", "b", "seg_i", "ln",
-                   F.explode(F.sequence(lo_q, hi_q)).alias("q"))
-    return df.select("ls", "b", "seg_i",
-                     F.substring(F.col("ls"), F.col("q") + 1, F.col("ln")).alias("seg_text"))
+    extra = F.floor((F.col("d") + F.col("a") - F.col("b")) / 2)
+    missing = F.floor((F.col("d") - F.col("a") + F.col("b")) / 2)
+    df = df.select("ls", "a", "b", "seg_i", ln.cast("int").alias("ln"),
+                   F.greatest(F.lit(0), start - missing).cast("int").alias("lo"),
+                   F.least(F.col("a") - ln, start + extra).cast("int").alias("hi"))
+    df = df.filter(F.col("lo") <= F.col("hi")).withColumn("q", F.explode(F.sequence(F.col("lo"), F.col("hi"))))
+    return df.select("ls", "a", "b", "seg_i", F.substring(F.col("ls"), F.col("q") + 1, F.col("ln")).alias("seg_text")).distinct()
+
+
+def numbered_characters(text: Column) -> Column:
+    """The characters of a text, the n-th 'e' as 'e' with n: their common ones count with multiplicity."""
+    chars = F.array_sort(F.filter(F.split(text, ""), lambda c: c != ""))
+    return F.transform(chars, lambda c, i: F.concat(c, (i - F.array_position(chars, c)).cast("string")))
+
+
+def candidate_pairs(left_sorted: DataFrame, right_sorted: DataFrame, t: int) -> DataFrame:
+    """Distinct (ls, rs) that pass both necessary conditions."""
+    segs = right_segments(right_sorted, t)
+    pairs = left_probes(left_sorted, t).join(segs, ["a", "b", "seg_i", "seg_text"]).select("ls", "rs", "a", "b").distinct()
+    pairs = pairs.join(left_sorted.select("ls", numbered_characters(F.col("ls")).alias("lc")), "ls")
+    pairs = pairs.join(right_sorted.select("rs", numbered_characters(F.col("rs")).alias("rc")), "rs")
+    common = F.size(F.array_intersect("lc", "rc"))
+    return pairs.filter(common * F.lit(200) >= F.lit(t) * (F.col("a") + F.col("b"))).select("ls", "rs")
 
 
 def fuzzy_best_match(left: DataFrame, left_name: str, right: DataFrame, right_name: str,
@@ -99,6 +114,8 @@ def fuzzy_best_match(left: DataFrame, left_name: str, right: DataFrame, right_na
     form).
     """
     t = int(threshold)
+    if t < LEAST_THRESHOLD:
+        raise ValueError(f"the segment filter is lossless from a threshold of {LEAST_THRESHOLD} on")
     lnames = (left.select(F.col(left_name).alias("lname"))
                   .filter(F.col("lname").isNotNull() & (F.col("lname") != "")).distinct()
                   .withColumn("ls", token_sort_key("lname")))
@@ -112,9 +129,7 @@ def fuzzy_best_match(left: DataFrame, left_name: str, right: DataFrame, right_na
     exact_pairs = exact.select("ls", F.col("ls").alias("rs"), F.lit(100.0).alias("score"))
 
     todo = ls_distinct.join(exact, "ls", "left_anti")
-    probes = left_probes(todo, t)
-    segs = right_segments(rfirst.select("rs"), t)
-    cands = probes.join(segs, ["b", "seg_i", "seg_text"]).select("ls", "rs").distinct()
+    cands = candidate_pairs(todo, rfirst.select("rs"), t)
     total = F.length("ls") + F.length("rs")
     lcs = lcs_udf(F.col("ls"), F.col("rs"))
     scored = (cands.withColumn("__lcs", lcs)
@@ -126,4 +141,4 @@ def fuzzy_best_match(left: DataFrame, left_name: str, right: DataFrame, right_na
                                            *right_cols))
 
 
-__all__ = ["fuzzy_best_match", "left_probes", "right_segments"]
+__all__ = ["fuzzy_best_match", "candidate_pairs", "left_probes", "right_segments"]
