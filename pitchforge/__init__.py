@@ -8,7 +8,6 @@ DataFrame.  Sub-packages:
 * ``operators`` – generic relational building blocks (dedupe, joins, scaling,
   fuzzy matching, contract, SCD2, set operations)
 * ``plans``     – composites: rating, star schema, analytics, resolution
-* ``streaming`` – file-source stream feeding the SCD2 load per micro-batch
 """
 
 from pitchforge.session import get_session, scratch_path  # noqa: F401

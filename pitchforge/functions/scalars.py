@@ -138,6 +138,12 @@ def run_date_col(run_date: str | None) -> Column:
     return F.to_date(F.lit(run_date)) if run_date else F.current_date()
 
 
+def run_stamp(moment: str | None = None) -> Column:
+    """H23: 'yyyyMMdd_HHmm' of a moment, of now without one."""
+    at = F.to_timestamp(F.lit(moment)) if moment else F.current_timestamp()
+    return F.date_format(at, "yyyyMMdd_HHmm")
+
+
 def millions(col) -> Column:
     """H24."""
     return _col(col) / F.lit(1e6)

@@ -17,10 +17,10 @@ from pitchforge.functions.positions import (DEFAULT_COMPARISON_GROUP, DEFAULT_ME
                                             position_abbreviation)
 from pitchforge.functions.scalars import (millions, radar_multiplier, round_half_up,
                                           signed_number, url_from_id)
-from pitchforge.operators.aggregates import value_counts
+from pitchforge.operators.aggregates import axis_stats, value_counts
 from pitchforge.operators.columns import column_or, mode_switch, name_matches, participation
 from pitchforge.operators.dedupe import display_rank, keep_first
-from pitchforge.operators.joins import bounded_broadcast_join
+from pitchforge.operators.joins import attach_first, bounded_broadcast_join
 
 TEAM_LOGO = ("https://img.example.org/team/", "/image")
 
@@ -125,6 +125,29 @@ def quadrants(df: DataFrame, value: str = "market_value", score: str = "scout_sc
                        label.alias("quadrant"))
 
 
+def quadrant_anchors(df: DataFrame, value: str = "market_value", score: str = "scout_score") -> DataFrame:
+    """Where each quadrant's label goes, half way between the means and the extremes."""
+    both = df.filter(F.col(value).isNotNull() & F.col(score).isNotNull()).select(
+        millions(value).alias("x"), F.col(score).cast("double").alias("y"))
+    one = axis_stats(both, "x", "y")
+    left = F.col("x_min") + (F.col("x_mean") - F.col("x_min")) / 2
+    right = F.col("x_mean") + (F.col("x_max") - F.col("x_mean")) / 2
+    low = F.col("y_min") + (F.col("y_mean") - F.col("y_min")) / 2
+    high = F.col("y_mean") + (F.col("y_max") - F.col("y_mean")) / 2
+    rows = [F.struct(F.lit(name).alias("quadrant"), x.alias("x"), y.alias("y")) for name, x, y in (
+        ("Underrated", left, high), ("World Class", right, high), ("Rotation / Normal", left, low), ("Overrated", right, low))]
+    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+def dashboard_rating(rating: DataFrame, dashboard: DataFrame) -> DataFrame:
+    """The rating table with value, league and team from the player's
+    first dashboard row; a rating that has a value keeps its own columns."""
+    if "market_value" in rating.columns:
+        return rating
+    return attach_first(rating, dashboard, "internal_player_id", ["valid_from", "league", "team"], {
+        "market_value": "market_value", "league": "dashboard_league", "team": "dashboard_team"})
+
+
 def club_distribution(df: DataFrame, top: int | None = 10, team: str = "team") -> DataFrame:
     """Players per club, most first (name breaks ties), top ``n``."""
     vc = value_counts(df, team, "n_players")
@@ -136,10 +159,10 @@ def position_distribution(df: DataFrame, position: str = "position") -> DataFram
     return value_counts(df.withColumn("abbr", position_abbreviation(position)), "abbr", "n_players")
 
 
-def market_value_history(dim_player: DataFrame) -> DataFrame:
+def market_value_history(dim_player: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Non-null values by player name and date, in millions."""
     return (dim_player.filter(F.col("current_market_value").isNotNull())
-                      .select("name", "valid_from",
+                      .select("name", "valid_from", *keep,
                               millions("current_market_value").alias("value_millions"))
                       .orderBy(F.col("valid_from").asc_nulls_last(), "name"))
 
@@ -215,6 +238,6 @@ def auto_metrics(pairs: DataFrame, pos_a: str, pos_b: str) -> DataFrame:
                         F.posexplode(chosen).alias("slot", "metric"))
 
 
-__all__ = ["dashboard_frame", "league_standings", "top_players", "kpis", "quadrants",
+__all__ = ["dashboard_frame", "quadrant_anchors", "dashboard_rating", "league_standings", "top_players", "kpis", "quadrants",
            "club_distribution", "position_distribution", "market_value_history", "leaderboard",
            "radar", "compare_players", "auto_metrics"]

@@ -94,17 +94,26 @@ def toplist_rows(df: DataFrame, league_default: str = "Unknown") -> DataFrame:
     return keep_last(flat, ["league_name", "player_id"], ["__file", "__idx"]).drop("__file", "__idx")
 
 
+#: Items of one envelope document.
+ENVELOPE_ITEMS = 10_000
+
+
 def envelope(df: DataFrame, group_cols: Sequence[str], item_cols: Sequence[str],
-             extracted_at: Column, order_col: str | None = None) -> DataFrame:
+             extracted_at: Column, order_col: str | None = None, max_items: int = ENVELOPE_ITEMS) -> DataFrame:
     """Documents ``{metadata:{extracted_at, <group>, chunk, total}, data:[items]}``.
 
-    A document holds the items of one group *from one input split* (the
-    reference lands data in chunks, too), so no document - and no task -
-    ever collects an unbounded group: a group holding a third of all rows
-    becomes many documents.  Items are sorted by ``order_col`` when given.
+    A document holds about half of ``max_items`` items of one group, dealt by a
+    hash of the item, so a group of any size becomes documents of bounded size,
+    and the same ones in every run.  Group sizes come from a first pass whose
+    sums combine before the shuffle.  Items are sorted by ``order_col`` when given.
     """
     item = F.struct(*[F.col(c) for c in item_cols])
-    chunked = df.withColumn("chunk", F.spark_partition_id())
+    sizes = df.groupBy(*group_cols).agg(F.ceil(F.count(F.lit(1)) / F.lit(max(1, max_items // 2))).alias("__chunks"))
+    same = [F.col(f"__g{i}").eqNullSafe(F.col(c)) for i, c in enumerate(group_cols)]
+    sizes = sizes.select(*[F.col(c).alias(f"__g{i}") for i, c in enumerate(group_cols)], "__chunks")
+    dealt = df.join(sizes, same) if same else df.crossJoin(F.broadcast(sizes))
+    salt = F.xxhash64(item, *([F.col(order_col)] if order_col else []))
+    chunked = dealt.withColumn("chunk", F.pmod(salt, F.col("__chunks")).cast("int"))
     if order_col:
         items = F.transform(
             F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("__o"), item.alias("__v")))),

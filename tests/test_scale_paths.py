@@ -39,11 +39,14 @@ def test_latest_partition_reads_only_latest(spark):
     assert "PartitionFilters" in plan and "2024-01-03" in plan
 
 
-def test_envelope_chunks_by_split(spark):
-    df = spark.range(0, 1000).repartition(4).select(F.lit("L").alias("league"), "id")
-    env = documents.envelope(df, ["league"], ["id"], F.current_date(), order_col="id")
+def test_envelope_documents_are_bounded(spark):
+    df = spark.range(0, 1000).repartition(4).select(F.when(F.col("id") >= 20, "L").alias("league"), "id")
+    env = documents.envelope(df, ["league"], ["id"], F.current_date(), order_col="id", max_items=200)
     rows = env.collect()
-    assert len(rows) == 4                                     # one document per input split
+    assert len([r for r in rows if r.league == "L"]) == 10 and max(len(r.data) for r in rows) <= 200
+    assert sorted((r.league or "", r.chunk, len(r.data)) for r in rows) == sorted(
+        (r.league or "", r.chunk, len(r.data)) for r in documents.envelope(
+            df.repartition(3), ["league"], ["id"], F.current_date(), order_col="id", max_items=200).collect())
     assert sum(r.metadata.total for r in rows) == 1000
     for r in rows:
         ids = [x.id for x in r.data]
