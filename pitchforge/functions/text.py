@@ -120,11 +120,6 @@ def camel_to_snake(name: str) -> str:
     return _CAMEL.sub("_", name).lower()
 
 
-def camel_to_snake_col(col: Column | str) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return F.lower(F.regexp_replace(c, r"(?<!^)(?=[A-Z])", "_"))
-
-
 # ---------------------------------------------------------------------------
 # H4: token-sort similarity
 def token_sort_key(col: Column | str) -> Column:
@@ -178,5 +173,5 @@ def token_sort_ratio(left_sorted: Column, right_sorted: Column) -> Column:
 
 
 __all__ = ["normalize_text", "normalize_text_udf", "strip_accents", "camel_to_snake",
-           "camel_to_snake_col", "token_sort_key", "lcs_length", "indel_ratio",
+           "token_sort_key", "lcs_length", "indel_ratio",
            "token_sort_ratio", "token_sort_ratio_py", "lcs_udf", "FIXED_TRANSLITERATIONS"]

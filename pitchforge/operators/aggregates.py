@@ -12,13 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def total_and_conditional(df: DataFrame, condition: Column, total: str = "total",
-                          matched: str = "matched") -> DataFrame:
-    """COUNT(*) and the number of rows meeting ``condition``."""
-    return df.agg(F.count(F.lit(1)).alias(total),
-                  F.count_if(condition).cast("bigint").alias(matched))
-
-
 def value_counts(df: DataFrame, col: str, count_col: str = "count") -> DataFrame:
     """Rows per value, null value dropped, most frequent first."""
     return (df.filter(F.col(col).isNotNull()).groupBy(col)
@@ -26,12 +19,6 @@ def value_counts(df: DataFrame, col: str, count_col: str = "count") -> DataFrame
               .orderBy(F.col(count_col).desc(), F.col(col).asc()))
 
 
-def top_values(df: DataFrame, col: str, n: int | None, count_col: str = "count") -> DataFrame:
-    """the ``n`` most frequent values (all when ``n`` is None)."""
-    vc = value_counts(df, col, count_col)
-    return vc if n is None else vc.limit(n)
-
-
 def distinct_sorted(df: DataFrame, col: str) -> DataFrame:
     """Distinct non-null values, ascending."""
     return df.select(col).filter(F.col(col).isNotNull()).distinct().orderBy(col)
@@ -44,21 +31,6 @@ def distinct_fallback(df: DataFrame, cols: Sequence[str], out: str = "name") ->
               .distinct())
 
 
-def kpis(df: DataFrame, team: str = "team", league: str = "league",
-         score: str = "scout_score") -> DataFrame:
-    """Rows, distinct teams, distinct leagues, mean score."""
-    return df.agg(F.count(F.lit(1)).alias("n_rows"),
-                  F.countDistinct(team).alias("n_teams"),
-                  F.countDistinct(league).alias("n_leagues"),
-                  F.avg(score).alias("mean_score"))
-
-
-def floored_max(df: DataFrame, metrics: Sequence[str], floor: float = 1.0) -> DataFrame:
-    """Per-metric max over the set, null -> ``floor``, at least ``floor``."""
-    return df.agg(*[F.greatest(F.coalesce(F.max(m).cast("double"), F.lit(floor)),
-                               F.lit(floor)).alias(f"max_{m}") for m in metrics])
-
-
 def axis_stats(df: DataFrame, x: str, y: str) -> DataFrame:
     """mean/min/max of two axes in one aggregate."""
     return df.agg(F.avg(x).alias("x_mean"), F.min(x).alias("x_min"), F.max(x).alias("x_max"),
@@ -74,11 +46,5 @@ def matched_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.agg(*aggs)
 
 
-def status_counts(df: DataFrame, status: str = "status") -> DataFrame:
-    """Change-summary counts."""
-    return df.groupBy(status).agg(F.count(F.lit(1)).alias("n"))
-
-
-__all__ = ["total_and_conditional", "value_counts", "top_values", "distinct_sorted",
-           "distinct_fallback", "kpis", "floored_max", "axis_stats", "matched_counts",
-           "status_counts"]
+__all__ = ["value_counts", "distinct_sorted",
+           "distinct_fallback", "axis_stats", "matched_counts"]

@@ -80,10 +80,6 @@ def drop_null_key(df: DataFrame, key: str) -> DataFrame:
     return df.dropna(subset=[key])
 
 
-def current_only(df: DataFrame, flag: str = "is_current") -> DataFrame:
-    return df.filter(F.col(flag) == F.lit(True))
-
-
 # ------------------------------------------------------------ B6 / B7 / B8
 def dashboard_filter(df: DataFrame, *, leagues: Sequence[str] = (),
                      positions: Sequence[str] = (), teams: Sequence[str] = (),
@@ -198,11 +194,9 @@ def _has_struct(dtype: T.DataType) -> bool:
 
 
 # -------------------------------------------------------------------- B19
-def exists_columns(df: DataFrame, names: Sequence[str]) -> list[str]:
-    """Which of ``names`` exist (plan-time catalog probe)."""
-    return [n for n in names if n in df.columns]
+
 
 __all__ = ["select_rename", "keep_existing", "metric_rename_map", "flatten_schema", "flatten",
-           "drop_null_key", "current_only", "dashboard_filter", "latest_snapshot",
+           "drop_null_key", "dashboard_filter", "latest_snapshot",
            "name_matches", "participation", "mode_switch", "with_default", "column_or",
-           "sample_status", "prune_fields", "exists_columns"]
+           "sample_status", "prune_fields"]

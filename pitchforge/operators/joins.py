@@ -116,10 +116,6 @@ def rank_lookup(df: DataFrame, ranks: DataFrame, left_on: str, right_on: str,
                        defaults={out_col: default})
 
 
-def null_safe_equal(a: Column, b: Column) -> Column:
-    return a.eqNullSafe(b)
-
-
 def bounded_broadcast_join(big: DataFrame, small: DataFrame, on: str | Sequence[str],
                            how: str = "left", max_rows: int = 1_000_000,
                            name: str = "small-side", materialized: bool = False) -> DataFrame:
@@ -142,4 +138,4 @@ def bounded_broadcast_join(big: DataFrame, small: DataFrame, on: str | Sequence[
 
 __all__ = ["left_lookup", "latest_join", "registry_lookup", "bridge_join", "attach_first",
            "membership_flag", "work_list", "upsert_mapping", "compare_entities",
-           "rank_lookup", "null_safe_equal", "bounded_broadcast_join"]
+           "rank_lookup", "bounded_broadcast_join"]

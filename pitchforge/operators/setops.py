@@ -30,10 +30,4 @@ def key_intersection(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFra
     return a.select(*keys).distinct().join(b.select(*keys), list(keys), "left_semi")
 
 
-def union_all_names(config: DataFrame, name_col: str = "metric") -> DataFrame:
-    """Distinct metric names across configuration rows."""
-    return config.select(name_col).distinct()
-
-
-__all__ = ["union_domains", "concat_union", "key_difference", "key_intersection",
-           "union_all_names"]
+__all__ = ["union_domains", "concat_union", "key_difference", "key_intersection"]

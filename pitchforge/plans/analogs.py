@@ -207,14 +207,5 @@ def silver_players(spark: SparkSession, sf_dir: str, as_of: str | None = None,
     )
 
 
-def valuation_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(internal_player_id, valuation_date, market_value) from orders."""
-    o = table(spark, sf_dir, "orders")
-    return o.select(zero_padded_id(F.col("o_custkey") + 1).alias("internal_player_id"),
-                    F.to_date("o_orderdate").alias("valuation_date"),
-                    F.col("o_totalprice").alias("market_value"),
-                    F.col("o_orderkey"))
-
-
 __all__ = ["POSITIONS", "orders_as_of", "order_lines", "customer_metrics", "latest_orders", "standings",
-           "silver_players", "valuation_history"]
+           "silver_players"]
