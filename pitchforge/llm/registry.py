@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontam, lang_cnn, license_scan, maxscore, packing, quality_bayes, secrets_scan, simhash_bk,
+from . import (decontam, lang_cnn, license_scan, maxscore, oracles, packing, quality_bayes, secrets_scan, simhash_bk,
                suffix_dedup, token_files)
 from .common import table
 
@@ -71,4 +71,4 @@ QUERIES = {f.__name__: f for f in (
     op9_decontamination, op10_language_id)}
 
 #: DuckDB SQL of the queries that SQL can express.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = oracles.SQL
