@@ -76,18 +76,26 @@ class Logistic:
         return np.clip(1 / (1 + np.exp(-np.clip(self.design(x) @ self.w, -30, 30))), LEAST, 1 - LEAST)
 
 
-def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Logistic | None:
-    """Fit on at most ``sample_docs`` rows (doc_id, text, label), chosen by a hash; None without both labels."""
-    usable = labelled.where("text is not null and label is not null").withColumn("pick", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)))
-    count = usable.count()
-    share = int(min(1.0, sample_docs / max(1, count)) * (1 << 30))
+def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_id",
+          text_col: str = "text", label_col: str = "quality") -> Logistic | None:
+    """Fit on about ``sample_docs`` labelled documents; None without both labels.
+
+    Labels are chosen by a hash of the id before any text is touched; at most
+    twice the bound are broadcast to the documents, and as many feature rows
+    reach the driver.  Rows with a null id, text or label teach nothing.
+    """
+    usable = narrow(labels, doc_id=id_col, label=label_col).where("doc_id is not null and label is not null")
+    share = int(min(1.0, sample_docs / max(1, usable.count())) * (1 << 30))
+    picked = usable.withColumn("pick", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))).where(F.col("pick") < share)
+    picked = F.broadcast(materialize(picked.limit(2 * sample_docs), "picked-labels"))
 
     @F.pandas_udf("array<double>")
     def features(texts: pd.Series) -> pd.Series:
         return pd.Series([shape(t) for t in texts], dtype=object)
 
-    rows = usable.where(F.col("pick") < share).select("pick", "label", features("text").alias("x")).limit(2 * sample_docs)
-    pdf = rows.toPandas().sort_values(["pick", "label"], kind="stable")
+    rows = narrow(docs, doc_id=id_col, text=text_col).where("text is not null").join(picked, "doc_id")
+    pdf = rows.select("pick", "label", features("text").alias("x")).limit(2 * sample_docs).toPandas()
+    pdf = pdf.sort_values(["pick", "label"], kind="stable")
     if pdf.label.nunique() < 2:
         return None
     return Logistic(np.array(pdf.x.tolist()), (pdf.label.to_numpy() > 0).astype(float))

@@ -18,8 +18,7 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources are the hosts of documents, and a source's languages its paths."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    labelled = docs.select("doc_id", "text").join(labels.select("doc_id", F.col("quality").alias("label")), "doc_id")
-    return quality_bayes.classify(docs, quality_bayes.train(labelled))
+    return quality_bayes.classify(docs, quality_bayes.train(docs, labels))
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

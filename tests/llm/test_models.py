@@ -17,9 +17,9 @@ SF = "/root/testdata/sf0.01"
 
 def test_quality_on_held_out_labels(spark):
     docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
-    labelled = docs.join(labels.select("doc_id", F.col("quality").alias("label")), "doc_id").select("doc_id", "text", "label")
-    model = quality_bayes.train(labelled.where("doc_id % 2 = 0"))
-    found = quality_bayes.classify(docs, model).join(labelled.where("doc_id % 2 = 1").select("doc_id", "label"), "doc_id").collect()
+    model = quality_bayes.train(docs, labels.where("doc_id % 2 = 0"))
+    held = labels.where("doc_id % 2 = 1").select("doc_id", F.col("quality").alias("label"))
+    found = quality_bayes.classify(docs, model).join(held, "doc_id").collect()
     good, bad = [r["keep"] for r in found if r["label"] == 1], [r["keep"] for r in found if r["label"] == 0]
     assert len(found) > 150 and sum(good) / len(good) > 0.97 and sum(bad) / len(bad) < 0.1
 
@@ -47,7 +47,7 @@ def test_sparse_sites_shrink(spark, tmp_path):
     rows += [(2000 + i, text[False], "bad", "c") for i in range(40)]
     spark.createDataFrame(rows, "doc_id int, text string, source string, lang string").write.parquet(f"{tmp_path}/d")
     docs = spark.read.parquet(f"{tmp_path}/d")
-    model = quality_bayes.train(docs.withColumn("label", F.when(F.col("text").contains("!!"), 0).otherwise(1)))
+    model = quality_bayes.train(docs, docs.select("doc_id", F.when(F.col("text").contains("!!"), 0).otherwise(1).alias("quality")))
     got = {r["doc_id"]: r for r in quality_bayes.classify(docs, model).collect()}
     assert len(got) == len(rows)
     assert got[1000]["path_rate"] > 0.5 > got[1001]["path_rate"]  # own text left out: global prior against a bad host
@@ -56,14 +56,14 @@ def test_sparse_sites_shrink(spark, tmp_path):
 
 
 def test_quality_of_odd_rows(odd_docs, no_docs):
-    labelled = odd_docs.select("doc_id", "text", (F.col("doc_id") % 2).alias("label"))
-    model = quality_bayes.train(labelled)
+    labels = odd_docs.select("doc_id", (F.col("doc_id") % 2).alias("quality"))
+    model = quality_bayes.train(odd_docs, labels)
     got = quality_bayes.classify(odd_docs, model).collect()
     assert len(got) == odd_docs.count() and all(0 <= r["quality"] <= 1 and not math.isnan(r["quality"]) for r in got)
     assert {r["evidence"] for r in got if r["doc_id"] in (1, 2, 3)} == {quality_bayes.LEAST}
-    assert quality_bayes.train(labelled.withColumn("label", F.lit(1))) is None
+    assert quality_bayes.train(odd_docs, labels.withColumn("quality", F.lit(1))) is None
     assert {r["evidence"] for r in quality_bayes.classify(odd_docs, None).collect()} == {0.5, quality_bayes.LEAST}
-    assert quality_bayes.classify(no_docs, model).count() == 0 and quality_bayes.train(labelled.where("false")) is None
+    assert quality_bayes.classify(no_docs, model).count() == 0 and quality_bayes.train(odd_docs, labels.where("false")) is None
 
 
 # ---- 3 --------------------------------------------------------------------
