@@ -258,4 +258,5 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "
     first = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("first"))
     rid = fresh(docs, "row_number_of_scan")
     kept = materialize(first.select(F.col("first.rid").alias(rid)), "kept-rows")
-    return with_row_id(docs, rid).join(kept, rid, "left_semi").drop(rid)
+    # most rows stay, so their numbers grow with the table: a merge join at every size
+    return with_row_id(docs, rid).join(kept.hint("merge"), rid, "left_semi").drop(rid)
