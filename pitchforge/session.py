@@ -30,6 +30,10 @@ DEFAULT_CONF = {
 }
 
 
+#: Scratch folders that are marked for deletion.
+_SCRATCH: set[str] = set()
+
+
 def get_session(master: str | None = None, shuffle_partitions: int = 8,
                 app_name: str = "pitchforge", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -64,9 +68,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/pitchforge/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the shared checkpoint folder.
+
+    All paths of an application lie in one folder, which its file system
+    deletes when the application ends.
+    """
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pitchforge-{spark.sparkContext.applicationId}"
+    if base not in _SCRATCH:
+        path = spark._jvm.org.apache.hadoop.fs.Path(base)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _SCRATCH.add(base)
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
