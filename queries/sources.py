@@ -71,7 +71,10 @@ def q_recursive_scan_prefix(spark, d):
                  .alias("domestic")).alias("detailed"),
         F.date_format("ts", "yyyy-MM-dd").alias("dt"))
     docs.write.mode("append").partitionBy("dt").json(root)
-    scanned = landing.read_all_partitions(spark, root, name_glob="part-*")
+    # files of another kind beside them, which the name filter leaves out
+    ev.select(F.col("event_type").alias("value"), F.date_format("ts", "yyyy-MM-dd").alias("dt")) \
+      .write.mode("append").partitionBy("dt").text(root)
+    scanned = landing.read_all_partitions(spark, root, docs.schema, name_glob="part-*.json")
     from pitchforge.operators.aggregates import distinct_fallback
     return distinct_fallback(scanned.select("core.team.name", "detailed.domestic.team.name")
                              .toDF("primary", "fallback"), ["primary", "fallback"], "team_name")
@@ -102,8 +105,9 @@ def _line_docs(spark, d) -> DataFrame:
 def q_json_explode_flatten(spark, d):
     """A15 -> JSON landing -> A3 explode -> A5 flatten -> B17 prune."""
     root = scratch_path(spark, "documents")
-    _line_docs(spark, d).drop("o_orderpriority", "chunk").write.mode("overwrite").json(root)
-    docs = documents.good_documents(documents.read_documents(spark, root, multi_line=False))
+    lines = _line_docs(spark, d).drop("o_orderpriority", "chunk")
+    lines.write.mode("overwrite").json(root)
+    docs = documents.good_documents(documents.read_documents(spark, root, lines.schema, multi_line=False))
     items = documents.explode_payload(docs, "data")
     flat = flatten(prune_fields(items.select("item.*"), ["fieldTranslations"]), sep="_")
     return flat
@@ -175,7 +179,7 @@ def q_standings_extract(spark, d):
         F.col("league_name").alias("league"),
         F.struct(F.array(F.struct("rows")).alias("standings")).alias("data"))
     docs.write.mode("overwrite").json(root)
-    read = documents.good_documents(documents.read_documents(spark, root, multi_line=False))
+    read = documents.good_documents(documents.read_documents(spark, root, docs.schema, multi_line=False))
     return documents.standings_rows(read)
 
 
@@ -199,7 +203,8 @@ def q_toplist_extract(spark, d):
         F.col("league_sfs").alias("league"),
         F.struct(F.struct("rating").alias("topPlayers")).alias("data"))
     docs.write.mode("overwrite").json(root)
-    return documents.toplist_rows(documents.good_documents(documents.read_documents(spark, root, multi_line=False)))
+    read = documents.read_documents(spark, root, docs.schema, multi_line=False)
+    return documents.toplist_rows(documents.good_documents(read))
 
 
 SQL_TOPLIST = O.with_ctes(O.silver_ctes(), body="""
