@@ -2,8 +2,8 @@
 
 Plan (one shuffle of the snapshot against the *current* rows only):
 
-* ``detect_changes``: the snapshot is left-joined to (a) the distinct keys of
-  every version and (b) the current rows; each snapshot row becomes
+* ``detect_changes``: the snapshot is left-joined to one row per key of the
+  history, with the tracked values of its current row; each snapshot row becomes
   ``new`` (key in no version), ``changed`` (a tracked column differs from the
   current row, null == -1 for numbers and null == '' for strings) or
   ``unchanged`` (including keys whose versions are all closed: they never
@@ -52,12 +52,13 @@ def detect_changes(new: DataFrame, silver: DataFrame | None, key: str,
     resolved = new.filter(F.col(key).isNotNull())
     if silver is None or key not in silver.columns:
         return resolved.withColumn(status_col, F.lit("new"))
-    known = silver.select(key).distinct().withColumn("__known", F.lit(True))
     present = [c for c in tracked if c in silver.columns]
-    current = silver.filter(F.col("is_current") == F.lit(True)).select(
-        F.col(key), F.lit(True).alias("__has_cur"),
-        *[F.col(c).alias(f"__cur_{c}") for c in present])
-    tagged = resolved.join(known, key, "left").join(current, key, "left")
+    # one aggregate over the history: a key is known, and has the values of its current row or none
+    active = F.col("is_current").eqNullSafe(F.lit(True))
+    state = silver.groupBy(key).agg(F.lit(True).alias("__known"), F.max(F.when(active, F.struct(
+        F.lit(True).alias("__has_cur"), *[F.col(c).alias(f"__cur_{c}") for c in present]))).alias("__s"))
+    tagged = resolved.join(state, key, "left").select(
+        *resolved.columns, "__known", "__s.__has_cur", *[f"__s.__cur_{c}" for c in present])
     types = {f.name: f.dataType for f in resolved.schema.fields}
     diffs = [_differs(F.col(c) if c in resolved.columns else F.lit(None),
                       F.col(f"__cur_{c}") if c in present else F.lit(None),

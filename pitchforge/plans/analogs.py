@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pitchforge.functions.scalars import season_label, zero_padded_id
 from pitchforge.functions.text import normalize_text
 from pitchforge.operators.dedupe import latest_per_key
+from pitchforge.operators.joins import bounded_broadcast_join
 from pitchforge.sources.tables import table
 
 # The position list indexed by ``c_custkey % 9``.
@@ -165,7 +166,9 @@ def silver_players(spark: SparkSession, sf_dir: str, as_of: str | None = None,
                 .join(region, F.col("n_regionkey") == region.r_regionkey, "left")
                 .join(m, cust.c_custkey == m.custkey, "left")
                 .join(latest, cust.c_custkey == latest.o_custkey, "left")
-                .join(ranks, F.col("c_nationkey").cast("bigint") == F.col("__tid"), "left"))
+                .withColumn("__tid", F.col("c_nationkey").cast("bigint")))
+    # a team may hold a third of all players: its row is broadcast once its table is counted
+    base = bounded_broadcast_join(base, ranks, "__tid", "left", name="team-ranks")
     has_alt = F.col("n_li_alt") > 0
     return base.select(
         zero_padded_id(F.col("c_custkey") + 1).alias("internal_player_id"),
