@@ -16,13 +16,17 @@ from ..session import cut_lineage, ensure_checkpoint_dir, scratch_path
 # Executors need no copy of the package: functions of these modules travel by value.
 cloudpickle.register_pickle_by_value(sys.modules[__package__])
 
+SPLITS = "spark.sql.files.minPartitionNum"
 #: Rows of whole texts that one Arrow batch may hold; bounds a worker's memory.
 BATCH_ROWS = 256
 
 
 def prepare(spark: SparkSession) -> None:
-    """Settings that the operators rely on: a shared folder and small Arrow batches."""
+    """Settings that the operators rely on: a shared folder, fixed splits and small Arrow batches."""
     ensure_checkpoint_dir(spark)
+    if spark.conf.get(SPLITS, None) is None:
+        # otherwise the splits of a small table follow the number of executors, which may change
+        spark.conf.set(SPLITS, str(spark.sparkContext.defaultParallelism))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
@@ -48,9 +52,11 @@ def with_row_id(df: DataFrame, name: str = "rid") -> DataFrame:
     """Number rows by (partition, place in it).
 
     Ids tell rows with equal or null keys apart.  ``df`` has to be a table scan
-    (or a narrow projection of one): its splits are the same in every plan, so
-    two branches of a query, or a task that runs again, number rows alike.
+    (or a narrow projection of one): its splits are the same in every plan
+    (``prepare`` fixes what they depend on), so two branches of a query, or a
+    task that runs again, number rows alike.
     """
+    prepare(df.sparkSession)
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
