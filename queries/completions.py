@@ -157,3 +157,57 @@ QUERIES = {
     "first_clean_part": (q_first_clean_part, SQL_FIRST_CLEAN_PART),
     "removed_duplicates": (q_removed_duplicates, SQL_REMOVED),
 }
+
+
+# ---------------------------------------------- B12 C10 C11 H17: rare branches
+def q_fact_defaults(spark, d):
+    """A fact whose rows miss leagues, seasons and positions of the dimensions, without a rating."""
+    from pitchforge.plans import star
+    silver, _, dims = star_inputs(spark, d)
+    k = F.col("id_sfs").cast("bigint")
+    silver = silver.withColumns({
+        "league_sfs": F.when(k % 7 != 0, F.col("league_sfs")).otherwise("Nowhere"),
+        "season_sfs": F.when(k % 5 != 0, F.col("season_sfs")),
+        "sub_position_tm": F.when(k % 3 != 0, F.col("sub_position_tm")),
+        "position_tm": F.when(k % 3 != 0, F.col("position_tm"))})
+    return star.build_fact(silver, dims, None)
+
+
+SQL_FACT_DEFAULTS = _sql("""
+SELECT p.player_key, t.team_key,
+       CAST(coalesce(CASE WHEN k % 7 <> 0 THEN tr.tournament_key END, 1) AS BIGINT) AS tournament_key,
+       CAST(coalesce(CASE WHEN k % 5 <> 0 THEN se.season_key END, 1) AS BIGINT) AS season_key,
+       po.position_key, c.goals_sfs AS goals, c.assists_sfs AS assists, 0.0::DOUBLE AS final_scout_score
+FROM (SELECT *, CAST(id_sfs AS BIGINT) AS k,
+             CASE WHEN CAST(id_sfs AS BIGINT) % 3 <> 0 THEN sub_position_tm
+                  ELSE CASE position_sfs WHEN 'G' THEN 'Goalkeeper' WHEN 'D' THEN 'Defender' WHEN 'M' THEN 'Midfielder'
+                                         WHEN 'F' THEN 'Forward' END END AS pos FROM cur) c
+JOIN dp p ON p.internal_player_id = c.internal_player_id AND p.is_current
+LEFT JOIN dt t ON t.name = c.team_sfs LEFT JOIN dtour tr ON tr.name = c.league_sfs
+LEFT JOIN dseas se ON se.name = c.season_sfs LEFT JOIN dpos po ON po.name = c.pos""")
+
+# Market segments as leagues that have a country, and one that has none.
+LEAGUES = {"AUTOMOBILE": "La Liga", "BUILDING": "Serie A", "FURNITURE": "Premier League", "HOUSEHOLD": "Champions League",
+           "MACHINERY": "Somewhere"}
+
+
+def q_league_countries(spark, d):
+    """Tournaments with the countries of known leagues."""
+    from pitchforge.plans import star
+    from queries.star import silver_history
+    names = F.create_map(*[F.lit(x) for kv in LEAGUES.items() for x in kv])
+    silver = silver_history(spark, d)
+    return star.dim_tournament(silver.withColumn("league_sfs", names[F.col("league_sfs")]))
+
+
+SQL_LEAGUE_COUNTRIES = _sql(f"""
+SELECT CAST(row_number() OVER (ORDER BY name) AS BIGINT) AS tournament_key, name,
+       CASE name WHEN 'La Liga' THEN 'Spain' WHEN 'Serie A' THEN 'Italy' WHEN 'Premier League' THEN 'England'
+                 WHEN 'Champions League' THEN 'Europe' ELSE 'Unknown' END AS country
+FROM (SELECT DISTINCT CASE league_sfs {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in LEAGUES.items())} END AS name
+      FROM cur WHERE league_sfs IN {O.sql_in(list(LEAGUES))})""")
+
+QUERIES |= {
+    "fact_defaults": (q_fact_defaults, SQL_FACT_DEFAULTS),
+    "league_countries": (q_league_countries, SQL_LEAGUE_COUNTRIES),
+}
