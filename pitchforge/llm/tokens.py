@@ -16,7 +16,7 @@ from array import array
 from .common import worker_state
 
 #: Words that a worker keeps; when full, it starts anew.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 700_000
 
 # The vocabularies' published split patterns for characters up to U+024F; letters and numbers there are fixed values.
 LETTERS, NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾"
