@@ -11,11 +11,12 @@ import sql_oracles as O
 from pitchforge.functions import scalars as S
 from pitchforge.operators.columns import drop_null_key, keep_existing
 from pitchforge.operators.dedupe import best_per_key, dense_key, removed_duplicates
-from pitchforge.plans import analogs, analytics
+from pitchforge.plans import analytics
 from pitchforge.session import scratch_path
 from pitchforge.sources import files
 from pitchforge.sources.tables import has_columns, resolve_source, table
 from queries.dashboard import r6, r6_sql
+from queries.silver import snapshot
 from queries.star import _sql, dashboard, dashboard_sql, gold_table, star_inputs
 
 # ------------------------------------------------------------------ A12
@@ -98,7 +99,7 @@ FROM dp WHERE current_market_value IS NOT NULL""")
 
 def q_ordered_top(spark, d):
     """one league's top list with its place by rating."""
-    sp = analogs.silver_players(spark, d).where("league_sfs = 'BUILDING'")
+    sp = snapshot(spark, d, None).where("league_sfs = 'BUILDING'")
     rows = sp.select("id_sfs", F.col("name_sfs_raw").alias("player_name"), F.col("base_rating_sfs").alias("rating"))
     return dense_key(rows, [F.col("rating").desc_nulls_last(), "id_sfs"], "place")
 

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 import sql_oracles as O
 from pitchforge.operators.joins import latest_join, left_lookup
-from pitchforge.plans import analogs, rating
+from pitchforge.plans import rating
 from pitchforge.sources.tables import table
+from queries.silver import snapshot
 
 
 def q_rating(spark: SparkSession, d: str) -> DataFrame:
-    return rating.gold_rating(analogs.silver_players(spark, d))
+    """The rating of the stored snapshot of all orders."""
+    return rating.gold_rating(snapshot(spark, d, None))
 
 
 SQL_RATING = O.with_ctes(O.silver_ctes(), O.rating_ctes(), body="SELECT * FROM gold")

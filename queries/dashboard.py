@@ -257,10 +257,10 @@ FROM l, range(1, len(ms) + 1) t(i)"""
 # ---------------------------------------------------------------- E4 / H31
 def q_minmax_group(spark, d):
     from pitchforge.operators.scaling import scale_by_group
-    from pitchforge.plans.analogs import silver_players
-    sp = silver_players(spark, d).select("internal_player_id", "league_sfs", "goals_sfs", "xg_sfs",
+    from queries.silver import snapshot
+    sp = snapshot(spark, d, None).select("internal_player_id", "league_sfs", "goals_sfs", "xg_sfs",
                                          "minutes_played_sfs")
-    return scale_by_group(sp, "league_sfs", ["goals_sfs", "xg_sfs", "minutes_played_sfs"])
+    return scale_by_group(sp, "league_sfs", ["goals_sfs", "xg_sfs", "minutes_played_sfs"], materialize=False)
 
 
 def minmax_sql() -> str:

@@ -19,6 +19,7 @@ from pitchforge.plans.profiles import assemble_profiles, first_items
 from pitchforge.plans.resolve import resolve_entities
 from pitchforge.plans.star import schema_report
 from pitchforge.sources.tables import DRIVER_TABLES, table
+from queries.silver import snapshot
 
 
 def r6(c):
@@ -35,7 +36,7 @@ SQL_TEXT_NORM = f"SELECT doc_id, {O.norm_sql('text')} AS text_norm FROM document
 
 
 def q_string_formats(spark, d):
-    sp = analogs.silver_players(spark, d)
+    sp = snapshot(spark, d, None)
     return sp.select(
         "internal_player_id",
         S.short_name("team_sfs").alias("team_short"),
@@ -94,7 +95,7 @@ FROM (SELECT DISTINCT {O.season_sql('CAST(o_orderdate AS DATE)')} AS season FROM
 def q_scoring_components(spark, d):
     """Per-90, composites, underdog multiplier and clamp on the
     prepared rating input."""
-    prep = rating.prepare_rating_input(analogs.silver_players(spark, d))
+    prep = rating.prepare_rating_input(snapshot(spark, d, None))
     return prep.select(
         "internal_player_id",
         S.per90("goals", "minutes_played").alias("goals_p90"),
@@ -457,7 +458,7 @@ FROM standings WHERE league_name = 'EUROPE' OR replace(league_name, ' ', '') = '
 
 
 def q_top_view(spark, d):
-    sp = analogs.silver_players(spark, d)
+    sp = snapshot(spark, d, None)
     top = sp.select(F.col("league_sfs").alias("league_name"),
                     F.col("name_sfs_raw").alias("player_name"),
                     F.col("team_sfs").alias("team_name"), F.col("team_rank_sfs").alias("team_id"),
