@@ -17,8 +17,10 @@ its last string, is a *segment*.
    prefix doubling up to ``length`` bytes).  A new batch is merge-scanned against
    the levels that exist, for strings in both, and levels of equal size merge.
    Levels last as long as their key.
-3. Beyond ``HOT_SEGMENTS`` occurrences a key's strings are dealt anew, each by a
-   128-bit hash of the whole string, so no key's segments have to fit in a task.
+3. A key with more occurrences (a line that many texts have) is dealt finer:
+   beyond ``LARGE_SEGMENTS`` its segments are cut once more by the least hash of
+   longer grams, beyond ``HOT_SEGMENTS`` its strings go one by one, each by a
+   128-bit hash of the whole string.  So no key's segments have to fit in a task.
 
 Marks return to the segments' documents.  Null and empty texts have nothing to
 remove; repeated rows are documents of their own, so a long repeated text goes
@@ -41,8 +43,9 @@ LENGTH, GRAM = 200, 32
 #: Bytes of segments in one suffix array, and of texts hashed at once.
 BATCH_BYTES = 1 << 20
 CHUNK_BYTES = 1 << 18
-#: Occurrences of one key beyond which its strings are dealt one by one.
-HOT_SEGMENTS = 50_000
+#: Occurrences of one key beyond which its segments are cut by longer grams, and beyond which its strings go one by one.
+LARGE_SEGMENTS, HOT_SEGMENTS = 500, 50_000
+LONG_GRAM = 128
 
 
 # ---- segments -------------------------------------------------------------
@@ -74,7 +77,7 @@ def segments_of(bodies: list[bytes], length: int = LENGTH, gram: int = GRAM):
     raw = b"".join(bodies)
     sizes = np.array([len(b) for b in bodies], dtype=np.int64)
     if len(raw) < length:
-        return [np.zeros(0, np.int64)] * 5 + [np.zeros(0, bool)]
+        return [*[np.zeros(0, np.int64)] * 3, *[np.zeros(0, np.uint64)] * 2, np.zeros(0, bool)]
     begin, grams = np.cumsum(sizes) - sizes, length - gram + 1
     hashes = gram_hashes(np.frombuffer(raw, np.uint8), gram)
     key = sliding_min(hashes, grams)
@@ -197,8 +200,8 @@ class IndexFamily:
     def __init__(self, length: int = LENGTH):
         self.length, self.levels, self.seen, self.marks, self.size = length, [], [], [], 0
 
-    def add(self, keys, digests, bodies: list[bytes], twice) -> None:
-        """A batch of distinct segments; ``twice``: the segment itself occurs more than once."""
+    def add(self, keys, digests, bases, bodies: list[bytes], twice) -> None:
+        """A batch of segments, or parts of them from string ``base`` on; ``twice``: it occurs more than once."""
         sizes = np.array([len(b) for b in bodies], dtype=np.int64)
         count = sizes - self.length + 1
         begin, first = np.cumsum(sizes) - sizes, np.cumsum(count) - count
@@ -218,14 +221,14 @@ class IndexFamily:
         while len(self.levels) > 1 and len(self.levels[-2].starts) < 2 * len(self.levels[-1].starts):
             late = self.levels.pop()
             self.levels[-1] = self.levels[-1].merged(late, self.length)
-        self.seen.append((np.asarray(keys), np.asarray(digests), count))
+        self.seen.append((np.asarray(keys), np.asarray(digests), np.asarray(bases), count))
         self.size += n
 
     def repeated(self) -> pd.DataFrame:
         """Rows (key, digest, low, high): runs of marked strings in each segment."""
         flag = np.zeros(self.size + 1, bool)
         flag[np.concatenate(self.marks)] = True
-        keys, digests, count = (np.concatenate(x) for x in zip(*self.seen, strict=True))
+        keys, digests, bases, count = (np.concatenate(x) for x in zip(*self.seen, strict=True))
         owner = np.repeat(np.arange(len(count)), count)
         first = np.cumsum(count) - count
         new = np.concatenate([[True], owner[1:] != owner[:-1]])
@@ -233,14 +236,16 @@ class IndexFamily:
         low = np.flatnonzero(on & (new | ~np.concatenate([[False], on[:-1]])))
         high = np.flatnonzero(on & (np.concatenate([new[1:], [True]]) | ~flag[1:])) + 1
         o = owner[low]
-        return pd.DataFrame({"key": keys[o], "digest": digests[o], "low": low - first[o], "high": high - first[o]})
+        begin = bases[o] - first[o]
+        return pd.DataFrame({"key": keys[o], "digest": digests[o], "low": low + begin, "high": high + begin})
 
 
 def match_segments(bodies: DataFrame, length: int, batch_bytes: int = BATCH_BYTES) -> DataFrame:
-    """Repeated runs of rows (key, digest, twice, body), shard by shard."""
+    """Repeated runs of rows (shard, key, digest, base, twice, body), shard by shard."""
 
     def add(family, pdf):
-        family.add(pdf["key"].to_numpy(), pdf["digest"].to_numpy(), pdf["body"].tolist(), pdf["twice"].to_numpy())
+        family.add(pdf["key"].to_numpy(), pdf["digest"].to_numpy(), pdf["base"].to_numpy(), pdf["body"].tolist(),
+                   pdf["twice"].to_numpy())
 
     def match(batches):
         held, size, family, family_key = [], 0, None, None
@@ -248,8 +253,8 @@ def match_segments(bodies: DataFrame, length: int, batch_bytes: int = BATCH_BYTE
         def take(at_end):
             nonlocal held, size, family, family_key
             rows = pd.concat(held, ignore_index=True)
-            key = rows["key"].to_numpy()
-            if family is not None:  # the levels of a large key go on
+            key = rows["shard"].to_numpy()
+            if family is not None:  # the levels of a large shard go on
                 own = key == family_key
                 if own.any():
                     add(family, rows[own])
@@ -283,14 +288,14 @@ def match_segments(bodies: DataFrame, length: int, batch_bytes: int = BATCH_BYTE
         elif family is not None:
             yield family.repeated()
 
-    sorted_ = bodies.repartition("key").sortWithinPartitions("key", "digest")
+    sorted_ = bodies.repartition("shard").sortWithinPartitions("shard", "key", "digest", "base")
     return sorted_.mapInPandas(match, "key long, digest long, low int, high int")
 
 
 # ---- the whole ------------------------------------------------------------
 
 def long_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_segments: int = HOT_SEGMENTS,
-                 batch_bytes: int = BATCH_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                 large_segments: int = LARGE_SEGMENTS, batch_bytes: int = BATCH_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (rid, doc_id, text, low, high): arrays of the repeated strings' first starts and ends of starts."""
     texts = with_row_id(narrow(docs, doc_id=id_col, text=text_col)).select(
         "rid", "doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -301,27 +306,36 @@ def long_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_se
                                   F.max("own").alias("own"))
     keys = keys.where((F.col("n") > 1) | F.col("own"))
     keys = materialize(keys.select("key", ((F.col("n") > 1) & (F.col("lo") == F.col("hi"))).alias("same"),
-                                   (F.col("n") > hot_segments).alias("hot")), "repeated-keys")
-    found = materialize(cut.join(keys, "key").select("rid", "start", "strings", "key", "digest", "same", "hot"), "segments")
+                                   (F.col("n") > hot_segments).alias("hot"), (F.col("n") > large_segments).alias("large")), "repeated-keys")
+    found = materialize(cut.join(keys, "key").select("rid", "start", "strings", "key", "digest", "same", "hot", "large"), "segments")
 
     # one copy of each distinct segment, with the bytes of the document that has it first
     first = found.where(~F.col("same")).groupBy("key", "digest").agg(
-        F.min(F.struct("rid", "start", "strings", "hot")).alias("at"), (F.count("*") > 1).alias("twice"))
+        F.min(F.struct("rid", "start", "strings", "hot", "large")).alias("at"), (F.count("*") > 1).alias("twice"))
     wanted = first.groupBy("at.rid").agg(F.collect_list(F.struct(
-        "key", "digest", "twice", "at.start", "at.strings", "at.hot")).alias("w"))
-    wanted = wanted.select("rid", *[F.col(f"w.{c}").alias(c) for c in ("key", "digest", "twice", "start", "strings", "hot")])
+        "key", "digest", "twice", "at.start", "at.strings", "at.hot", "at.large")).alias("w"))
+    columns = ("key", "digest", "twice", "start", "strings", "hot", "large")
+    wanted = wanted.select("rid", *[F.col(f"w.{c}").alias(c) for c in columns])
     # dealt once by row; both joins use this exchange
     dealt = texts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "rid")
 
     def bodies(batches):
         for pdf in batches:
-            out = []
-            for text, *lists in zip(pdf.text, pdf.key, pdf.digest, pdf.twice, pdf.start, pdf.strings, pdf.hot, strict=True):
+            out, large = [], []
+            for text, *lists in zip(pdf.text, *[pdf[c] for c in columns], strict=True):
                 raw = text.encode()
-                out += [(k, d, t, raw[s:s + n + length - 1], h) for k, d, t, s, n, h in zip(*lists, strict=True)]
-            yield pd.DataFrame(out, columns=["key", "digest", "twice", "body", "hot"])
-
-    body = dealt.join(wanted, "rid").mapInPandas(bodies, "key long, digest long, twice boolean, body binary, hot boolean")
+                for k, d, t, s, n, h, more in zip(*lists, strict=True):
+                    part = (int(k), k, d, 0, t, raw[s:s + n + length - 1], h)
+                    (large if more and not h else out).append(part)
+            at, start, count, finer, _, _ = segments_of([p[5] for p in large], length,
+                                                         1 << min(LONG_GRAM, length).bit_length() - 1)
+            for i, s, n, f in zip(at.tolist(), start.tolist(), count.tolist(), finer.view(np.int64).tolist(), strict=True):
+                _, k, d, _, t, raw, h = large[i]
+                out.append((k ^ f, k, d, s, t, raw[s:s + n + length - 1], h))
+            yield pd.DataFrame(out, columns=["shard", "key", "digest", "base", "twice", "body", "hot"])
+
+    body = dealt.join(wanted, "rid").mapInPandas(
+        bodies, "shard long, key long, digest long, base int, twice boolean, body binary, hot boolean")
     if keys.where("hot and not same").isEmpty():
         runs = match_segments(body.drop("hot"), length, batch_bytes)
     else:

@@ -95,17 +95,17 @@ def test_top_k_table(spark):
 
 # ---- 6 --------------------------------------------------------------------
 
-@pytest.mark.parametrize("which", ["docs", "odd_docs"])
-def test_repeats(request, which):
+@pytest.mark.parametrize("which,options", [("docs", {}), ("odd_docs", {}), ("docs", {"large_segments": 1})])
+def test_repeats(request, which, options):
     df = request.getfixturevalue(which)
-    got = rows(suffix_dedup.remove_repeats(df).withColumn("sha", F.sha2("kept", 256)), "doc_id", "n_bytes", "n_removed", "n_spans", "sha")
+    got = rows(suffix_dedup.remove_repeats(df, **options).withColumn("sha", F.sha2("kept", 256)), "doc_id", "n_bytes", "n_removed", "n_spans", "sha")
     table = rows(df, "doc_id", "text")
     same(got, [(d, *r) for (d, _), r in zip(table, brute.repeats([t for _, t in table]))])
 
 
 def test_repeats_in_small_batches_and_hot_keys(odd_docs, no_docs):
     whole = suffix_dedup.remove_repeats(odd_docs)
-    for options in ({"batch_bytes": 400}, {"hot_segments": 1}):
+    for options in ({"batch_bytes": 400}, {"large_segments": 1}, {"large_segments": 1, "batch_bytes": 400}, {"hot_segments": 1}):
         same(rows(suffix_dedup.remove_repeats(odd_docs, **options), *whole.columns), rows(whole, *whole.columns))
     assert suffix_dedup.remove_repeats(no_docs).count() == 0
 
@@ -124,7 +124,7 @@ def test_index_family_equals_counts():
     family, levels = suffix_dedup.IndexFamily(), 0
     for lo in range(0, len(bodies), 5):
         levels, part = max(levels, len(family.levels)), bodies[lo:lo + 5]
-        family.add([7] * len(part), list(range(lo, lo + len(part))), part, [i % 13 == 0 for i in range(lo, lo + len(part))])
+        family.add([7] * len(part), list(range(lo, lo + len(part))), [0] * len(part), part, [i % 13 == 0 for i in range(lo, lo + len(part))])
     assert 1 < levels < 8
     seen = {}
     for i, b in enumerate(bodies):
