@@ -108,5 +108,10 @@ def orphan_keys(fact: DataFrame, dim: DataFrame, fk: str, pk: str) -> DataFrame:
         dim.select(F.col(pk).alias(fk)), fk, "left_anti")
 
 
-__all__ = ["Rule", "ContractError", "contract_report", "validate", "constraint_audit",
+def out_of_range(df: DataFrame, col: str, low: float, high: float) -> DataFrame:
+    """Rows whose value lies outside [low, high]; null is no value."""
+    return df.filter((F.col(col) < F.lit(low)) | (F.col(col) > F.lit(high)))
+
+
+__all__ = ["out_of_range", "Rule", "ContractError", "contract_report", "validate", "constraint_audit",
            "duplicate_keys", "orphan_keys"]

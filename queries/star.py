@@ -151,8 +151,8 @@ def dashboard_sql(body: str, *extra_ctes: str) -> str:
 
 
 def q_constraint_audit(spark: SparkSession, d: str) -> DataFrame:
-    """Primary keys unique, foreign keys present, (id, valid_from) unique."""
-    from pitchforge.operators.contract import constraint_audit, duplicate_keys, orphan_keys
+    """Primary keys unique, foreign keys present, (id, valid_from) unique, values in range."""
+    from pitchforge.operators.contract import constraint_audit, duplicate_keys, orphan_keys, out_of_range
     st = star_inputs(spark, d)[2]
     f = st["fact"]
     checks = {"dim_player_pk_unique": duplicate_keys(st["player"], ["player_key"]),
@@ -165,7 +165,9 @@ def q_constraint_audit(spark: SparkSession, d: str) -> DataFrame:
               "fact_tournament_fk": orphan_keys(f, st["tournament"], "tournament_key",
                                                 "tournament_key"),
               "fact_season_fk": orphan_keys(f, st["season"], "season_key", "season_key"),
-              "fact_null_team": f.filter(F.col("team_key").isNull())}
+              "fact_null_team": f.filter(F.col("team_key").isNull()),
+              "fact_score_range": out_of_range(f, "final_scout_score", 0.0, 100.0),
+              "fact_goals_range": out_of_range(f, "goals", 0.0, 40.0)}
     return constraint_audit(spark, checks)
 
 
@@ -186,7 +188,9 @@ UNION ALL SELECT 'fact_tournament_fk', (SELECT COUNT(*) FROM fact WHERE tourname
        AND tournament_key NOT IN (SELECT tournament_key FROM dtour))
 UNION ALL SELECT 'fact_season_fk', (SELECT COUNT(*) FROM fact WHERE season_key IS NOT NULL
        AND season_key NOT IN (SELECT season_key FROM dseas))
-UNION ALL SELECT 'fact_null_team', (SELECT COUNT(*) FROM fact WHERE team_key IS NULL)""")
+UNION ALL SELECT 'fact_null_team', (SELECT COUNT(*) FROM fact WHERE team_key IS NULL)
+UNION ALL SELECT 'fact_score_range', (SELECT COUNT(*) FROM fact WHERE final_scout_score < 0 OR final_scout_score > 100)
+UNION ALL SELECT 'fact_goals_range', (SELECT COUNT(*) FROM fact WHERE goals < 0 OR goals > 40)""")
 
 
 QUERIES = {
