@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import sql_oracles as O
 from pitchforge.functions.positions import scoring_group
-from pitchforge.plans import analogs, galaxy
+from pitchforge.plans import galaxy
 from pitchforge.plans.profiles import first_items
 from pitchforge.plans.rating import POSITION_CONFIG
 from pitchforge.sources.tables import table
