@@ -6,7 +6,7 @@ trained in numpy on altered pieces of the templates against a bounded sample of
 paragraphs of the corpus and scrambled licence words, the class ``unknown``.
 Temperature and the bias of ``unknown`` are calibrated on held-out pieces.  A
 predicted family is confirmed if at least 0.8 of the paragraph's five-word
-shingles occur in one template of that family.
+shingles occur in the whole notices of that family (across their paragraphs).
 
 A paragraph without a pair of neighbouring words from a template is ``unknown``
 without further work, as it has less than two words that tell it apart.
@@ -32,54 +32,77 @@ SHINGLE, SIMILARITY = 5, 0.8
 SAMPLE_DOCS = 2000
 UNKNOWN = "unknown"
 
-# Notices of public licences, by family.
-TEMPLATES: dict[str, tuple[str, ...]] = {
+# Notices of public licences, by family; each notice is whole, as its consecutive paragraphs.
+_CC = "To view a copy of this license, visit http://creativecommons.org/licenses/{}/4.0/ or send a letter to Creative Commons, PO Box 1866, Mountain View, CA 94042, USA."
+NOTICES: dict[str, tuple[tuple[str, ...], ...]] = {
     "Apache-2.0": (
-        "Licensed under the Apache License, Version 2.0",
-        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance "
-        "with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
-        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed "
-        "on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+        ("Licensed under the Apache License, Version 2.0",),
+        ("Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance "
+         "with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+         "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed "
+         "on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. "
+         "See the License for the specific language governing permissions and limitations under the License."),
     ),
     "MIT": (
-        "Released under the MIT License.",
-        "This project is licensed under the MIT License.",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-        "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
-        "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
-        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        ("Released under the MIT License.",),
+        ("This project is licensed under the MIT License.",),
+        ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+         "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
+         "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, "
+         "and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+         "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+         "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR "
+         "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, "
+         "ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
     ),
     "BSD-3-Clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
-        "following conditions are met:",
-        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
-        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
-        "products derived from this software without specific prior written permission.",
+        ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+         "following conditions are met:",
+         "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+         "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+         "disclaimer in the documentation and/or other materials provided with the distribution.",
+         "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+         "products derived from this software without specific prior written permission.",
+         "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+         "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+         "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+         "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+         "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+         "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+         "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."),
     ),
     "GPL-3.0": (
-        "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
-        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-        "You should have received a copy of the GNU General Public License along with this program. If not, see "
-        "https://www.gnu.org/licenses/.",
+        ("This work is licensed under the GNU General Public License, version 3.",),
+        ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+         "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+         "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+         "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+         "You should have received a copy of the GNU General Public License along with this program. If not, see "
+         "https://www.gnu.org/licenses/."),
     ),
     "MPL-2.0": (
-        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
-        "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+        ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+         "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",),
     ),
     "CC-BY-4.0": (
-        "Licensed under CC BY 4.0.",
-        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+        ("Licensed under CC BY 4.0.",),
+        ("This work is licensed under a Creative Commons Attribution 4.0 International License.",),
+        ("This work is licensed under the Creative Commons Attribution 4.0 International License. " + _CC.format("by"),),
     ),
     "CC-BY-NC-4.0": (
-        "Licensed under CC BY-NC 4.0.",
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+        ("Licensed under CC BY-NC 4.0.",),
+        ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",),
+        ("This work is licensed under the Creative Commons Attribution-NonCommercial 4.0 International License. " + _CC.format("by-nc"),),
     ),
     "CC-BY-SA-4.0": (
-        "Licensed under CC BY-SA 4.0.",
-        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        ("Licensed under CC BY-SA 4.0.",),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",),
+        ("This work is licensed under the Creative Commons Attribution-ShareAlike 4.0 International License. " + _CC.format("by-sa"),),
     ),
 }
+#: The paragraphs of each family's notices.
+TEMPLATES: dict[str, tuple[str, ...]] = {f: tuple(p for n in ns for p in n) for f, ns in NOTICES.items()}
 
 _WORD = re.compile(r"[a-z0-9]+")
 
@@ -105,7 +128,8 @@ class LicenceModel:
         self.vocabulary = {g: i for i, g in enumerate(dict.fromkeys(g for t in texts for g in grams(t)))}
         self.pairs = {g for g in self.vocabulary if g.count(" ") == 1}
         self.words = {g for g in self.vocabulary if " " not in g}
-        self.templates = {f: [(shingles(words_of(t)), set(map(tuple, (words_of(t),)))) for t in ts] for f, ts in TEMPLATES.items()}
+        self.shingles = {f: set().union(*(shingles(words_of(" ".join(n))) for n in ns)) for f, ns in NOTICES.items()}
+        self.whole = {f: {tuple(words_of(t)) for t in ts} for f, ts in TEMPLATES.items()}
         rng = np.random.default_rng(seed)
         self.weights = np.zeros((len(self.vocabulary), len(self.families)))
         self.bias, self.temperature, self.unknown_bias = np.zeros(len(self.families)), 1.0, 0.0
@@ -187,10 +211,11 @@ class LicenceModel:
         return self.families[int(p.argmax())], float(p.max())
 
     def similarity(self, family: str, words: list[str]) -> float:
-        """Largest share of a paragraph's shingles that one template of the family has."""
+        """Share of a paragraph's shingles that the family's notices have."""
         s = shingles(words)
-        return max((len(s & t) / len(s) if len(words) >= SHINGLE else float(tuple(words) in whole)
-                    for t, whole in self.templates.get(family, ())), default=0.0) if s else 0.0
+        if len(words) < SHINGLE:
+            return float(tuple(words) in self.whole.get(family, ()))
+        return len(s & self.shingles.get(family, set())) / len(s)
 
     def scan(self, text: str | None) -> list[dict]:
         """Licence paragraphs of a text: line (from 0), family, score, similarity, confirmed."""

@@ -97,6 +97,30 @@ def test_licence_families_and_confirmation():
     assert [f["family"] for f in model.scan(long)] == ["MIT"]
 
 
+def test_licence_paragraphs_as_published():
+    model = license_scan.LicenceModel(["Some plain prose about the use of software and its names.", "The rest of the work."] * 200)
+    mit = ('Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation '
+           'files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, '
+           'modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the '
+           'Software is furnished to do so, subject to the following conditions:')
+    apache = ('Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an '
+              '"AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific '
+              'language governing permissions and limitations under the License.')
+    first = ('Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the '
+             'License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 ')
+    binary = ('2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following '
+              'disclaimer in the documentation and/or other materials provided with the distribution.')
+    hope = ('This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty '
+            'of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.')
+    for text, family in ((mit, "MIT"), (apache, "Apache-2.0"), (first + apache, "Apache-2.0"), (binary, "BSD-3-Clause"), (hope, "GPL-3.0")):
+        assert [(f["family"], f["confirmed"]) for f in model.scan(text)] == [(family, True)], text
+    for family, notices in license_scan.NOTICES.items():
+        for notice in notices:
+            assert {f["family"] for f in model.scan(" ".join(notice)) if f["confirmed"]} == {family}, notice
+    other = license_scan.NOTICES["CC-BY-4.0"][2][0].replace("Attribution", "Attribution-NoDerivatives").replace("/by/", "/by-nd/")
+    assert not any(f["confirmed"] for f in model.scan(other))
+
+
 def test_licences_of_odd_rows(odd_docs, no_docs):
     model = license_scan.train(odd_docs)
     got = license_scan.summary(license_scan.find_licences(odd_docs, model)).collect()
