@@ -7,6 +7,8 @@ paragraphs of the corpus and scrambled licence words, the class ``unknown``.
 Temperature and the bias of ``unknown`` are calibrated on held-out pieces.  A
 predicted family is confirmed if at least 0.8 of the paragraph's five-word
 shingles occur in the whole notices of that family (across their paragraphs).
+A notice among other words of its line is found as a stretch of the line in which
+the same share of shingles is a family's and which covers most of one paragraph.
 
 A paragraph without a pair of neighbouring words from a template is ``unknown``
 without further work, as it has less than two words that tell it apart.
@@ -28,6 +30,8 @@ from pyspark.sql import functions as F
 from .common import narrow
 
 SHINGLE, SIMILARITY = 5, 0.8
+#: Share of a paragraph's shingles that a stretch of a line must have to stand for it.
+COVERED = 0.6
 #: Bound on the documents whose paragraphs train the class ``unknown``.
 SAMPLE_DOCS = 2000
 UNKNOWN = "unknown"
@@ -129,6 +133,7 @@ class LicenceModel:
         self.pairs = {g for g in self.vocabulary if g.count(" ") == 1}
         self.words = {g for g in self.vocabulary if " " not in g}
         self.shingles = {f: set().union(*(shingles(words_of(" ".join(n))) for n in ns)) for f, ns in NOTICES.items()}
+        self.paragraphs = {f: [shingles(words_of(t)) for t in ts] for f, ts in TEMPLATES.items()}
         self.whole = {f: {tuple(words_of(t)) for t in ts} for f, ts in TEMPLATES.items()}
         rng = np.random.default_rng(seed)
         self.weights = np.zeros((len(self.vocabulary), len(self.families)))
@@ -204,10 +209,14 @@ class LicenceModel:
                 if loss < best:
                     best, self.temperature, self.unknown_bias = loss, t, float(b)
 
-    def classify(self, words: list[str]) -> tuple[str, float]:
+    def chances(self, words: list[str]) -> np.ndarray:
+        """Probability of each family."""
         z = self.logits([self.active(words)]) / self.temperature
         z[:, 0] += self.unknown_bias
-        p = probabilities(z)[0]
+        return probabilities(z)[0]
+
+    def classify(self, words: list[str]) -> tuple[str, float]:
+        p = self.chances(words)
         return self.families[int(p.argmax())], float(p.max())
 
     def similarity(self, family: str, words: list[str]) -> float:
@@ -224,28 +233,87 @@ class LicenceModel:
             words = words_of(line)
             if len(self.words.intersection(words)) < 2:
                 continue
-            if not any(f"{a} {b}" in self.pairs for a, b in zip(words, words[1:], strict=False)):
+            hit = [i for i, (a, b) in enumerate(zip(words, words[1:], strict=False)) if f"{a} {b}" in self.pairs]
+            if not hit:
                 continue
-            for part in ([words] if len(words) <= 80 else self.pieces(words)):
-                family, score = self.classify(part)
-                if family != UNKNOWN:
-                    near = self.similarity(family, part)
-                    out.append({"line": n, "family": family, "score": score, "similarity": near, "confirmed": near >= SIMILARITY})
+            sure = self.notices(words, hit)
+            found = [(lo, f, float(self.chances(words[lo:hi])[self.families.index(f)]), near, True) for lo, hi, f, near in sure]
+            if not sure:
+                family, score = self.classify(words)
+                near = self.similarity(family, words)
+                if near >= SIMILARITY:
+                    found.append((0, family, score, near, True))
+                elif len(words) <= 80 and family != UNKNOWN:
+                    found.append((0, family, score, near, False))
+            if len(words) > 80 and len(found) == len(sure):
+                for lo, hi in self.pieces(hit):  # guesses beside the notices of a long line
+                    if not any(lo < end and start < hi for start, end, _, _ in sure):
+                        family, score = self.classify(words[lo:hi])
+                        if family != UNKNOWN:
+                            found.append((lo, family, score, self.similarity(family, words[lo:hi]), False))
+            out += [{"line": n, "family": f, "score": p, "similarity": near, "confirmed": ok} for _, f, p, near, ok in sorted(found)]
         return out
 
-    def pieces(self, words: list[str]) -> list[list[str]]:
-        """Stretches of a long line around its template words, so that a notice within it stands out."""
-        hit = [i for i, (a, b) in enumerate(zip(words, words[1:], strict=False)) if f"{a} {b}" in self.pairs]
+    def notices(self, words: list[str], hit: list[int]) -> list[tuple[int, int, str, float]]:
+        """Notices within a line of any length: (first word, end, family, similarity), in order and apart from each other.
+
+        Candidates are the stretches with the greatest sums if a shingle of the family counts 1 - SIMILARITY
+        and another one -SIMILARITY, so each has enough similarity. Of overlapping ones the greatest sum stays.
+        """
+        run = 1  # a shingle of a notice has SHINGLE - 1 template pairs in a row
+        for a, b in zip(hit, hit[1:], strict=False):
+            run = run + 1 if b == a + 1 else 1
+            if run == SHINGLE - 1:
+                break
+        else:
+            return []
+        line = [tuple(words[i:i + SHINGLE]) for i in range(len(words) - SHINGLE + 1)]
+        near = []
+        for family, known in self.shingles.items():
+            marks = [s in known for s in line]
+            if any(marks):
+                for lo, hi in stretches(marks):
+                    own = set(line[lo:hi])
+                    if any(len(own & p) >= COVERED * len(p) for p in self.paragraphs[family]):
+                        n = sum(marks[lo:hi])
+                        near.append((n - SIMILARITY * (hi - lo), lo, hi + SHINGLE - 1, family, n / (hi - lo)))
+        out = []
+        for _, lo, hi, family, share in sorted(near, key=lambda x: (-x[0], x[1], x[3])):
+            if all(hi <= start or end <= lo for start, end, _, _ in out):
+                out.append((lo, hi, family, share))
+        return sorted(out)
+
+    def pieces(self, hit: list[int]) -> list[tuple[int, int]]:
+        """Stretches (first word, end) of a long line around its template words, so that a guess within it stands out."""
         out, at = [], 0
         while at < len(hit):
             end = at
             while end + 1 < len(hit) and hit[end + 1] - hit[end] <= 3:
                 end += 1
-            out.append(words[hit[at]:hit[end] + 2])
+            out.append((hit[at], hit[end] + 2))
             at = end + 1
         return out
 
 
+def stretches(marks: list[bool]) -> list[tuple[int, int]]:
+    """All maximal stretches [start, end) in which the share of marks is over SIMILARITY (Ruzzo and Tompa's scan)."""
+    out: list[tuple[int, int, float, float]] = []  # start, end, sum before it, sum at its end
+    total = 0.0
+    for i, m in enumerate(marks):
+        before, total = total, total + (1 - SIMILARITY if m else -SIMILARITY)
+        if not m:
+            continue
+        new = (i, i + 1, before, total)
+        while True:
+            j = next((k for k in range(len(out) - 1, -1, -1) if out[k][2] < new[2]), None)
+            if j is None or out[j][3] >= new[3]:
+                out.append(new)
+                break
+            new = (out[j][0], new[1], out[j][2], new[3])
+            del out[j:]
+    return [(lo, hi) for lo, hi, _, _ in out]
+
+
 def probabilities(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(axis=1, keepdims=True))
     return e / e.sum(axis=1, keepdims=True)

@@ -121,6 +121,39 @@ def test_licence_paragraphs_as_published():
     assert not any(f["confirmed"] for f in model.scan(other))
 
 
+def test_licence_notices_within_a_line():
+    model = license_scan.LicenceModel(["Some plain prose about the use of software and its names.", "The rest of the work."] * 200)
+
+    def sure(text):
+        return sorted({f["family"] for f in model.scan(text) if f["confirmed"]})
+
+    assert sure("Copyright 2024 Example Labs. Released under the MIT License.") == ["MIT"]
+    assert sure("Copyright 2020 Foo Inc. Licensed under the Apache License, Version 2.0.") == ["Apache-2.0"]
+    assert sure("This project is licensed under the MIT License; see the LICENSE file for details.") == ["MIT"]
+    assert sure("Code: released under the MIT License. Text: licensed under CC BY-NC 4.0.") == ["CC-BY-NC-4.0", "MIT"]
+    prose = "in the rest of the work there is a copy of this paper for any use of the names that we found".split()
+    for family, texts in license_scan.TEMPLATES.items():
+        for t in texts:
+            for n in (5, 20, 40, 80, 300):
+                around = [prose[i % len(prose)] for i in range(n)]
+                assert sure(" ".join(around[:n // 2]) + " . " + t + " " + " ".join(around[n // 2:])) == [family], (n, t)
+    assert sure(" ".join(prose * 20)) == []
+    part = "We wrote that redistribution and use in source and binary forms depends on other things, as is, without warranties of any kind. "
+    assert sure(part) == sure(part * 8) == []
+
+
+def test_stretches_equal_all_pairs():
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        marks = list(rng.random(int(rng.integers(1, 40))) < 0.8)
+        sums = np.concatenate([[0], np.cumsum([0.2 if m else -0.8 for m in marks])])
+        got = license_scan.stretches(marks)
+        best = max(sums[j] - sums[i] for i in range(len(sums)) for j in range(i, len(sums)))
+        assert max((sums[hi] - sums[lo] for lo, hi in got), default=0) == pytest.approx(best)
+        assert all(a[1] <= b[0] for a, b in zip(got, got[1:], strict=False))
+        assert all(sum(marks[lo:hi]) / (hi - lo) >= 0.8 for lo, hi in got) and all(any(lo <= i < hi for lo, hi in got) for i, m in enumerate(marks) if m)
+
+
 def test_licences_of_odd_rows(odd_docs, no_docs):
     model = license_scan.train(odd_docs)
     got = license_scan.summary(license_scan.find_licences(odd_docs, model)).collect()
