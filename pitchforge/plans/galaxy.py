@@ -11,8 +11,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pitchforge.operators.joins import bounded_broadcast_join
 from pitchforge.session import cut_lineage
 
+#: Rows of one key on one side of a join from which the key is salted.
+HOT_ROWS = 10_000
+
 
 def dim_date(spark: SparkSession, first: Column, last: Column) -> DataFrame:
     """One row per day from ``first`` to ``last`` (column expressions of one-row facts)."""
@@ -99,16 +103,26 @@ def role_weights(config: Mapping[str, Mapping], group: Column) -> Column:
 
 
 def secondary_candidates(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
-                         on: Mapping[str, str]) -> DataFrame:
-    """Candidate pairs by a second key (day of birth and team), nulls matching nothing.
+                         on: Mapping[str, str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Every candidate pair by a second key (day of birth and team), nulls matching nothing.
 
-    Only keys that are unique on the right give a candidate, so no key multiplies rows.
+    A key with over ``hot_rows`` rows on a side is dealt over a grid of salts, one axis for each
+    side, so no task joins more than about ``hot_rows`` rows of a key with as many of the other side.
     """
-    cols = list(on.values())
-    one = right.dropna(subset=cols).groupBy(*cols).agg(F.min(right_id).alias(right_id), F.count(F.lit(1)).alias("__n"))
-    one = one.filter("__n = 1").select(F.col(right_id), *[F.col(r).alias(f"__{r}") for r in cols])
-    condition = [F.col(l_) == F.col(f"__{r}") for l_, r in on.items()]
-    return left.join(one, condition).select(left_id, right_id)
+    keys = [f"__{r}" for r in on.values()]
+    sides = [side.select(F.col(i).alias(out), *[F.col(c).alias(k) for c, k in zip(cols, keys, strict=True)]).dropna(subset=keys)
+             for side, i, cols, out in ((left, left_id, list(on), "__left"), (right, right_id, list(on.values()), "__right"))]
+    # at most one row for each hot_rows rows of a side
+    hot = [cut_lineage(s.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_rows).select(
+        *keys, F.ceil(F.col("n") / hot_rows).cast("int").alias(f"__n{i}")), f"hot{i}") for i, s in enumerate(sides)]
+    dealt = []
+    for i, s in enumerate(sides):
+        for j, h in enumerate(hot):
+            s = bounded_broadcast_join(s, h, keys, materialized=True).fillna(1, [f"__n{j}"])
+        s = s.withColumn(f"__salt{i}", F.pmod(F.xxhash64(s.columns[len(keys)]), F.col(f"__n{i}")).cast("int"))
+        dealt.append(s.withColumn(f"__salt{1 - i}", F.explode(F.sequence(F.lit(0), F.col(f"__n{1 - i}") - 1))).drop("__n0", "__n1"))
+    pairs = dealt[0].join(dealt[1], [*keys, "__salt0", "__salt1"])
+    return pairs.select(F.col("__left").alias(left_id), F.col("__right").alias(right_id))
 
 
 __all__ = ["dim_date", "match_fact", "value_history", "last_n", "year_over_year", "consistency", "longest_streak",

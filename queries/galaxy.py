@@ -125,11 +125,21 @@ def role_weights_sql() -> str:
 SELECT internal_player_id, sub_position_tm, CASE {cases} ELSE '{text["CM"]}' END AS role_weights FROM sp""")
 
 
-def q_secondary_key(spark, d):
+def _secondary_sides(spark, d):
     c = table(spark, d, "customer").select("c_custkey", F.date_add(F.to_date(F.lit("1990-01-01")), F.pmod("c_custkey", F.lit(40)).cast("int")).alias("dob"), "c_nationkey")
     s = table(spark, d, "supplier").select("s_suppkey", F.when(F.col("s_suppkey") % 9 != 0, F.date_add(
         F.to_date(F.lit("1990-01-01")), F.pmod("s_suppkey", F.lit(40)).cast("int"))).alias("born"), "s_nationkey")
-    return galaxy.secondary_candidates(c, s, "c_custkey", "s_suppkey", {"dob": "born", "c_nationkey": "s_nationkey"})
+    return c, s
+
+
+ON = {"dob": "born", "c_nationkey": "s_nationkey"}
+
+
+def q_secondary_key(spark, d):
+    """Only keys with one right row, as its SQL says; ``secondary_key_all`` has every candidate."""
+    c, s = _secondary_sides(spark, d)
+    one = s.dropna(subset=list(ON.values())).groupBy(*ON.values()).agg(F.min("s_suppkey").alias("s_suppkey"), F.count(F.lit(1)).alias("n")).filter("n = 1")
+    return galaxy.secondary_candidates(c, one, "c_custkey", "s_suppkey", ON)
 
 
 SQL_SECONDARY_KEY = """
@@ -137,6 +147,15 @@ WITH s AS (SELECT min(s_suppkey) AS s_suppkey, s_suppkey % 40 AS k, s_nationkey
            GROUP BY s_suppkey % 40, s_nationkey HAVING COUNT(*) = 1)
 SELECT c_custkey, s_suppkey FROM customer JOIN s ON c_custkey % 40 = k AND c_nationkey = s_nationkey"""
 
+
+def q_secondary_key_all(spark, d):
+    return galaxy.secondary_candidates(*_secondary_sides(spark, d), "c_custkey", "s_suppkey", ON)
+
+
+SQL_SECONDARY_KEY_ALL = """
+SELECT c_custkey, s_suppkey FROM customer JOIN supplier ON c_custkey % 40 = s_suppkey % 40 AND c_nationkey = s_nationkey
+WHERE s_suppkey % 9 <> 0"""
+
 QUERIES = {
     "dim_date": (q_dim_date, SQL_DIM_DATE),
     "match_fact": (q_match_fact, SQL_MATCH_FACT),
@@ -147,4 +166,5 @@ QUERIES = {
     "percentile_score": (q_percentile, SQL_PERCENTILE),
     "role_weights": (q_role_weights, role_weights_sql()),
     "secondary_key": (q_secondary_key, SQL_SECONDARY_KEY),
+    "secondary_key_all": (q_secondary_key_all, SQL_SECONDARY_KEY_ALL),
 }

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pitchforge.operators.dedupe import keep_last
 from pitchforge.operators.joins import bounded_broadcast_join
 from pitchforge.operators.scaling import scale_by_group
+from pitchforge.plans import galaxy
 from pitchforge.session import scratch_path
 from pitchforge.sources import documents, landing
 
@@ -53,6 +54,15 @@ def test_envelope_documents_are_bounded(spark):
         assert ids == sorted(ids)
 
 
+def test_secondary_candidates_are_whole(spark):
+    left = spark.createDataFrame([(i, "a" if i < 50 else "b" if i < 60 else None, 1) for i in range(70)], "l int, dob string, team int")
+    right = spark.createDataFrame([(i, "a" if i < 30 else "b" if i < 33 else None, 1 if i != 5 else 2) for i in range(40)], "r int, born string, t int")
+    want = sorted((x.l, y.r) for x in left.collect() for y in right.collect() if x.dob is not None and (x.dob, x.team) == (y.born, y.t))
+    for hot in (4, 20, 1000):
+        got = galaxy.secondary_candidates(left, right, "l", "r", {"dob": "born", "team": "t"}, hot_rows=hot)
+        assert sorted(map(tuple, got.collect())) == want and len(want) == 50 * 29 + 10 * 3
+
+
 def test_keep_last_hot_key(spark):
     df = spark.range(0, 5000).select(F.lit(1).alias("k"), F.col("id").alias("pos"))
     assert keep_last(df, ["k"], ["pos"]).first().pos == 4999
