@@ -16,6 +16,8 @@ from pitchforge.session import cut_lineage
 
 #: Rows of one key on one side of a join from which the key is salted.
 HOT_ROWS = 10_000
+#: Matches in one array of a player.
+CHUNK_MATCHES = 1_000
 
 
 def dim_date(spark: SparkSession, first: Column, last: Column) -> DataFrame:
@@ -27,10 +29,34 @@ def dim_date(spark: SparkSession, first: Column, last: Column) -> DataFrame:
         (F.weekday("full_date") + 1).alias("day_of_week"), (F.weekday("full_date") >= 5).alias("is_weekend"))
 
 
-def match_fact(profiles: DataFrame, key: str, matches: Column) -> DataFrame:
-    """One row per player and match of the profile's match array, numbered from 1."""
-    rows = profiles.select(key, F.posexplode(matches).alias("__i", "m"))
-    return rows.select(key, (F.col("__i") + 1).cast("bigint").alias("match_no"), "m.*")
+def match_chunks(matches: DataFrame, key: str, order: Sequence, take: Sequence[str], out: str, size: int = CHUNK_MATCHES) -> DataFrame:
+    """All matches of each player in ``order`` (which tells them apart), as arrays of at most ``size`` structs: (key, chunk from 0, out).
+
+    Matches are dealt by range of player and order and numbered over the ranges, so
+    neither a player's matches nor an array of them need to come together in one task.
+    """
+    n = int(matches.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = cut_lineage(matches.repartitionByRange(n, F.col(key), *order).withColumn("__range", F.spark_partition_id()), "matches")
+    before = Window.partitionBy(key).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    # one row for each range and player in it
+    offsets = ranged.groupBy("__range", key).agg(F.count(F.lit(1)).alias("n")).select(
+        F.col("__range").alias("__r"), F.col(key).alias("__k"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before"))
+    local = ranged.withColumn("__i", F.row_number().over(Window.partitionBy("__range", key).orderBy(*order)))
+    numbered = local.join(offsets, (F.col("__range") == F.col("__r")) & F.col(key).eqNullSafe(F.col("__k")))
+    numbered = numbered.withColumn("__i", F.col("__i") + F.col("__before") - 1)
+    packed = numbered.groupBy(key, F.floor(F.col("__i") / size).alias("chunk")).agg(
+        F.array_sort(F.collect_list(F.struct("__i", *take))).alias("__items"))
+    return packed.select(key, "chunk", F.transform("__items", lambda x: F.struct(*[x[c].alias(c) for c in take])).alias(out))
+
+
+def match_fact(profiles: DataFrame, key: str, matches: Column, before: Column | None = None) -> DataFrame:
+    """One row per player and match of the profile's match array, numbered from 1.
+
+    ``before``: number of the player's matches in the arrays ahead of this one (``match_chunks``).
+    """
+    ahead = F.lit(0) if before is None else before
+    rows = profiles.select(key, ahead.alias("__ahead"), F.posexplode(matches).alias("__i", "m"))
+    return rows.select(key, (F.col("__ahead") + F.col("__i") + 1).cast("bigint").alias("match_no"), "m.*")
 
 
 def value_history(history: DataFrame, key: str, order: Sequence[str], value: str) -> DataFrame:
@@ -125,5 +151,5 @@ def secondary_candidates(left: DataFrame, right: DataFrame, left_id: str, right_
     return pairs.select(F.col("__left").alias(left_id), F.col("__right").alias(right_id))
 
 
-__all__ = ["dim_date", "match_fact", "value_history", "last_n", "year_over_year", "consistency", "longest_streak",
+__all__ = ["dim_date", "match_chunks", "match_fact", "value_history", "last_n", "year_over_year", "consistency", "longest_streak",
            "percentile_score", "role_weights", "secondary_candidates"]

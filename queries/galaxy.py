@@ -37,6 +37,7 @@ FROM (SELECT unnest(generate_series(min(CAST(o_orderdate AS DATE)), max(CAST(o_o
 
 
 def q_match_fact(spark, d):
+    """The ten latest, as its SQL says; ``match_fact_all`` has every match."""
     o = _orders(spark, d)
     prof = first_items(o, "o_custkey", [F.col(c).desc() for c in ORDER], ["o_orderkey", "o_totalprice"], 10, "matches")
     return galaxy.match_fact(prof, "o_custkey", F.col("matches"))
@@ -47,6 +48,16 @@ SELECT o_custkey, row_number() OVER w AS match_no, o_orderkey, o_totalprice FROM
 WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) QUALIFY row_number() OVER w <= 10"""
 
 
+def q_match_fact_all(spark, d):
+    chunks = galaxy.match_chunks(_orders(spark, d), "o_custkey", [F.col(c).desc() for c in ORDER], ["o_orderkey", "o_totalprice"], "matches")
+    return galaxy.match_fact(chunks, "o_custkey", F.col("matches"), F.col("chunk") * galaxy.CHUNK_MATCHES)
+
+
+SQL_MATCH_FACT_ALL = """
+SELECT o_custkey, row_number() OVER w AS match_no, o_orderkey, o_totalprice FROM orders
+WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC)"""
+
+
 def q_value_delta(spark, d):
     out = galaxy.value_history(_orders(spark, d), "o_custkey", ORDER, "o_totalprice")
     return out.select("o_custkey", "o_orderkey", "o_totalprice", r6(F.col("delta_from_previous")).alias("delta"))
@@ -159,6 +170,7 @@ WHERE s_suppkey % 9 <> 0"""
 QUERIES = {
     "dim_date": (q_dim_date, SQL_DIM_DATE),
     "match_fact": (q_match_fact, SQL_MATCH_FACT),
+    "match_fact_all": (q_match_fact_all, SQL_MATCH_FACT_ALL),
     "value_delta": (q_value_delta, SQL_VALUE_DELTA),
     "last_five": (q_last_five, SQL_LAST_FIVE),
     "year_over_year": (q_year_over_year, SQL_YEAR_OVER_YEAR),

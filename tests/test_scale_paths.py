@@ -63,6 +63,19 @@ def test_secondary_candidates_are_whole(spark):
         assert sorted(map(tuple, got.collect())) == want and len(want) == 50 * 29 + 10 * 3
 
 
+def test_match_fact_is_whole(spark):
+    df = spark.range(0, 3000).select(F.when(F.col("id") % 3 > 0, 1).when(F.col("id") % 7 > 0, F.col("id") % 50).alias("k"),
+                                     (F.col("id") * 7919 % 3000).alias("at"), "id").repartition(5)
+    chunks = galaxy.match_chunks(df, "k", [F.col("at").desc()], ["id", "at"], "ms", size=16)
+    assert chunks.select(F.max(F.size("ms"))).first()[0] == 16
+    got = {(r.k, r.match_no): r.id for r in galaxy.match_fact(chunks, "k", F.col("ms"), F.col("chunk") * 16).collect()}
+    want, seen = {}, {}
+    for r in sorted(df.collect(), key=lambda r: -r["at"]):
+        seen[r.k] = seen.get(r.k, 0) + 1
+        want[r.k, seen[r.k]] = r.id
+    assert got == want and len(got) == 3000
+
+
 def test_keep_last_hot_key(spark):
     df = spark.range(0, 5000).select(F.lit(1).alias("k"), F.col("id").alias("pos"))
     assert keep_last(df, ["k"], ["pos"]).first().pos == 4999
