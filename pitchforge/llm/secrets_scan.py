@@ -8,7 +8,8 @@ endpoint.  Each text is searched for parts in two grades.
 * Weak candidates are common in clean text: ``identifier`` (``user = ...``),
   ``secret`` (a mixed token of high entropy) and ``endpoint`` (a URL or an
   address).  One is reported only if a complementary part co-occurs: a secret
-  for an identifier or endpoint, and one of those for a secret.
+  for an identifier or endpoint, and one of those for a secret.  One that
+  overlaps a base span counts as a complement but is not reported itself.
 
 Co-occurrence is an interval join within scopes.  A part's scope is its own
 span widened by ``REACH`` code points on each side, cut at the blank lines that
@@ -78,7 +79,7 @@ class Finder:
             out += [(m.start(), m.end(), "access") for m in self.access(text)]
         return out + [(m.start(), m.end(), "hex") for m in self.hex(text)]
 
-    def weak(self, text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    def weak(self, text: str) -> list[tuple[int, int, str]]:
         out = []
         if "=" in text or ":" in text:
             out += [(m.start(), m.end(), "identifier") for m in self.identifier(text)]
@@ -87,6 +88,10 @@ class Finder:
             out += [(m.start(), m.end(), "endpoint") for m in self.endpoint(text)]
         elif "://" in text:
             out += [(m.start(), m.end(), "endpoint") for m in self.endpoint(text)]
+        return out
+
+    def apart(self, weak: list[tuple[int, int, str]], base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+        """The weak parts that overlap no base span."""
         covered = sorted((s, e) for s, e, _ in base)
         starts = [s for s, _ in covered]
         ends = [0]  # running maximum of the ends
@@ -97,17 +102,17 @@ class Finder:
             before = bisect_right(starts, s)
             return ends[before] <= s and (before == len(starts) or starts[before] >= e)
 
-        return [(s, e, k) for s, e, k in out if free(s, e)]
+        return [(s, e, k) for s, e, k in weak if free(s, e)]
 
     def spans(self, text: str | None) -> tuple[list, list]:
         """(base spans, all spans), both by start, then kind."""
         if not text:
             return [], []
         base = self.base(text)
-        weak = self.weak(text, base)
+        weak = self.weak(text)
         order = lambda p: (p[0], KINDS.index(p[2]), p[1])
         if weak:
-            weak = linked(base + weak, [m.start() for m in self.blank(text)])
+            weak = self.apart(linked(base + weak, [m.start() for m in self.blank(text)]), base)
         return sorted(base, key=order), sorted(base + weak, key=order)
 
 

@@ -41,6 +41,13 @@ def test_weak_parts_need_a_complement():
     assert kinds(many).count("identifier") == 29
 
 
+def test_overlapped_weak_parts_vouch():
+    f = secrets_scan.Finder()
+    text = "https://db.example.com/login?token=abcdef123456 then Qx7+kP2/vR9zLm4Wt8"
+    assert [(text[s:e], k) for s, e, k in f.spans(text)[1]] == [("token=abcdef123456", "assign"), ("Qx7+kP2/vR9zLm4Wt8", "secret")]
+    assert [k for _, _, k in f.spans("https://db.example.com/login?token=abcdef123456 alone")[1]] == ["assign"]
+
+
 def test_linking_equals_all_pairs():
     rng = random.Random(1)
     for _ in range(200):
