@@ -22,15 +22,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import narrow
+from .common import materialize, narrow, small_side
 
 UNKNOWN = "und"
 WINDOW = 256
 WIDTHS, FILTERS, EMBEDDING = (2, 3, 4), 16, 8
 #: Bound on the training sample: documents of each language, and windows of each document.
 SAMPLE_DOCS, SAMPLE_WINDOWS = 1500, 2
-#: Bound on the number of learned languages (the most frequent ones).
-LANGUAGES = 256
+#: Bound on the labelled rows of all languages together, and the documents that each has in any case.
+SAMPLE_ALL, LEAST_DOCS = 384_000, 20
 #: Windows that one step of a prediction holds.
 STEP = 64
 PAD = 0  # no byte of text after cleaning
@@ -161,15 +161,19 @@ def held_out(doc_id):
 def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, seed: int = 7) -> ByteCNN | None:
     """Fit a network on rows (doc_id, text, lang) with text and lang.
 
-    At most ``sample_docs`` documents of each language reach the driver, chosen
-    by a hash of the id; all rows are counted, none is read in order.
+    Every language is learned. About ``sample_docs`` documents of each reach the
+    driver (fewer, down to LEAST_DOCS, if all would pass SAMPLE_ALL), chosen by a
+    hash of the id; all rows are counted, none is read in order.
     """
     usable = labelled.where("text is not null and lang is not null").withColumn("pick", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)))
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    if not counts:
+    counts = small_side(materialize(usable.groupBy("lang").agg(F.count("*").alias("n")), "languages"))
+    languages = counts.count()
+    if not languages:
         return None
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], int(min(1.0, sample_docs / r["count"]) * (1 << 30)))])
-    rows = usable.where(F.col("pick") < share[F.col("lang")]).select("lang", "text", "pick").limit(2 * sample_docs * len(counts))
+    each = min(sample_docs, max(LEAST_DOCS, SAMPLE_ALL // languages))
+    share = F.floor(F.least(F.lit(1.0), F.lit(each) / F.col("n")) * (1 << 30))
+    picked = usable.join(counts, "lang").where(F.col("pick") < share)
+    rows = picked.select("lang", "text", "pick").limit(2 * each * languages)
     pdf = rows.toPandas().sort_values(["lang", "pick", "text"], kind="stable").reset_index(drop=True)
     pdf = pdf[pdf.text.map(has_letter)].reset_index(drop=True)
     if not len(pdf):

@@ -188,6 +188,12 @@ def test_language_of_odd_rows(odd_docs, no_docs):
     assert lang_cnn.keep_identified(odd_docs, model).columns == odd_docs.columns
 
 
+def test_every_label_is_learned(spark, tmp_path):
+    rows = [(i, f"word {chr(97 + i % 26)} text", f"l{i % 300}") for i in range(900)]
+    spark.createDataFrame(rows, "doc_id int, text string, lang string").write.parquet(f"{tmp_path}/d")
+    assert len(lang_cnn.train(spark.read.parquet(f"{tmp_path}/d"), sample_docs=3).labels) == 300
+
+
 def test_gradients_equal_differences():
     rng = np.random.default_rng(0)
     net = lang_cnn.ByteCNN(["a", "b", "c"])
