@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, suffix_dedup
+from . import decontam, period_runs, suffix_dedup
 
 TOP_K = """
 WITH v AS (
@@ -60,4 +60,39 @@ SELECT doc_id, item_id, CAST(n AS BIGINT) AS n_words, similarity
 FROM best JOIN d USING (rid) JOIN i USING (iid) WHERE similarity >= {similarity}"""
 
 
-SQL = {"op4_maxscore": TOP_K, "op6_suffix_dedup": repeats(), "op9_decontamination": leaks()}
+def runs(least: int = period_runs.LEAST, exponent: int = period_runs.EXPONENT) -> str:
+    """Islands of equal stretches q apart, for every q, in the tiled texts.
+
+    A run has ``least`` words or more and at least 4 periods, so ``least - 1`` words
+    recur at its period; all pairs of equal stretches that long are compared.
+    """
+    seed = least - 1
+    return f"""
+WITH t AS (SELECT row_number() OVER () AS rid, doc_id, list_reduce(
+             list_prepend(4294967295, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [ascii(c), 0, 0, 0, 0, 0, 0, 0]))),
+             lambda h, x: xor(xor(h, x) >> 1, CASE WHEN xor(h, x) % 2 = 1 THEN 3988292384 ELSE 0 END)) AS crc,
+             list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+           FROM documents),
+g AS (SELECT rid, doc_id, w, len(w) AS n, xor(crc, 4294967295) % 10 = 0 AND len(w) > 0 AS tile, xor(crc, 4294967295) // 10 AS g FROM t),
+a AS (SELECT *, CASE WHEN tile THEN g % n END AS a FROM g),
+p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+d AS (SELECT rid, doc_id, n, CASE WHEN tile THEN
+        list_transform(range(n), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END) ELSE w END AS w FROM p),
+s AS (SELECT rid, i, md5_number(array_to_string(w[i + 1:i + {seed}], ' ')) AS s
+      FROM (SELECT rid, w, unnest(range(n - {seed - 1})) AS i FROM d WHERE n >= {least})),
+q AS (SELECT x.rid, x.i, y.i - x.i AS q FROM s x JOIN s y ON x.rid = y.rid AND x.s = y.s AND x.i < y.i),
+c AS (SELECT rid, q, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS c, i FROM q),
+l AS (SELECT rid, q, min(i) AS start, COUNT(*) + {seed - 1} + q AS length FROM c GROUP BY rid, q, c),
+r AS (SELECT rid, start, length, q FROM l WHERE length >= greatest({least}, {exponent} * q)
+      QUALIFY q = min(q) OVER (PARTITION BY rid, start, length)),
+best AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY rid ORDER BY length DESC, start, q) = 1),
+lines AS (SELECT rid, COUNT(*) AS n_runs, string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS lines FROM r GROUP BY rid),
+gone AS (SELECT DISTINCT rid, unnest(range(start + q, start + length)) AS i FROM r),
+kept AS (SELECT rid, string_agg(word, ' ' ORDER BY i) AS kept
+         FROM (SELECT rid, unnest(w) AS word, unnest(range(n)) AS i FROM d WHERE n > 0) ANTI JOIN gone USING (rid, i) GROUP BY rid)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, q AS period, 1000 * length // q AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM d LEFT JOIN best USING (rid) LEFT JOIN lines USING (rid) LEFT JOIN kept USING (rid)"""
+
+
+SQL = {"op4_maxscore": TOP_K, "op6_suffix_dedup": repeats(), "op9_decontamination": leaks(), "op11_period_runs": runs()}

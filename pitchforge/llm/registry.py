@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontam, lang_cnn, license_scan, maxscore, oracles, packing, quality_bayes, secrets_scan, simhash_bk,
-               suffix_dedup, token_files)
+from . import (decontam, feast_whitening, improbable_digest, lang_cnn, license_scan, maxscore, oracles, packing, period_runs,
+               quality_bayes, secrets_scan, simhash_bk, suffix_dedup, token_files)
 from .common import table
 
 
@@ -65,9 +65,21 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", lang_cnn.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op11_period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return period_runs.run_digest(period_runs.find_runs(period_runs.tile_words(table(spark, sf_dir, "documents"))))
+
+
+def op12_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feast_whitening.whiten(table(spark, sf_dir, "embeddings"), components=4)
+
+
+def op13_improbable_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return improbable_digest.edit_trial(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_quality, op3_license_scan, op4_maxscore, op5_best_fit_packing, op6_suffix_dedup, op7_token_files, op8_simhash,
-    op9_decontamination, op10_language_id)}
+    op9_decontamination, op10_language_id, op11_period_runs, op12_feast_whitening, op13_improbable_digest)}
 
 #: DuckDB SQL of the queries that SQL can express.
 SQL: dict[str, str] = oracles.SQL
