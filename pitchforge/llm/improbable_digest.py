@@ -26,6 +26,7 @@ import binascii
 import hashlib
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -52,7 +53,11 @@ SAMPLE = 50
 _C = np.arange(WINDOW + 1)
 _UNIT = 1 << 32
 _CLOGC = np.round(_C * np.log2(np.maximum(_C, 1)) * _UNIT).astype(np.int64)
+# steps of the sum when one of c equal bytes leaves, and when one comes to c others
+_LEAVES = np.concatenate([[0], _CLOGC[:-1] - _CLOGC[1:]])
+_ENTERS = np.concatenate([_CLOGC[1:] - _CLOGC[:-1], [0]])
 _MOST = WINDOW * int(round(np.log2(WINDOW) * _UNIT))
+_WINDOW, _SHIFTS = np.arange(WINDOW), np.arange(0, 11 * HASHES, 11, dtype=np.uint64)
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
 
@@ -66,25 +71,27 @@ def entropy_classes(x: np.ndarray) -> np.ndarray:
     n = len(x)
     if n < WINDOW:
         return np.zeros(0, np.int64)
-    order = np.argsort(x, kind="stable")
-    key = x[order].astype(np.int64) * (n + WINDOW) + order
-    index = np.arange(n)
-    reach = np.searchsorted(key, key + WINDOW)  # first equal byte beyond the window that starts here
-    ahead, behind = np.empty(n, np.int64), np.empty(n, np.int64)
+    kind = np.int32 if n < 1 << 22 else np.int64  # 256 * (n + WINDOW) has to fit
+    order = np.argsort(x, kind="stable").astype(kind)
+    key = x[order].astype(kind) * kind(n + WINDOW) + order
+    index = np.arange(n, dtype=kind)
+    reach = np.searchsorted(key, key + kind(WINDOW))  # first equal byte beyond the window that starts here
+    ahead, behind = np.empty(n, kind), np.empty(n, kind)
     ahead[order] = reach - index
     behind[order] = index - np.cumsum(np.bincount(reach, minlength=n + 1))[:n]
     out, into = ahead[:n - WINDOW], behind[WINDOW:]
-    same = x[:n - WINDOW] == x[WINDOW:]
-    step = _CLOGC[out - 1] - _CLOGC[out] + _CLOGC[np.minimum(into + 1, WINDOW)] - _CLOGC[into]
-    step[same] = 0
-    first = int(_CLOGC[np.bincount(x[:WINDOW])].sum())
-    total = np.cumsum(np.concatenate([[first], step]))
-    return (_MOST - total) // (_MOST // 1000)
+    # a byte that enters as an equal one leaves finds itself behind: both steps cancel
+    step = _LEAVES[out] + _ENTERS[into]
+    total = np.empty(n - WINDOW + 1, np.int64)
+    total[0] = _CLOGC[np.bincount(x[:WINDOW])].sum()
+    np.cumsum(step, out=total[1:])
+    total[1:] += total[0]
+    return ((_MOST - total) // (_MOST // 1000)).astype(np.int32)
 
 
 def ranks(counts: np.ndarray) -> np.ndarray:
     """Ranks of the classes, the rarest 0; classes that are no features get the highest."""
-    rank = np.empty(CLASSES, np.int64)
+    rank = np.empty(CLASSES, np.int32)
     rank[np.argsort(counts, kind="stable")] = np.arange(CLASSES)
     rank[:LEAST_CLASS] = CLASSES
     return rank
@@ -100,22 +107,21 @@ def stretches(key: np.ndarray, width: int) -> np.ndarray:
     return key
 
 
-def features(x: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Places of the features of a text, ascending."""
-    r = rank[entropy_classes(x)]
+def features(r: np.ndarray) -> np.ndarray:
+    """Places of the features of a text, ascending, given the ranks of its windows."""
     if not len(r):
         return r
-    width = min(STRETCH, len(r))
-    best = stretches(r * len(r) + np.arange(len(r)), width)
-    best = best[best < CLASSES * len(r)] % len(r)
-    wins = np.bincount(best, minlength=len(r))
+    width, n = min(STRETCH, len(r)), len(r)
+    kind = np.int32 if n < 1 << 21 else np.int64  # CLASSES * n has to fit
+    best = stretches(r.astype(kind) * kind(n) + np.arange(n, dtype=kind), width)
+    wins = np.bincount(best[best < CLASSES * n] % n, minlength=n)
     # a text with few stretches has the windows that win most of them
     return np.flatnonzero(wins >= max(1, min(POPULAR, int(wins.max()))))
 
 
 def feature_bits(x: np.ndarray, places: np.ndarray) -> np.ndarray:
     """The bits (rows of HASHES) of the distinct windows at these places, in order."""
-    eights = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(x, WINDOW)[places]).view("<u8")
+    eights = x[places[:, None] + _WINDOW].view("<u8")
     h = np.full(len(places), 42, np.uint64)
     for word, mix in zip(eights.T, _MIX, strict=True):
         h = (h ^ word) * mix
@@ -127,7 +133,7 @@ def bits_of(h: np.ndarray) -> np.ndarray:
     """Bits of 64-bit hashes: 11 bits each of five places."""
     h = h * _MIX[1]
     h ^= h >> np.uint64(32)
-    return ((h[:, None] >> np.arange(0, 11 * HASHES, 11, dtype=np.uint64)) & np.uint64(BITS - 1)).astype(np.int64)
+    return ((h[:, None] >> _SHIFTS) & np.uint64(BITS - 1)).astype(np.int64)
 
 
 class Digest:
@@ -139,12 +145,16 @@ class Digest:
     @classmethod
     def of(cls, text: str | None, rank: np.ndarray) -> Digest:
         raw = (text or "").encode()
+        return cls.of_classes(raw, entropy_classes(np.frombuffer(raw, np.uint8)), rank)
+
+    @classmethod
+    def of_classes(cls, raw: bytes, classes: np.ndarray, rank: np.ndarray) -> Digest:
+        """The digest of bytes whose entropy classes are known."""
         if not raw:
             return cls(np.zeros(0, np.int64), np.zeros((0, BITS // 8), np.uint8))
-        x = np.frombuffer(raw, np.uint8)
-        places = features(x, rank)
+        places = features(rank[classes])
         if len(places):
-            bits = feature_bits(x, places)
+            bits = feature_bits(np.frombuffer(raw, np.uint8), places)
         else:
             bits = bits_of(np.frombuffer(hashlib.sha256(raw).digest()[:8], "<u8"))
         number = np.arange(len(bits)) // FEATURES
@@ -166,18 +176,17 @@ class Digest:
 
 def overlaps(a: Digest, b: Digest) -> np.ndarray:
     """The best normalised overlap of each filter of ``a`` with one of ``b``."""
-    on_b = np.unpackbits(b.filters, axis=1).astype(np.float32)
-    size_b, best = on_b.sum(axis=1), np.zeros(len(a.filters))
-    for at in range(0, len(a.filters), 64):
-        on_a = np.unpackbits(a.filters[at:at + 64], axis=1).astype(np.float32)
-        size_a, top = on_a.sum(axis=1), np.zeros(len(on_a))
-        for lo in range(0, len(on_b), 1024):
-            common = (on_a @ on_b[lo:lo + 1024].T).astype(float)
-            chance = np.outer(size_a, size_b[lo:lo + 1024]) / BITS
+    words_a, words_b = a.filters.view("<u8"), b.filters.view("<u8")
+    size_a, size_b = (np.bitwise_count(w).sum(axis=1, dtype=float) for w in (words_a, words_b))
+    best = np.zeros(len(words_a))
+    for at in range(len(words_a)):
+        for lo in range(0, len(words_b), 4096):
+            common = np.bitwise_count(words_a[at] & words_b[lo:lo + 4096]).sum(axis=1, dtype=float)
+            product = size_a[at] * size_b[lo:lo + 4096]
+            chance = product / BITS
             chance += SPREADS * np.sqrt(chance)
-            room = np.sqrt(np.outer(size_a, size_b[lo:lo + 1024])) - chance
-            top = np.maximum(top, np.where(room > 0, (common - chance) / np.maximum(room, 1e-9), 0).max(axis=1))
-        best[at:at + 64] = top
+            room = np.sqrt(product) - chance
+            best[at] = max(best[at], np.where(room > 0, (common - chance) / np.maximum(room, 1e-9), 0).max())
     return best
 
 
@@ -252,9 +261,9 @@ def borders(rows: DataFrame, tasks: int) -> list[tuple]:
     return sorted({tuple(first["first"]), *(order[len(order) * t // tasks] for t in range(1, tasks) if order)})
 
 
-def with_next(docs: DataFrame, work: Callable[[str | None, str | None], tuple], schema: str, total_bytes: int,
-              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The id and ``work(text, next text)`` (of ``schema``) of every document; the last one's next is the first.
+def with_next(docs: DataFrame, once: Callable[[str | None], Any], work: Callable[[Any, Any], tuple], schema: str,
+              total_bytes: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The id and ``work(own, next one's)`` (of ``schema``) of what ``once`` makes of each text; the last one's next is the first.
 
     Documents are dealt once, into ranges of (id, row number), and streamed in
     that order.  A range also gets the first document of the one after it.
@@ -280,9 +289,10 @@ def with_next(docs: DataFrame, work: Callable[[str | None, str | None], tuple],
         for pdf in batches:
             out = []
             for no_id, i, text, extra, at in zip(pdf["no_id"], pdf["doc_id"], pdf["text"], pdf["extra"], pdf["range"], strict=True):
+                made = once(text)
                 if waiting and waiting[0] == at:
-                    out.append((*waiting[1:3], *work(waiting[3], text)))
-                waiting = None if extra else (at, no_id, i, text)
+                    out.append((*waiting[1:3], *work(waiting[3], made)))
+                waiting = None if extra else (at, no_id, i, made)
             if out:
                 yield pd.DataFrame(out, columns=names)
 
@@ -293,28 +303,37 @@ def with_next(docs: DataFrame, work: Callable[[str | None, str | None], tuple],
     return found.withColumn("doc_id", F.when(~F.col("no_id"), F.col("doc_id"))).drop("no_id")
 
 
-def edited(text: str | None, following: str | None) -> str:
-    """The text with its last half (in code points, rounded down) replaced by as many first ones of the next."""
-    text = text or ""
-    half = len(text) // 2
-    return text[:len(text) - half] + (following or "")[:half]
+def spliced(left: bytes, left_classes: np.ndarray, right: bytes, right_classes: np.ndarray) -> np.ndarray:
+    """Entropy classes of left + right, given those of texts that begin with either."""
+    a, b = max(0, len(left) - WINDOW + 1), max(0, len(right) - WINDOW + 1)
+    seam = np.frombuffer(left[a:] + right[:WINDOW - 1], np.uint8)
+    return np.concatenate([left_classes[:a], entropy_classes(seam), right_classes[:b]])
 
 
 def edit_trial(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Digests of every text, its edited text, and how like the text's are to the edited one's and the next one's.
+    """Digests of every text and its edited text, and how like the text's is to the edited one's and the next one's.
 
-    Rows (doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next).
+    The edited text has its last half (in code points, rounded down) replaced by
+    as many first ones of the next document.  Rows (doc_id, n_chars,
+    edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next).
     """
     counts = class_counts(docs, text_col)
     rank = ranks(counts)
 
-    def work(text: str | None, following: str | None) -> tuple:
-        changed = edited(text, following)
-        own, new, other = (Digest.of(t, rank) for t in (text, changed, following))
-        return (len(text or ""), hashlib.sha256(changed.encode()).hexdigest(), str(own), str(new),
-                likeness(own, new), likeness(own, other))
-
-    return with_next(docs, work, "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+    def once(text: str | None) -> tuple:
+        raw = (text or "").encode()
+        classes = entropy_classes(np.frombuffer(raw, np.uint8))
+        return text or "", classes, Digest.of_classes(raw, classes, rank)
+
+    def work(own: tuple, following: tuple) -> tuple:
+        text, classes, digest = own
+        half = len(text) // 2
+        left, right = text[:len(text) - half].encode(), following[0][:half].encode()
+        changed = Digest.of_classes(left + right, spliced(left, classes, right, following[1]), rank)
+        return (len(text), hashlib.sha256(left + right).hexdigest(), str(digest), str(changed),
+                likeness(digest, changed), likeness(digest, following[2]))
+
+    return with_next(docs, once, work, "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
                      "near_edited double, near_next double", int(counts.sum()), id_col, text_col)
 
 

@@ -47,7 +47,16 @@ def test_entropy_and_features():
         assert len(got) == len(want) and all(abs(g - w) <= 1 and g == math.floor(w + 1e-6) or abs(w - round(w)) < 1e-6
                                              for g, w in zip(got, want, strict=True))
         if raw:
-            assert d.features(np.frombuffer(raw, np.uint8), rank).tolist() == places(raw, rank)
+            assert d.features(rank[got]).tolist() == places(raw, rank)
+
+
+def test_classes_across_a_seam():
+    texts = [t.encode() for t in TEXTS]
+    of = lambda raw: d.entropy_classes(np.frombuffer(raw, np.uint8))
+    for a in texts:
+        for b in texts:
+            for m, n in ((0, 0), (5, 9), (31, 31), (32, 40), (200, 3), (90, 200)):
+                assert d.spliced(a[:m], of(a), b[:n], of(b)).tolist() == of(a[:m] + b[:n]).tolist()
 
 
 def test_rare_classes_come_first():
@@ -74,7 +83,8 @@ def test_digests_and_likeness():
     assert d.likeness(chain, d.Digest.of(long[:len(long) // 2], rank)) > 0.9
     assert 0.35 < d.likeness(chain, d.Digest.of(long[:len(long) // 2] + prose(random.Random(10), 15_000), rank)) < 0.65
     # each filter has exactly the bits of its features
-    bits = d.feature_bits(np.frombuffer(long.encode(), np.uint8), d.features(np.frombuffer(long.encode(), np.uint8), rank))
+    x = np.frombuffer(long.encode(), np.uint8)
+    bits = d.feature_bits(x, d.features(rank[d.entropy_classes(x)]))
     for n, f in enumerate(chain.filters):
         assert set(np.flatnonzero(np.unpackbits(f))) == set(bits[n * d.FEATURES:(n + 1) * d.FEATURES].ravel())
 
@@ -122,11 +132,11 @@ def test_many_ranges(spark, tmp_path):
     df = spark.read.parquet(path)
     order = [(r["doc_id"], r["text"]) for r in df.collect()]
     work = lambda a, b: (len(a), f"{a}|{b}")
-    got = d.with_next(df, work, "n long, both string", 400 * d.TASK_BYTES).collect()
+    got = d.with_next(df, str, work, "n long, both string", 400 * d.TASK_BYTES).collect()
     ordered = sorted(order, key=lambda r: (r[0] is None, r[0] or 0))
     same(got, [(i, len(t), f"{t}|{u}") for (i, t), (_, u) in zip(ordered, [*ordered[1:], *ordered[:1]], strict=True)])
     one = spark.createDataFrame([("k", "only")], "id string, body string")
-    assert [tuple(r) for r in d.with_next(one, work, "n long, both string", 0, "id", "body").collect()] == [("k", 4, "only|only")]
+    assert [tuple(r) for r in d.with_next(one, str, work, "n long, both string", 0, "id", "body").collect()] == [("k", 4, "only|only")]
 
 
 def test_no_rows(no_docs):
