@@ -27,22 +27,34 @@ def overwrite_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def versions(spark: SparkSession, base: str, complete: bool = True) -> list[int]:
+    """Numbers of the ``v=<n>`` directories under ``base``, by one listing; only those whose write ended
+    (with ``_SUCCESS``) if ``complete``."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(base)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(root)]
+    found = sorted(int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit())
+    return [n for n in found if not complete or path_exists(spark, f"{base.rstrip('/')}/v={n}/_SUCCESS")]
+
+
 def next_version_path(spark: SparkSession, base: str) -> str:
     """A10 for input == output: the next ``v=<n>`` directory under ``base``.
 
     Readers keep reading the old version while the new one is written; the
-    caller switches by reading the returned path afterwards.
+    caller switches by reading the returned path afterwards.  A number whose
+    write was given up is not used again, so a late writer can't mix files into
+    another's version.
     """
-    n = 0
-    while path_exists(spark, f"{base.rstrip('/')}/v={n}"):
-        n += 1
-    return f"{base.rstrip('/')}/v={n}"
+    taken = versions(spark, base, complete=False)
+    return f"{base.rstrip('/')}/v={taken[-1] + 1 if taken else 0}"
 
 
 def latest_version_path(spark: SparkSession, base: str) -> str | None:
-    nxt = next_version_path(spark, base)
-    n = int(nxt.rsplit("=", 1)[1])
-    return None if n == 0 else f"{base.rstrip('/')}/v={n - 1}"
+    """The latest version whose write ended; half-written ones don't count."""
+    done = versions(spark, base)
+    return f"{base.rstrip('/')}/v={done[-1]}" if done else None
 
 
 def with_load_stamp(df: DataFrame, stamp: Column | None = None,
@@ -69,5 +81,5 @@ def verify_load(df: DataFrame, condition: Column) -> DataFrame:
                   F.count_if(condition).cast("bigint").alias("matched"))
 
 
-__all__ = ["read_csv_strings", "write_csv", "overwrite_parquet", "next_version_path",
+__all__ = ["read_csv_strings", "write_csv", "overwrite_parquet", "versions", "next_version_path",
            "latest_version_path", "with_load_stamp", "load_tables", "verify_load"]

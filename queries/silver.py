@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 import sql_oracles as O
 from pitchforge.functions.scalars import run_date_col
 from pitchforge.operators.scd2 import change_summary, detect_changes, scd2_load
+from pitchforge.operators.scd2_store import HistoryStore
 from pitchforge.operators.setops import key_difference, key_intersection
 from pitchforge.plans import analogs
-from pitchforge.session import cut_lineage
-from queries.store import stored
+from pitchforge.session import cut_lineage, scratch_path
+from queries.store import history_store, stored
 
 KEY = "internal_player_id"
 TRACKED = O.TRACKED
@@ -31,16 +32,14 @@ def snapshot(spark: SparkSession, d: str, as_of: str | None) -> DataFrame:
 
 
 def history_after(spark: SparkSession, d: str, n_runs: int) -> DataFrame:
-    """History after the first ``n_runs`` loads; each load reads the stored
-    version before it and becomes a version of its own."""
-
-    def load() -> DataFrame:
-        run_date, as_of = RUNS[n_runs - 1]
-        before = history_after(spark, d, n_runs - 1) if n_runs > 1 else None
-        return scd2_load(snapshot(spark, d, as_of), before, KEY, TRACKED, run_date_col(run_date),
-                         order=["id_sfs"], materialize_input=False)
-
-    return stored(spark, d, f"silver-{n_runs}", load)
+    """History after the first ``n_runs`` loads, a version of the stored history;
+    a load writes the buckets of changed keys and the rows it closes."""
+    store = history_store(spark, d, "silver", KEY)
+    done = store.version()
+    for n in range(0 if done is None else done + 1, n_runs):
+        run_date, as_of = RUNS[n]
+        store.load(snapshot(spark, d, as_of), TRACKED, run_date_col(run_date), order=["id_sfs"])
+    return store.history(n_runs - 1)
 
 
 def _sql_history(n_runs: int) -> tuple[list[str], str]:
@@ -86,6 +85,26 @@ def _sql_enrich() -> str:
              "FROM h0 LEFT JOIN sp_0 s USING (internal_player_id)")
 
 
+def q_scd2_delta(spark: SparkSession, d: str) -> DataFrame:
+    """I7 on an adopted history: a snapshot of every 50th player with other goals, and one of new players."""
+    store = HistoryStore(spark, scratch_path(spark, "delta-store"), KEY, buckets=16)
+    store.adopt(history_after(spark, d, 2))
+    part = snapshot(spark, d, None).filter(F.col("id_sfs").cast("bigint") % 50 == 0)
+    store.load(part.withColumn("goals_sfs", F.col("goals_sfs") + 1), TRACKED, run_date_col("2026-06-01"), order=["id_sfs"])
+    fresh = part.withColumn(KEY, F.concat(F.lit("N-"), KEY))
+    store.load(fresh, TRACKED, run_date_col("2026-06-02"), order=["id_sfs"])
+    return store.history()
+
+
+def _sql_scd2_delta() -> str:
+    ctes, last = _sql_history(2)
+    part = "FROM sp_2 WHERE CAST(id_sfs AS BIGINT) % 50 = 0"
+    ctes.append(O.silver_ctes("_2", None))
+    ctes.append(O.scd2_step_ctes(last, f"(SELECT * REPLACE (goals_sfs + 1 AS goals_sfs) {part})", "2026-06-01", "h2"))
+    ctes.append(O.scd2_step_ctes("h2", f"(SELECT * REPLACE ('N-' || {KEY} AS {KEY}) {part})", "2026-06-02", "h3"))
+    return O.with_ctes(*ctes, body="SELECT * FROM h3")
+
+
 def q_snapshot_compare(spark: SparkSession, d: str) -> DataFrame:
     """Classify the second snapshot against the history after run 1."""
     silver = history_after(spark, d, 1)
@@ -142,6 +161,7 @@ QUERIES = {
     "scd2_run1": (q_scd2_run1, _sql_scd2(1)),
     "scd2_run2": (q_scd2_run2, _sql_scd2(2)),
     "scd2_same_day": (q_scd2_same_day, _sql_scd2(3)),
+    "scd2_delta": (q_scd2_delta, _sql_scd2_delta()),
     "enrich_current": (q_enrich_current, _sql_enrich()),
     "snapshot_compare": (q_snapshot_compare, _sql_snapshot_compare()),
     "change_summary": (q_change_summary, _sql_change_summary()),

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pitchforge.operators.scd2_store import HistoryStore
 from pitchforge.session import path_exists, scratch_path
 
 _PATHS: dict[tuple[str, str, str], str] = {}
@@ -25,3 +26,11 @@ def stored(spark: SparkSession, d: str, name: str, build: Callable[[], DataFrame
         build().write.mode("overwrite").parquet(path)
         _PATHS[key] = path
     return spark.read.parquet(path)
+
+
+def history_store(spark: SparkSession, d: str, name: str, key: str, buckets: int = 8) -> HistoryStore:
+    """The stored history ``name`` of data folder ``d``, one in each application; buckets suit small tables."""
+    at = (spark.sparkContext.applicationId, d.rstrip("/"), f"history-{name}")
+    if at not in _PATHS:
+        _PATHS[at] = scratch_path(spark, at[2])
+    return HistoryStore(spark, _PATHS[at], key, buckets)
