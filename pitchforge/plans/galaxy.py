@@ -1,16 +1,17 @@
 """Match-grain and time-series analytics.
 
-Windows run per player, whose rows are bounded by a career; statistics of whole
-position groups (X7) are computed without bringing a group into one task.
+Neither a player's rows (X2-X6, in ranges with the few rows or the state that
+comes before each) nor those of a position group (X7) come together in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from pitchforge.operators import segments
 from pitchforge.operators.joins import bounded_broadcast_join
 from pitchforge.session import cut_lineage
 
@@ -61,14 +62,17 @@ def match_fact(profiles: DataFrame, key: str, matches: Column, before: Column |
 
 def value_history(history: DataFrame, key: str, order: Sequence[str], value: str) -> DataFrame:
     """Each value with its difference from the one before (null for the first)."""
-    w = Window.partitionBy(key).orderBy(*order)
-    return history.withColumn("delta_from_previous", F.col(value) - F.lag(value).over(w))
+    return segments.look_back(history, key, order, 1, lambda df, w: df.withColumn(
+        "delta_from_previous", F.col(value) - F.lag(value).over(w)))
 
 
 def last_n(rows: DataFrame, key: str, order: Sequence[str], value: str, n: int = 5) -> DataFrame:
     """The last ``n`` values up to each row, oldest first, and their mean."""
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(-(n - 1), 0)
-    return rows.withColumns({f"last_{n}": F.collect_list(value).over(w), f"mean_{n}": F.avg(value).over(w)})
+    def add(df: DataFrame, w: WindowSpec) -> DataFrame:
+        w = w.rowsBetween(-(n - 1), 0)
+        return df.withColumns({f"last_{n}": F.collect_list(value).over(w), f"mean_{n}": F.avg(value).over(w)})
+
+    return segments.look_back(rows, key, order, max(1, n - 1), add)
 
 
 def year_over_year(monthly: DataFrame, key: str, month: str, value: str) -> DataFrame:
@@ -86,13 +90,8 @@ def consistency(rows: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def longest_streak(rows: DataFrame, key: str, order: Sequence[str], condition: Column) -> DataFrame:
-    """The longest run of rows in a row that meet a condition (gaps and islands); 0 if none does."""
-    w = Window.partitionBy(key).orderBy(*order)
-    marked = rows.select(key, F.row_number().over(w).alias("__i"),
-                         F.coalesce(condition, F.lit(False)).alias("__ok"),
-                         F.sum(F.when(condition, 0).otherwise(1)).over(w).alias("__island"))
-    runs = marked.groupBy(key, "__island").agg(F.count_if("__ok").alias("n"))
-    return runs.groupBy(key).agg(F.max("n").alias("longest_streak"))
+    """The longest run of rows in a row that meet a condition; 0 if none does."""
+    return segments.longest_streak(rows, key, order, condition)
 
 
 def percentile_score(rows: DataFrame, group: str, value: str, out: str = "percentile") -> DataFrame:
