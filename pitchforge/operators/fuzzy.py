@@ -28,6 +28,8 @@ Plan, all DataFrame operations:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,31 +63,32 @@ def _segment(b: Column, k: Column, i: Column) -> tuple[Column, Column]:
     return start, seg_len
 
 
-def right_segments(right_sorted: DataFrame, t: int) -> DataFrame:
-    """(rs, a, b, seg_i, seg_text): the segments of each string, for each partner length a."""
-    df = right_sorted.select("rs", F.length("rs").alias("b"))
-    df = df.select("rs", "b", F.explode(_feasible(F.col("b"), t)).alias("a"))
+def right_segments(right_sorted: DataFrame, t: int, within: Sequence[str] = ()) -> DataFrame:
+    """(rs, a, b, seg_i, seg_text, *within): the segments of each string, for each partner length a."""
+    df = right_sorted.select("rs", *within, F.length("rs").alias("b"))
+    df = df.select("rs", *within, "b", F.explode(_feasible(F.col("b"), t)).alias("a"))
     df = df.withColumn("k", _distance(F.col("a"), F.col("b"), t) + 1)
-    df = df.select("rs", "a", "b", "k", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("seg_i"))
+    df = df.select("rs", *within, "a", "b", "k", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("seg_i"))
     start, ln = _segment(F.col("b"), F.col("k"), F.col("seg_i"))
-    return df.select("rs", "a", "b", "seg_i", F.substring(F.col("rs"), start + 1, ln).alias("seg_text"))
+    return df.select("rs", "a", "b", "seg_i", F.substring(F.col("rs"), start + 1, ln).alias("seg_text"), *within)
 
 
-def left_probes(left_sorted: DataFrame, t: int) -> DataFrame:
-    """(ls, a, b, seg_i, seg_text): substrings of ls that can be a surviving segment
+def left_probes(left_sorted: DataFrame, t: int, within: Sequence[str] = ()) -> DataFrame:
+    """(ls, a, b, seg_i, seg_text, *within): substrings of ls that can be a surviving segment
     of a right string of length b, within the shift that the two lengths allow."""
-    df = left_sorted.select("ls", F.length("ls").alias("a"))
-    df = df.select("ls", "a", F.explode(_feasible(F.col("a"), t)).alias("b"))
+    df = left_sorted.select("ls", *within, F.length("ls").alias("a"))
+    df = df.select("ls", *within, "a", F.explode(_feasible(F.col("a"), t)).alias("b"))
     df = df.withColumn("d", _distance(F.col("a"), F.col("b"), t)).withColumn("k", F.col("d") + 1)
     df = df.select("*", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("seg_i"))
     start, ln = _segment(F.col("b"), F.col("k"), F.col("seg_i"))
     extra = F.floor((F.col("d") + F.col("a") - F.col("b")) / 2)
     missing = F.floor((F.col("d") - F.col("a") + F.col("b")) / 2)
-    df = df.select("ls", "a", "b", "seg_i", ln.cast("int").alias("ln"),
+    df = df.select("ls", *within, "a", "b", "seg_i", ln.cast("int").alias("ln"),
                    F.greatest(F.lit(0), start - missing).cast("int").alias("lo"),
                    F.least(F.col("a") - ln, start + extra).cast("int").alias("hi"))
     df = df.filter(F.col("lo") <= F.col("hi")).withColumn("q", F.explode(F.sequence(F.col("lo"), F.col("hi"))))
-    return df.select("ls", "a", "b", "seg_i", F.substring(F.col("ls"), F.col("q") + 1, F.col("ln")).alias("seg_text")).distinct()
+    return df.select("ls", "a", "b", "seg_i", F.substring(F.col("ls"), F.col("q") + 1, F.col("ln")).alias("seg_text"),
+                     *within).distinct()
 
 
 def numbered_characters(text: Column) -> Column:
@@ -94,14 +97,28 @@ def numbered_characters(text: Column) -> Column:
     return F.transform(chars, lambda c, i: F.concat(c, (i - F.array_position(chars, c)).cast("string")))
 
 
-def candidate_pairs(left_sorted: DataFrame, right_sorted: DataFrame, t: int) -> DataFrame:
-    """Distinct (ls, rs) that pass both necessary conditions."""
-    segs = right_segments(right_sorted, t)
-    pairs = left_probes(left_sorted, t).join(segs, ["a", "b", "seg_i", "seg_text"]).select("ls", "rs", "a", "b").distinct()
-    pairs = pairs.join(left_sorted.select("ls", numbered_characters(F.col("ls")).alias("lc")), "ls")
-    pairs = pairs.join(right_sorted.select("rs", numbered_characters(F.col("rs")).alias("rc")), "rs")
+def candidate_pairs(left_sorted: DataFrame, right_sorted: DataFrame, t: int, within: Sequence[str] = ()) -> DataFrame:
+    """Distinct (ls, rs, *within) that pass both necessary conditions and agree in the columns ``within``."""
+    segs = right_segments(right_sorted, t, within)
+    pairs = left_probes(left_sorted, t, within).join(segs, ["a", "b", "seg_i", "seg_text", *within])
+    pairs = pairs.select("ls", "rs", "a", "b", *within).distinct()
+    lefts, rights = (df.select(c).distinct() if within else df for df, c in ((left_sorted, "ls"), (right_sorted, "rs")))
+    pairs = pairs.join(lefts.select("ls", numbered_characters(F.col("ls")).alias("lc")), "ls")
+    pairs = pairs.join(rights.select("rs", numbered_characters(F.col("rs")).alias("rc")), "rs")
     common = F.size(F.array_intersect("lc", "rc"))
-    return pairs.filter(common * F.lit(200) >= F.lit(t) * (F.col("a") + F.col("b"))).select("ls", "rs")
+    return pairs.filter(common * F.lit(200) >= F.lit(t) * (F.col("a") + F.col("b"))).select("ls", "rs", *within)
+
+
+def similar_pairs(left_sorted: DataFrame, right_sorted: DataFrame, t: int, within: Sequence[str] = ()) -> DataFrame:
+    """(ls, rs, *within, score) of every pair of distinct sorted strings with a score of ``t`` or more that
+    agrees in the columns ``within``."""
+    if t < LEAST_THRESHOLD:
+        raise ValueError(f"the segment filter is lossless from a threshold of {LEAST_THRESHOLD} on")
+    total = F.length("ls") + F.length("rs")
+    return (candidate_pairs(left_sorted, right_sorted, t, within)
+            .withColumn("__lcs", lcs_udf(F.col("ls"), F.col("rs")))
+            .filter(F.col("__lcs") * F.lit(200) >= F.lit(t) * total)
+            .select("ls", "rs", *within, (F.lit(200.0) * F.col("__lcs") / total).alias("score")))
 
 
 def fuzzy_best_match(left: DataFrame, left_name: str, right: DataFrame, right_name: str,
@@ -129,16 +146,11 @@ def fuzzy_best_match(left: DataFrame, left_name: str, right: DataFrame, right_na
     exact_pairs = exact.select("ls", F.col("ls").alias("rs"), F.lit(100.0).alias("score"))
 
     todo = ls_distinct.join(exact, "ls", "left_anti")
-    cands = candidate_pairs(todo, rfirst.select("rs"), t)
-    total = F.length("ls") + F.length("rs")
-    lcs = lcs_udf(F.col("ls"), F.col("rs"))
-    scored = (cands.withColumn("__lcs", lcs)
-                   .filter(F.col("__lcs") * F.lit(200) >= F.lit(t) * total)
-                   .select("ls", "rs", (F.lit(200.0) * F.col("__lcs") / total).alias("score")))
+    scored = similar_pairs(todo, rfirst.select("rs"), t)
     pairs = exact_pairs.unionByName(scored).join(rfirst, "rs")
     best = first_per_key(pairs, ["ls"], [F.col("score").desc(), F.col("__rorder").asc()])
     return (lnames.join(best, "ls").select(F.col("lname").alias(left_name), "score",
                                            *right_cols))
 
 
-__all__ = ["fuzzy_best_match", "candidate_pairs", "left_probes", "right_segments"]
+__all__ = ["fuzzy_best_match", "similar_pairs", "candidate_pairs", "left_probes", "right_segments"]

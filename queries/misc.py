@@ -475,6 +475,14 @@ FROM sp WHERE league_sfs = 'AUTO MOBILE' OR replace(league_sfs, ' ', '') = 'AUTO
 
 
 # ------------------------------------------------- SQL of C4 / H4 / E8 / I3
+#: Longest common subsequence of a and b (lengths n and m) by its table, row after row.
+LCS = """list_reduce(
+    list_prepend([0 FOR j IN range(m + 1)], [[ord(substr(a, i, 1))] FOR i IN range(1, n + 1)]),
+    lambda prev, ch: list_reduce(list_prepend([0], [[j] FOR j IN range(1, m + 1)]),
+      lambda row, j: list_append(row, CASE WHEN ord(substr(b, j[1], 1)) = ch[1] THEN prev[j[1]] + 1
+                                           ELSE greatest(row[j[1]], prev[j[1] + 1]) END)))[m + 1]"""
+
+
 def fuzzy_ctes(sfx: str = "", left: str = "TRUE", right: str = "TRUE") -> str:
     """CTEs l (left rows) and best (name -> best part): the longest common
     subsequence by its table, row after row, of every pair of distinct sorted names."""
@@ -489,12 +497,7 @@ r{sfx} AS (SELECT p_partkey, p_name, {sort(O.norm_sql('p_name'))} AS b FROM part
 a{sfx} AS (SELECT DISTINCT {sort('name_norm')} AS a FROM l{sfx} WHERE name_norm <> ''),
 pair{sfx} AS (SELECT a, b, p_partkey, p_name, length(a) AS n, length(b) AS m FROM a{sfx}, r{sfx}
               WHERE 85 * (length(a) + length(b)) <= 200 * least(length(a), length(b))),
-lcs{sfx} AS (SELECT *, list_reduce(
-    list_prepend([0 FOR j IN range(m + 1)], [[ord(substr(a, i, 1))] FOR i IN range(1, n + 1)]),
-    lambda prev, ch: list_reduce(list_prepend([0], [[j] FOR j IN range(1, m + 1)]),
-      lambda row, j: list_append(row, CASE WHEN ord(substr(b, j[1], 1)) = ch[1] THEN prev[j[1]] + 1
-                                           ELSE greatest(row[j[1]], prev[j[1] + 1]) END)))[m + 1] AS lcs
-  FROM pair{sfx}),
+lcs{sfx} AS (SELECT *, {LCS} AS lcs FROM pair{sfx}),
 top{sfx} AS (SELECT a, 200.0::DOUBLE * lcs / (n + m) AS score, p_partkey AS right_id, p_name AS right_raw FROM lcs{sfx}
              WHERE 200 * lcs >= 85 * (n + m)
              QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, p_partkey) = 1),

@@ -196,10 +196,58 @@ SELECT CAST(p_partkey AS VARCHAR) AS left_id, printf('PLR_%05d', n) AS internal_
 FROM (SELECT * FROM first UNION ALL SELECT * FROM second)"""
 
 
+def _with_second_key(df: DataFrame, spark: SparkSession, d: str, on: str, born: str, team: str) -> DataFrame:
+    """Birth date (null for some) and team of each part."""
+    p = table(spark, d, "part").select(F.col("p_partkey").cast(df.schema[on].dataType).alias(on), F.when(
+        F.col("p_partkey") % 13 != 0, F.date_add(F.to_date(F.lit("1990-01-01")), F.pmod("p_partkey", F.lit(20)).cast("int"))).alias(born),
+        F.col("p_size").alias(team))
+    return df.join(p, on)
+
+
+def q_resolve_second_key(spark: SparkSession, d: str) -> DataFrame:
+    """I3 with X10: names cut to two, three or all words; birth date and team as second key."""
+    left, right = misc._perturbed_parts(spark, d), misc._part_names(spark, d)
+    words = F.split("name_norm", " ")
+    short = F.when(F.col("left_order") % 5 < 2, F.array_join(F.slice(words, 1, F.when(F.col("left_order") % 5 == 0, 2).otherwise(3)), " "))
+    left = left.withColumn("name_norm", F.coalesce(short, F.col("name_norm")))
+    merged, registry = resolve_entities(
+        _with_second_key(left, spark, d, "left_id", "born", "team"), _with_second_key(right, spark, d, "right_id", "dob", "club"), None,
+        second_key={"born": "dob", "team": "club"}, **_NAMES)
+    return merged.select("left_id", "internal_id", "bridge_id", "right_raw", "evidence").join(
+        registry.select("left_id", F.col("display_name").alias("registered_as")), "left_id", "left")
+
+
+def _sql_second_key() -> str:
+    sort = lambda x: f"array_to_string(list_sort(string_split({x}, ' ')), ' ')"
+    return "WITH " + misc.fuzzy_ctes("_0") + f""",
+x AS (SELECT p_partkey, CASE WHEN p_partkey % 13 <> 0 THEN p_partkey % 20 END AS born, p_size AS team FROM part),
+l AS (SELECT p_partkey, name_raw, array_to_string(CASE p_partkey % 5 WHEN 0 THEN string_split(name_norm, ' ')[1:2]
+        WHEN 1 THEN string_split(name_norm, ' ')[1:3] ELSE string_split(name_norm, ' ') END, ' ') AS name FROM l_0),
+la AS (SELECT l.*, {sort('name')} AS a, born, team FROM l JOIN x USING (p_partkey) WHERE name <> ''),
+rb AS (SELECT p_partkey AS right_id, p_name AS right_raw, {sort(O.norm_sql('p_name'))} AS b, born, team FROM part JOIN x USING (p_partkey)),
+pair AS (SELECT DISTINCT a, b, length(a) AS n, length(b) AS m, la.born IS NOT DISTINCT FROM rb.born AND la.team = rb.team AND la.born IS NOT NULL AS keyed
+         FROM la, rb WHERE (CASE WHEN la.born = rb.born AND la.team = rb.team THEN 70 ELSE 85 END) * (length(a) + length(b)) <= 200 * least(length(a), length(b))),
+sim AS (SELECT a, b, max(200.0::DOUBLE * {misc.LCS} / (n + m)) AS s FROM pair GROUP BY ALL),
+cand AS (
+  SELECT la.p_partkey, s AS score, right_id, right_raw, 'name' AS evidence FROM la JOIN sim USING (a) JOIN rb USING (b) WHERE s >= 85
+  UNION ALL
+  SELECT la.p_partkey, s + 20, right_id, right_raw, 'key+name' FROM la JOIN sim USING (a) JOIN rb USING (b, born, team) WHERE s >= 70
+  UNION ALL
+  SELECT k.p_partkey, 80, right_id, right_raw, 'key' FROM la JOIN (SELECT min(p_partkey) AS p_partkey, born, team FROM l JOIN x USING (p_partkey) WHERE born IS NOT NULL
+         GROUP BY born, team HAVING COUNT(*) = 1) k USING (p_partkey)
+       JOIN (SELECT min(right_id) AS right_id, min(right_raw) AS right_raw, born, team FROM rb WHERE born IS NOT NULL
+         GROUP BY born, team HAVING COUNT(*) = 1) r ON k.born = r.born AND k.team = r.team),
+best AS (SELECT * FROM cand QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY score DESC, right_id, evidence) = 1)
+SELECT CAST(la.p_partkey AS VARCHAR) AS left_id, printf('PLR_%05d', row_number() OVER (ORDER BY la.p_partkey)) AS internal_id,
+       coalesce(CAST(right_id AS VARCHAR), 'unknown') AS bridge_id, right_raw, evidence, coalesce(right_raw, name_raw) AS registered_as
+FROM la LEFT JOIN best USING (p_partkey)"""
+
+
 QUERIES = {
     "normalize_stats": (q_normalize_stats, SQL_NORMALIZE_STATS),
     "normalize_valuations": (q_normalize_valuations, SQL_NORMALIZE_VALUATIONS),
     "scd2_duplicate_snapshot": (q_scd2_duplicate_snapshot, SILVER["scd2_run2"][1]),
     "contract_gate": (q_contract_gate, SQL_CONTRACT_GATE),
     "resolve_second_run": (q_resolve_second_run, SQL_SECOND_RUN),
+    "resolve_second_key": (q_resolve_second_key, _sql_second_key()),
 }
