@@ -3,11 +3,12 @@
 1. Evidence: a logistic regression on the shape of a text (case, punctuation,
    symbols, repeated words, ...), trained on a bounded sample of labelled
    documents, gives each document a probability p of good quality.
-2. Sites: grouped sums of p for each path of each host, and from them for each
-   host and for all.  A host's rate is shrunk toward the global mean, a path's
-   toward its host's, each by a prior whose strength comes from the spread of
-   the rates beyond sampling noise (method of moments).  Sites with few
-   documents stay close to their prior.
+2. Sites: grouped sums of p and its square for each path of each host, and from
+   them for each host and for all.  A host's rate is shrunk toward the global mean, a path's
+   toward its host's, each by a prior of as many documents as the variance within
+   sites is larger than that between them.  Both variances are measured, by the
+   moments of the nested groups (documents in paths in hosts), so neither hard nor
+   soft evidence nor small sites bias them.  Sites with few documents stay close to their prior.
 3. Posterior: the odds of p, with the training sample's prior odds replaced by
    those of the document's path, its own p left out.
 
@@ -117,35 +118,61 @@ def evidence(docs: DataFrame, model: Logistic | None, id_col: str = "doc_id", te
     return src.select("doc_id", *named, probability("text").alias("p"))
 
 
-def strength(rates: DataFrame, prior: Column, least: float = 1.0, most: float = 1e4) -> float:
-    """Prior size k for groups (n, s) with a prior mean: rates spread by m(1 - m) / (k + 1) beyond noise.
+#: Least and largest prior of a site, in documents.
+PRIOR_DOCS = (0.01, 1e4)
 
-    The excess of squared differences over the noise that n documents make, each
-    group weighted by its n, gives the spread; one row comes back.
-    """
-    noise = prior * (1 - prior)
-    r = rates.where("n > 1").select("n", (F.pow(F.col("s") / F.col("n") - prior, 2)).alias("d"), noise.alias("v")).agg(
-        F.sum(F.col("n") * F.col("d")), F.sum("v"), F.sum(F.col("n") * F.col("v"))).first()
-    if not r[2]:
-        return least
-    spread = (r[0] - r[1]) / r[2]  # share of the variance that lies between groups
-    return float(np.clip(1 / spread - 1, least, most)) if spread > 0 else most
+
+def prior_docs(within: float, between: float) -> float:
+    """Documents that a prior is worth: the variance within sites over that between them."""
+    least, most = PRIOR_DOCS
+    return float(np.clip(within / between, least, most)) if between > 0 else most
 
 
-def posteriors(scored: DataFrame) -> tuple[DataFrame, float, float, float]:
-    """(rows (host, path, n, s, host_n, host_s), global mean, host prior size, path prior size).
+def variances(sites: DataFrame, mean: float) -> tuple[float, float, float]:
+    """(within paths, between paths of a host, between hosts): variance components of nested groups.
+
+    ``sites`` has a row for each path: n, s, q (sum of squares) and its host's
+    host_n, host_s and host_nn (sum of squared n).  Each sum of squares is set equal to its expectation;
+    components below 0 count as 0.  One row comes back.
+    """
+    share = F.col("n") / F.col("host_n")  # a host's own terms, dealt over its paths
+    rate, host_rate = F.col("s") / F.col("n"), F.col("host_s") / F.col("host_n")
+    r = sites.agg(
+        F.sum(F.col("q") - F.col("s") * rate).alias("inside"), F.sum(F.col("n") - 1).alias("free"),
+        F.sum(F.col("n") * F.pow(rate - host_rate, 2)).alias("paths"), F.count("*").alias("n_paths"),
+        F.sum(F.col("n") * F.pow(host_rate - mean, 2)).alias("hosts"), F.sum(1 / F.col("host_paths")).alias("n_hosts"),
+        F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"),
+        F.sum(share * F.col("n")).alias("nn_host"), F.sum(share * F.col("host_n") * F.col("host_n")).alias("host_nn")).first()
+    if not r["n"] or not r["free"]:
+        return 0.0, 0.0, 0.0
+    within = max(0.0, r["inside"] / r["free"])
+    room = r["n"] - r["nn_host"]
+    between = max(0.0, (r["paths"] - (r["n_paths"] - r["n_hosts"]) * within) / room) if room > 1e-9 else 0.0
+    room = r["n"] - r["host_nn"] / r["n"]
+    above = r["hosts"] - (r["n_hosts"] - 1) * within - (r["nn_host"] - r["nn"] / r["n"]) * between
+    return within, between, max(0.0, above / room) if room > 1e-9 else 0.0
+
+
+def posteriors(scored: DataFrame) -> tuple[DataFrame, float, float]:
+    """(rows (host, path, n, s, host_n, host_s, k_host), global mean, prior documents of a path).
 
     Sums of a group combine before they are shuffled, so a host with a third
-    of all documents is no larger than others from there on.
+    of all documents is no larger than others from there on.  ``k_host``: prior documents of the
+    host; a host of few paths counts for less, as its documents share their paths' deviations.
     """
-    paths = materialize(scored.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("p").alias("s")), "paths")
-    hosts = materialize(paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("s").alias("s")), "hosts")
-    n, s = hosts.agg(F.sum("n"), F.sum("s")).first()
+    paths = materialize(scored.groupBy("host", "path").agg(
+        F.count("*").alias("n"), F.sum("p").alias("s"), F.sum(F.col("p") * F.col("p")).alias("q")), "paths")
+    hosts = materialize(paths.groupBy("host").agg(
+        F.sum("n").alias("host_n"), F.sum("s").alias("host_s"), F.sum(F.col("n") * F.col("n")).alias("host_nn"),
+        F.count("*").alias("host_paths")), "hosts")
+    n, s = hosts.agg(F.sum("host_n"), F.sum("host_s")).first()
     mean = float(np.clip(s / n, LEAST, 1 - LEAST)) if n else 0.5
-    k_host = strength(hosts, F.lit(mean))
-    both = paths.join(hosts.select("host", F.col("n").alias("host_n"), F.col("s").alias("host_s")), "host")
-    k_path = strength(both, (F.col("host_s") + k_host * mean) / (F.col("host_n") + k_host))
-    return both, mean, k_host, k_path
+    both = paths.join(hosts, "host")
+    within, between, above = variances(both, mean)
+    least, most = (F.lit(x) for x in PRIOR_DOCS)
+    noise = F.lit(within) + F.lit(between) * F.col("host_nn") / F.col("host_n")
+    k_host = F.greatest(least, F.least(most, noise / F.lit(above))) if above > 0 else most
+    return both.withColumn("k_host", k_host), mean, prior_docs(within, between)
 
 
 def odds(p: Column) -> Column:
@@ -155,9 +182,9 @@ def odds(p: Column) -> Column:
 def classify(docs: DataFrame, model: Logistic | None, threshold: float = 0.5, **columns: str) -> DataFrame:
     """Rows (doc_id, evidence, host_rate, path_rate, quality, keep) of all documents."""
     scored = materialize(evidence(docs, model, **columns), "evidence")
-    sites, mean, k_host, k_path = posteriors(scored)
+    sites, mean, k_path = posteriors(scored)
     rows = scored.join(sites, ["host", "path"])
-    host = (F.col("host_s") - F.col("p") + k_host * mean) / (F.col("host_n") - 1 + k_host)
+    host = (F.col("host_s") - F.col("p") + F.col("k_host") * mean) / (F.col("host_n") - 1 + F.col("k_host"))
     path = (F.col("s") - F.col("p") + k_path * F.col("host_rate")) / (F.col("n") - 1 + k_path)
     within = lambda c: F.greatest(F.lit(LEAST), F.least(F.lit(1 - LEAST), c))
     rows = rows.withColumn("host_rate", within(host)).withColumn("path_rate", within(path))

@@ -8,8 +8,10 @@ endpoint.  Each text is searched for parts in two grades.
 * Weak candidates are common in clean text: ``identifier`` (``user = ...``),
   ``secret`` (a mixed token of high entropy) and ``endpoint`` (a URL or an
   address).  One is reported only if a complementary part co-occurs: a secret
-  for an identifier or endpoint, and one of those for a secret.  One that
-  overlaps a base span counts as a complement but is not reported itself.
+  for an identifier or endpoint, and one of those for a secret.  Complementary
+  parts are different characters: of weak candidates that overlap, only the longest
+  counts (the mixed path of a URL is no secret beside that URL), and one that
+  overlaps a base span counts as a complement of others but is not reported itself.
 
 Co-occurrence is an interval join within scopes.  A part's scope is its own
 span widened by ``REACH`` code points on each side, cut at the blank lines that
@@ -112,7 +114,7 @@ class Finder:
         weak = self.weak(text)
         order = lambda p: (p[0], KINDS.index(p[2]), p[1])
         if weak:
-            weak = self.apart(linked(base + weak, [m.start() for m in self.blank(text)]), base)
+            weak = self.apart(linked(base + containers(weak), [m.start() for m in self.blank(text)]), base)
         return sorted(base, key=order), sorted(base + weak, key=order)
 
 
@@ -123,8 +125,18 @@ def strong_token(token: str) -> bool:
     return kinds[0] and sum(kinds) >= 3 and entropy(token) >= 3.5
 
 
+def containers(weak: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """The weak parts without those that overlap a longer one that stays; of equally long ones the first stays."""
+    kept: list[tuple[int, int, str]] = []
+    for p in sorted(weak, key=lambda p: (p[0] - p[1], p[0], KINDS.index(p[2]))):
+        at = bisect_right(kept, p)
+        if (at == 0 or kept[at - 1][1] <= p[0]) and (at == len(kept) or kept[at][0] >= p[1]):
+            kept.insert(at, p)
+    return kept
+
+
 def linked(parts: list[tuple[int, int, str]], blanks: list[int], reach: int = REACH) -> list[tuple[int, int, str]]:
-    """Weak parts that overlap the scope of a complementary part.
+    """Weak parts that overlap the scope of a complementary part (no weak part overlaps another one).
 
     Two sweeps in order of start, each linear: the furthest end of each role
     so far in the block, and the nearest start of each role from there on.

@@ -24,21 +24,75 @@ def test_quality_on_held_out_labels(spark):
     assert len(found) > 150 and sum(good) / len(good) > 0.97 and sum(bad) / len(bad) < 0.1
 
 
-def test_posteriors_equal_their_formulas(spark, tmp_path):
-    rows = [(i, f"h{i % 3 if i % 5 else 0}", "x" if i % 4 else None, 0.9 if i % 7 else 0.2) for i in range(200)] + [(500, "rare", "p", 0.3)]
-    spark.createDataFrame(rows, "doc_id int, host string, path string, p double").fillna("").write.parquet(f"{tmp_path}/s")
-    sites, mean, k_host, k_path = quality_bayes.posteriors(spark.read.parquet(f"{tmp_path}/s"))
-    assert mean == pytest.approx(sum(r[3] for r in rows) / len(rows))
+def components(rows):
+    """Variance components of (host, path, p) by sums over groups in Python; and the groups."""
     hosts = {}
-    for _, h, _, p in rows:
-        n, s = hosts.get(h, (0, 0.0))
-        hosts[h] = n + 1, s + p
-    big = {h: (n, s) for h, (n, s) in hosts.items() if n > 1}
-    v = mean * (1 - mean)
-    spread = (sum(n * (s / n - mean) ** 2 for n, s in big.values()) - v * len(big)) / (v * sum(n for n, _ in big.values()))
-    assert k_host == pytest.approx(min(max(1 / spread - 1, 1), 1e4) if spread > 0 else 1e4)
-    got = {(r["host"], r["path"]): (r["n"], r["host_n"]) for r in sites.collect()}
-    assert got[("rare", "p")] == (1, 1) and sum(n for n, _ in got.values()) == len(rows)
+    for h, t, p in rows:
+        hosts.setdefault(h, {}).setdefault(t, []).append(p)
+    n, mean = len(rows), sum(r[2] for r in rows) / len(rows)
+    sites = [x for ps in hosts.values() for x in ps.values()]
+    within = sum((p - sum(x) / len(x)) ** 2 for x in sites for p in x) / sum(len(x) - 1 for x in sites)
+    size = {h: sum(map(len, ps.values())) for h, ps in hosts.items()}
+    rate = {h: sum(map(sum, ps.values())) / size[h] for h, ps in hosts.items()}
+    same = {h: sum(len(x) ** 2 for x in ps.values()) / size[h] for h, ps in hosts.items()}
+    ssp = sum(len(x) * (sum(x) / len(x) - rate[h]) ** 2 for h, ps in hosts.items() for x in ps.values())
+    room = n - sum(same.values())
+    between = max(0, (ssp - (len(sites) - len(hosts)) * within) / room) if room > 1e-9 else 0
+    ssh = sum(size[h] * (rate[h] - mean) ** 2 for h in hosts)
+    above = ssh - (len(hosts) - 1) * within - (sum(same.values()) - sum(len(x) ** 2 for x in sites) / n) * between
+    room = n - sum(m * m for m in size.values()) / n
+    return within, between, max(0, above / room) if room > 1e-9 else 0, hosts, mean
+
+
+def test_whole_query_equals_plain_loops(spark, monkeypatch):
+    docs = table(spark, SF, "documents")
+    model = quality_bayes.train(docs, table(spark, SF, "labels"))
+    monkeypatch.setattr(quality_bayes, "train", lambda *a, **k: model)
+    got = {r["doc_id"]: r for r in registry.op2_quality(spark, SF).collect()}
+    src = docs.collect()
+    x = np.array([quality_bayes.shape(r["text"]) for r in src])
+    p = np.where(x[:, 0] > 0, model.predict(x), quality_bayes.LEAST)
+    rows = [(r["source"] or "", r["lang"] or "", float(v)) for r, v in zip(src, p, strict=True)]
+    within, between, above, hosts, mean = components(rows)
+    clip = lambda v, lo, hi: min(hi, max(lo, v))
+    k_path = clip(within / between, 0.01, 1e4) if between else 1e4
+    for r, (h, t, v) in zip(src, rows, strict=True):
+        site, host = hosts[h][t], [y for ys in hosts[h].values() for y in ys]
+        k = clip((within + between * sum(len(y) ** 2 for y in hosts[h].values()) / len(host)) / above, 0.01, 1e4) if above else 1e4
+        host_rate = clip((sum(host) - v + k * mean) / (len(host) - 1 + k), 1e-6, 1 - 1e-6)
+        path_rate = clip((sum(site) - v + k_path * host_rate) / (len(site) - 1 + k_path), 1e-6, 1 - 1e-6)
+        logit = sum(s * math.log(y / (1 - y)) for s, y in ((1, v), (-1, model.prior), (1, path_rate)))
+        g = got[r["doc_id"]]
+        assert [g["evidence"], g["host_rate"], g["path_rate"], g["quality"]] == pytest.approx(
+            [v, host_rate, path_rate, 1 / (1 + math.exp(-logit))], rel=1e-6, abs=1e-9)
+        assert g["keep"] == (g["quality"] >= 0.5)
+
+
+@pytest.mark.parametrize("low,high", [(0.0, 1.0), (0.2, 0.8)])
+@pytest.mark.parametrize("size", [2, 3, 5, 20])
+def test_known_strength_is_recovered(spark, size, low, high):
+    """Rates of sites from a Beta prior worth 3 documents: hard and soft evidence give the same strength."""
+    rng, n = np.random.default_rng(size), 60_000 // size + 8000
+    rate = rng.beta(3 * 0.6, 3 * 0.4, n)
+    hits = rng.binomial(size, rate)
+    one, two = low + (high - low) * 1.0, low
+    s, q = hits * one + (size - hits) * two, hits * one ** 2 + (size - hits) * two ** 2
+    # sites as hosts of one path, and as paths of one host
+    for hosts in (True, False):
+        rows = [(size, float(a), float(b)) for a, b in zip(s, q, strict=True)]
+        df = spark.createDataFrame(rows, "n long, s double, q double")
+        total = (n * size, float(s.sum()), float(n * size * size), n)
+        df = df.withColumns(dict(zip(("host_n", "host_s", "host_nn", "host_paths"), (
+            (F.col("n"), F.col("s"), F.col("n") * F.col("n"), F.lit(1)) if hosts else map(F.lit, total)), strict=True)))
+        within, between, above = quality_bayes.variances(df, float(s.sum() / n / size))
+        assert quality_bayes.prior_docs(within, above if hosts else between) == pytest.approx(3, rel=0.1)
+
+
+def test_single_documents_and_empty_sites(spark, tmp_path):
+    rows = [(f"h{i}", "p", 0.2 + 0.6 * (i % 2)) for i in range(50)]
+    spark.createDataFrame(rows, "host string, path string, p double").write.parquet(f"{tmp_path}/s")
+    sites, mean, k = quality_bayes.posteriors(spark.read.parquet(f"{tmp_path}/s"))
+    assert mean == pytest.approx(0.5) and k == 1e4 and {r["k_host"] for r in sites.collect()} == {1e4}
 
 
 def test_sparse_sites_shrink(spark, tmp_path):

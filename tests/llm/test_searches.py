@@ -49,16 +49,32 @@ def test_overlapped_weak_parts_vouch():
 
 
 def test_linking_equals_all_pairs():
-    rng = random.Random(1)
-    for _ in range(200):
+    rng, finder = random.Random(1), secrets_scan.Finder()
+    apart = lambda p, q: p[1] <= q[0] or q[1] <= p[0]
+    for n in range(200):
         blanks = sorted(rng.sample(range(3000), 4))
-        parts = [(s := rng.randrange(3000), s + rng.randint(1, 60), rng.choice(secrets_scan.KINDS)) for _ in range(rng.randint(0, 25))]
+        parts = [(s := rng.randrange(3000), s + rng.randint(1, 60), rng.choice(secrets_scan.KINDS)) for _ in range(rng.randint(0, 12 + n // 4))]
         block = lambda p: sum(b <= p[0] for b in blanks)
         role = lambda p: secrets_scan.ROLES[p[2]]
         near = lambda p, q: max(p[0], q[0]) - min(p[1], q[1]) <= secrets_scan.REACH
-        want = [p for p in parts if p[2] not in secrets_scan.BASE and any(
-            (role(p) == "secret") != (role(q) == "secret") and block(p) == block(q) and near(p, q) for q in parts)]
-        assert secrets_scan.linked(parts, blanks) == want
+        base, weak = [p for p in parts if p[2] in secrets_scan.BASE], []
+        for p in sorted((p for p in parts if p[2] not in secrets_scan.BASE), key=lambda p: (p[0] - p[1], p[0], secrets_scan.KINDS.index(p[2]))):
+            if all(apart(p, q) for q in weak):
+                weak.append(p)
+        want = [p for p in weak if all(apart(p, q) for q in base) and any(
+            apart(p, q) and (role(p) == "secret") != (role(q) == "secret") and block(p) == block(q) and near(p, q) for q in base + weak)]
+        got = finder.apart(secrets_scan.linked(base + secrets_scan.containers([p for p in parts if p not in base]), blanks), base)
+        assert sorted(got) == sorted(want)
+
+
+def test_a_part_is_no_complement_of_itself():
+    spans = lambda t: [(k, t[s:e]) for s, e, k in secrets_scan.Finder().spans(t)[1]]
+    assert spans("See https://docs.example.com/Guide-2024/Intro_Part1 for details.") == []
+    assert spans("https://a.example.org/Path-12/Xy_Z9/ab and https://b.example.org/2024/Some_Title-With1Digits too") == []
+    assert spans("https://db.example.net/main key part Zz9+/xYw8Vu7Ts6R then") == [
+        ("endpoint", "https://db.example.net/main"), ("secret", "Zz9+/xYw8Vu7Ts6R")]
+    assert spans("https://db.example.com/login?token=abcdef123456 then Zz9+/xYw8Vu7Ts6R") == [
+        ("assign", "token=abcdef123456"), ("secret", "Zz9+/xYw8Vu7Ts6R")]
 
 
 def test_redaction(spark, odd_docs, no_docs):
