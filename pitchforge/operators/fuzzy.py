@@ -97,9 +97,13 @@ def numbered_characters(text: Column) -> Column:
     return F.transform(chars, lambda c, i: F.concat(c, (i - F.array_position(chars, c)).cast("string")))
 
 
-def candidate_pairs(left_sorted: DataFrame, right_sorted: DataFrame, t: int, within: Sequence[str] = ()) -> DataFrame:
-    """Distinct (ls, rs, *within) that pass both necessary conditions and agree in the columns ``within``."""
-    segs = right_segments(right_sorted, t, within)
+def candidate_pairs(left_sorted: DataFrame, right_sorted: DataFrame, t: int, within: Sequence[str] = (),
+                    segs: DataFrame | None = None) -> DataFrame:
+    """Distinct (ls, rs, *within) that pass both necessary conditions and agree in the columns ``within``.
+
+    ``segs``: stored segments of the right side; of names that are not in ``right_sorted`` none comes back.
+    """
+    segs = right_segments(right_sorted, t, within) if segs is None else segs
     pairs = left_probes(left_sorted, t, within).join(segs, ["a", "b", "seg_i", "seg_text", *within])
     pairs = pairs.select("ls", "rs", "a", "b", *within).distinct()
     lefts, rights = (df.select(c).distinct() if within else df for df, c in ((left_sorted, "ls"), (right_sorted, "rs")))
@@ -109,22 +113,25 @@ def candidate_pairs(left_sorted: DataFrame, right_sorted: DataFrame, t: int, wit
     return pairs.filter(common * F.lit(200) >= F.lit(t) * (F.col("a") + F.col("b"))).select("ls", "rs", *within)
 
 
-def similar_pairs(left_sorted: DataFrame, right_sorted: DataFrame, t: int, within: Sequence[str] = ()) -> DataFrame:
+def similar_pairs(left_sorted: DataFrame, right_sorted: DataFrame, t: int, within: Sequence[str] = (),
+                  segs: DataFrame | None = None) -> DataFrame:
     """(ls, rs, *within, score) of every pair of distinct sorted strings with a score of ``t`` or more that
     agrees in the columns ``within``."""
     if t < LEAST_THRESHOLD:
         raise ValueError(f"the segment filter is lossless from a threshold of {LEAST_THRESHOLD} on")
     total = F.length("ls") + F.length("rs")
-    return (candidate_pairs(left_sorted, right_sorted, t, within)
+    return (candidate_pairs(left_sorted, right_sorted, t, within, segs)
             .withColumn("__lcs", lcs_udf(F.col("ls"), F.col("rs")))
             .filter(F.col("__lcs") * F.lit(200) >= F.lit(t) * total)
             .select("ls", "rs", *within, (F.lit(200.0) * F.col("__lcs") / total).alias("score")))
 
 
 def fuzzy_best_match(left: DataFrame, left_name: str, right: DataFrame, right_name: str,
-                     right_order: str, right_cols: list[str], threshold: int = 85) -> DataFrame:
+                     right_order: str, right_cols: list[str], threshold: int = 85, index=None) -> DataFrame:
     """Best right match per distinct left name.
 
+    ``index``: a ``SegmentIndex`` of the same threshold, to which new right names are added first.
+
     Returns one row per distinct non-empty ``left_name`` value that has a
     match: (``left_name``, score, *right_cols) where right_cols come from the
     winning right row (first row, by ``right_order``, of the winning sorted
@@ -146,7 +153,13 @@ def fuzzy_best_match(left: DataFrame, left_name: str, right: DataFrame, right_na
     exact_pairs = exact.select("ls", F.col("ls").alias("rs"), F.lit(100.0).alias("score"))
 
     todo = ls_distinct.join(exact, "ls", "left_anti")
-    scored = similar_pairs(todo, rfirst.select("rs"), t)
+    segs = None
+    if index is not None:
+        if index.threshold != t:
+            raise ValueError(f"the index is for a threshold of {index.threshold}")
+        index.update(rfirst)
+        segs = index.segments()
+    scored = similar_pairs(todo, rfirst.select("rs"), t, segs=segs)
     pairs = exact_pairs.unionByName(scored).join(rfirst, "rs")
     best = first_per_key(pairs, ["ls"], [F.col("score").desc(), F.col("__rorder").asc()])
     return (lnames.join(best, "ls").select(F.col("lname").alias(left_name), "score",

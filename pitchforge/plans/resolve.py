@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pitchforge.functions.text import token_sort_key
 from pitchforge.operators.dedupe import first_per_key, keep_last, mint_ids
 from pitchforge.operators.fuzzy import LEAST_THRESHOLD, fuzzy_best_match, similar_pairs
+from pitchforge.operators.fuzzy_index import SegmentIndex
 from pitchforge.session import cut_lineage
 from pitchforge.sources.files import latest_version_path, next_version_path
 
@@ -75,9 +76,11 @@ def resolve_entities(left: DataFrame, right: DataFrame, registry: DataFrame | No
                      left_id: str, left_norm: str, left_raw: str, left_order: str,
                      right_id: str, right_norm: str, right_raw: str, right_order: str,
                      threshold: int = 85, prefix: str = "PLR_",
-                     second_key: Mapping[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+                     second_key: Mapping[str, str] | None = None,
+                     index: SegmentIndex | None = None) -> tuple[DataFrame, DataFrame]:
     """Returns (merged, registry').
 
+    With ``index`` the right names' segments are stored from run to run, and a run adds only new ones.
     With ``second_key`` (left column -> right column, such as birth date and team)
     new left rows get candidates from the name match and from the key, each with
     evidence and a score, and the best one is taken (ties go to the first right row):
@@ -99,7 +102,7 @@ def resolve_entities(left: DataFrame, right: DataFrame, registry: DataFrame | No
                               F.col(right_id).cast("string").alias("__rid"),
                               F.col(right_raw).alias("__rraw"))
     best = fuzzy_best_match(todo, left_norm, candidates, right_norm, right_order,
-                            ["__rid", "__rraw"], threshold)
+                            ["__rid", "__rraw"], threshold, index)
     entries = todo.select(left_id, left_norm, left_raw, left_order)
     if second_key is None:
         entries = entries.join(best, left_norm, "left")

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 import sql_oracles as O
 from pitchforge.functions.scalars import run_date_col
 from pitchforge.operators import contract
+from pitchforge.operators.fuzzy_index import SegmentIndex
 from pitchforge.operators.scd2 import scd2_load
 from pitchforge.plans import normalize
 from pitchforge.plans.resolve import load_registry, resolve_entities, save_registry
@@ -171,13 +172,15 @@ _NAMES = dict(left_id="left_id", left_norm="name_norm", left_raw="name_raw", lef
 
 def q_resolve_second_run(spark: SparkSession, d: str) -> DataFrame:
     """Half of the parts in a first run, all in a second over the saved
-    registry: known ids stay, a placeholder isn't tried again, new ids go on."""
+    registry and name index: known ids stay, a placeholder isn't tried again, new
+    ids go on, and only names that are new on the right side are indexed."""
     base = scratch_path(spark, "registry")
+    index = SegmentIndex(spark, scratch_path(spark, "names"))
     left, right = misc._perturbed_parts(spark, d), misc._part_names(spark, d)
     nothing = right.where("right_id % 2 = 0")  # the first run knows half of the right side
-    _, first = resolve_entities(left.where("left_order % 2 = 0"), nothing, None, **_NAMES)
+    _, first = resolve_entities(left.where("left_order % 2 = 0"), nothing, None, index=index, **_NAMES)
     save_registry(first, base)
-    merged, second = resolve_entities(left, right, load_registry(spark, base), **_NAMES)
+    merged, second = resolve_entities(left, right, load_registry(spark, base), index=index, **_NAMES)
     save_registry(second, base)
     known = load_registry(spark, base)
     return merged.select("left_id", "internal_id", "bridge_id", "right_raw").join(
