@@ -90,18 +90,54 @@ def id_to_string(col) -> Column:
 
 
 # ------------------------------------------------------------------- dates
-# Formats in order of preference; of day and month the month comes
-# first, unless it is above 12.
-DATE_FORMATS = ("yyyy-M-d", "yyyyMMdd", "yyyy/M/d", "yyyy.M.d", "M/d/yyyy", "d/M/yyyy", "M-d-yyyy", "d-M-yyyy",
-                "M.d.yyyy", "d.M.yyyy", "MMM d, yyyy", "MMMM d, yyyy", "MMM d yyyy", "MMMM d yyyy",
-                "d MMM yyyy", "d MMMM yyyy", "d-MMM-yyyy", "yyyy-MM", "yyyy")
-_TIME = r"[T ]\s*\d{1,2}:\d{2}(:\d{2}([.,]\d+)?)?\s*(Z|UTC|[+-]\d{2}:?\d{2})?$"
-
-
-def lenient_date(col, formats=DATE_FORMATS) -> Column:
-    """The date of a value on its own, with or without a time of day; bad input -> null."""
-    c = F.regexp_replace(F.trim(_col(col).cast("string")), _TIME, "")
-    return F.coalesce(*[F.try_to_date(c, f) for f in formats])
+# Month names, each with its abbreviation as the first three letters.
+MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
+_CLOCK = r"([01]?\d|2[0-3]):[0-5]\d(:[0-5]\d([.,]\d+)?)?(\s*(am|pm))?\s*(z|utc|gmt|[+-]\d{2}:?\d{2})?$"
+_COMPACT_CLOCK = r"(?<=^\d{8})[t ]?([01]\d|2[0-3])[0-5]\d([0-5]\d)?(z|[+-]\d{2}:?\d{2})?$"
+_WEEKDAY = r"^(mon|tues?|wed(nes)?|thu(rs?)?|fri|sat(ur)?|sun)(day)?\b[.,]?\s*"
+_MONTH = "^(" + "|".join(m if m == "may" else f"{m[:3]}({m[3:]})?" for m in MONTHS).replace("sep(tember)?", "sept?(ember)?") + ")$"
+
+
+def lenient_date(col, pivot: int = 69) -> Column:
+    """The date of a value on its own, with or without weekday and time of day; bad input -> null.
+
+    What is left of the value are one to three tokens, each a number or a month's name:
+
+    * a token of four digits is the year, in first or last place; else the last of three is, with two digits;
+    * a month's name is the month, and the other short number the day;
+    * of two short numbers the month comes first, unless it is above 12;
+    * without a day the date is the first of the month, without a month that of the year;
+    * eight digits are year, month and day; two-digit years below ``pivot`` are 20xx.
+    """
+    c = F.lower(F.trim(_col(col).cast("string")))
+    c = F.regexp_replace(c, r"(?<=[t\s])" + _CLOCK, "")
+    c = F.regexp_replace(F.regexp_replace(c, r"(?<=\d)t$", ""), _COMPACT_CLOCK, "")
+    c = F.trim(F.regexp_replace(F.regexp_replace(c, _WEEKDAY, ""), r"(?<=\d)(st|nd|rd|th)\b", ""))
+    c = F.regexp_replace(c, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
+    parts = F.split(F.regexp_replace(c, r"\.(?=[ ,-]|$)", ""), r"\s*[ ,./-]\s*")
+    # arrays of one element name the tokens and the result, so that each is computed once
+    found = F.transform(F.array(parts), lambda t: _year_month_day(t, pivot))
+    return F.transform(found, lambda f: F.try_to_date(F.format_string("%04d-%02d-%02d", f["y"], f["m"], f["d"]), "yyyy-MM-dd"))[0]
+
+
+def _year_month_day(tokens: Column, pivot: int) -> Column:
+    """struct<y, m, d> of one to three tokens; null if they are no date."""
+    n, t = F.size(tokens), [F.get(tokens, F.lit(i)) for i in range(3)]
+    year4, short = ([x.rlike(r) for x in t] for r in (r"^\d{4}$", r"^\d{1,2}$"))
+    named = [x.rlike(_MONTH) for x in t]
+    month = [F.array_position(F.array(*[F.lit(m[:3]) for m in MONTHS]), F.substring(x, 1, 3)).cast("int") for x in t]
+    num = [x.try_cast("int") for x in t]
+    ymd = lambda y, m, d: F.struct(y.cast("int").alias("y"), m.cast("int").alias("m"), d.cast("int").alias("d"))
+    one = F.lit(1)
+    last = F.when(year4[2], num[2]).when(short[2], num[2] + F.when(num[2] < pivot, 2000).otherwise(1900))  # the year of three tokens
+    return (
+        F.when(n == 1, F.when(year4[0], ymd(num[0], one, one)))
+        .when(n == 2, F.when(named[0] & year4[1], ymd(num[1], month[0], one)).when(year4[0] & named[1], ymd(num[0], month[1], one))
+              .when(year4[0] & short[1], ymd(num[0], num[1], one)).when(short[0] & year4[1], ymd(num[1], num[0], one)))
+        .when(n == 3, F.when(year4[0] & named[1] & short[2], ymd(num[0], month[1], num[2]))
+              .when(year4[0] & short[1] & short[2], ymd(num[0], num[1], num[2]))
+              .when(named[0] & short[1], ymd(last, month[0], num[1])).when(short[0] & named[1], ymd(last, month[1], num[0]))
+              .when(short[0] & short[1] & (num[0] > 12), ymd(last, num[1], num[0])).when(short[0] & short[1], ymd(last, num[0], num[1]))))
 
 
 def iso_date_string(col) -> Column:

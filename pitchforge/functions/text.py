@@ -1,12 +1,13 @@
 """Text functions: normalisation (H1), name rules (H2/H3), token-sort similarity (H4).
 
-``normalize_text`` stays inside whole-stage codegen: the accent table is a
-single ``translate`` built at import time *by rule* (Unicode NFKD of every
-precomposed Latin letter in U+00C0..U+024F and U+1E00..U+1EFF whose
-decomposition starts with an ASCII letter) plus fixed transliterations of other
-letters and of punctuation; combining marks go, so decomposed input folds like
-precomposed.  Other scripts pass through unchanged; ``normalize_text_udf`` is
-the Arrow-batched path for callers that need them folded as well.
+``normalize_text`` stays in the JVM: tables are built at import time *by rule* (Unicode
+NFKD of every letter and compatibility form of a script's blocks, then the fixed
+transliterations of what is left), as one ``translate`` for letters that
+become one and a replacement for each that becomes several; combining marks go, so
+decomposed input folds like precomposed.  Accented Latin values pass through the
+Latin table alone, and those with Greek, Cyrillic or Hangul characters (whose
+syllables are decomposed by their code points) or ligatures through all.  Han and
+other scripts, for which no rule gives a reading, pass through unchanged.
 
 ``token_sort_ratio`` is an Arrow UDF over *pairs*; callers feed it distinct
 candidate pairs only (see ``operators.fuzzy``).
@@ -55,33 +56,83 @@ FIXED_TRANSLITERATIONS = {
 # ---------------------------------------------------------------------------
 
 
-def _accent_table() -> tuple[str, str]:
-    """Rule-built single-character map: precomposed Latin letter -> ASCII base."""
-    src, dst = [], []
-    for cp in (*range(0x00C0, 0x0250), *range(0x1E00, 0x1F00)):
+# Greek and Cyrillic letters without accents, lower case, in natural order.
+GREEK = {"α": "a", "β": "b", "γ": "g", "δ": "d", "ε": "e", "ζ": "z", "η": "e", "θ": "th", "ι": "i", "κ": "k", "λ": "l", "μ": "m",
+         "ν": "n", "ξ": "x", "ο": "o", "π": "p", "ρ": "r", "ς": "s", "σ": "s", "τ": "t", "υ": "u", "φ": "ph", "χ": "kh", "ψ": "ps", "ω": "o"}
+CYRILLIC = {"а": "a", "б": "b", "в": "v", "г": "g", "д": "d", "е": "e", "ж": "zh", "з": "z", "и": "i", "й": "i", "к": "k", "л": "l",
+            "м": "m", "н": "n", "о": "o", "п": "p", "р": "r", "с": "s", "т": "t", "у": "u", "ф": "f", "х": "kh", "ц": "ts", "ч": "ch",
+            "ш": "sh", "щ": "shch", "ъ": '"', "ы": "y", "ь": "'", "э": "e", "ю": "iu", "я": "ia", "ё": "io", "ђ": "dj", "ѓ": "gj",
+            "є": "ie", "ѕ": "dz", "і": "i", "ї": "yi", "ј": "j", "љ": "lj", "њ": "nj", "ћ": "tsh", "ќ": "kj", "ў": "u", "џ": "dzh", "ґ": "g"}
+# Romanised initial, medial and final letters of Hangul syllables, in the order of their code points.
+HANGUL = (("g", "gg", "n", "d", "dd", "r", "m", "b", "bb", "s", "ss", "", "j", "jj", "c", "k", "t", "p", "h"),
+          ("a", "ae", "ya", "yae", "eo", "e", "yeo", "ye", "o", "wa", "wae", "oe", "yo", "u", "weo", "we", "wi", "yu", "eu", "yi", "i"),
+          ("", "g", "gg", "gs", "n", "nj", "nh", "d", "l", "lg", "lm", "lb", "ls", "lt", "lp", "lh", "m", "b", "bs", "s", "ss", "ng",
+           "j", "c", "k", "t", "p", "h"))
+# ---------------------------------------------------------------------------
+
+
+def _folded(ch: str, letters: dict[str, str]) -> str:
+    """What a character becomes: its own entry, or that of each part of its decomposition without marks."""
+    def entry(c: str) -> str:
+        return letters.get(c) or letters.get(c.lower(), c).upper() if c.lower() in letters else c
+    if ch.lower() in letters:
+        return entry(ch)
+    parts = [c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c)]
+    return "".join(entry(c) for c in parts)
+
+
+def _tables(blocks: list[range], letters: dict[str, str]) -> tuple[str, str, dict[str, str]]:
+    """(characters, the one that each becomes, those that become several) of blocks, where the result is ASCII."""
+    src, dst, several = [], [], {}
+    for cp in [c for b in blocks for c in b]:
         ch = chr(cp)
-        if ch in FIXED_TRANSLITERATIONS:
-            continue
-        base = unicodedata.normalize("NFKD", ch)
-        base = "".join(c for c in base if not unicodedata.combining(c))
-        if len(base) == 1 and base.isascii() and base.isalpha() and base != ch:
-            src.append(ch)
-            dst.append(base)
-    return "".join(src), "".join(dst)
-
-
-ACCENT_FROM, ACCENT_TO = _accent_table()
-_SINGLE_FIXED = {k: v for k, v in FIXED_TRANSLITERATIONS.items() if len(v) == 1}
+        out = _folded(ch, letters) if unicodedata.category(ch)[0] in "LNPS" else ch
+        if out.isascii() and out and out != ch and not ch.isascii():
+            if len(out) == 1:
+                src.append(ch)
+                dst.append(out)
+            else:
+                several[ch] = out
+    return "".join(src), "".join(dst), several
+
+
+# Latin letters, ligatures and full-width forms; letters of these blocks with entries of their own come from FIXED_TRANSLITERATIONS.
+ACCENT_FROM, ACCENT_TO, _DIGRAPHS = _tables([range(0x00C0, 0x0250), range(0x1E00, 0x1F00), range(0xFB00, 0xFB07), range(0xFF01, 0xFF5F)],
+                                            {k: v for k, v in FIXED_TRANSLITERATIONS.items() if k.isalpha()})
+_SINGLE_FIXED = {k: v for k, v in FIXED_TRANSLITERATIONS.items() if len(v) == 1 and k not in ACCENT_FROM}
 _MULTI_FIXED = {k: v for k, v in FIXED_TRANSLITERATIONS.items() if len(v) > 1}
+_DIGRAPHS = {k: v for k, v in _DIGRAPHS.items() if k not in FIXED_TRANSLITERATIONS}
+_GREEK = _tables([range(0x0370, 0x0400), range(0x1F00, 0x2000)], GREEK)
+_CYRILLIC = _tables([range(0x0400, 0x0500)], CYRILLIC)
+
+
+def _characters(col: Column, several: dict[str, str]) -> Column:
+    """Letters that become several ones, and Hangul syllables, one character after the other."""
+    table = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
+
+    def one(ch: Column) -> Column:
+        i = F.ascii(ch) - 0xAC00  # the code point of the first character
+        part = lambda letters, at: F.get(F.array(*map(F.lit, letters)), at.cast("int"))
+        return F.when(ch.between("\uac00", "\ud7a3"), F.concat(
+            part(HANGUL[0], F.floor(i / 588)), part(HANGUL[1], F.floor(i % 588 / 28)), part(HANGUL[2], i % 28))).otherwise(
+            F.coalesce(F.try_element_at(table, ch), ch))
+    return F.array_join(F.transform(F.split(col, ""), one), "")
+
+
+#: Characters of the tables beside accented letters; values with one of them are rarer.
+_OTHERS = f"[{''.join(_DIGRAPHS)}\u0370-\u03ff\u1f00-\u1fff\u0400-\u04ff\uac00-\ud7a3]"
 
 
 def strip_accents(col: Column) -> Column:
-    """JVM-side transliteration of Latin accents (no Python on executors)."""
-    out = F.translate(col, ACCENT_FROM + "".join(_SINGLE_FIXED),
-                      ACCENT_TO + "".join(_SINGLE_FIXED.values()))
+    """JVM-side transliteration of Latin, Greek, Cyrillic and Hangul letters (no Python on executors)."""
+    latin = F.translate(col, ACCENT_FROM + "".join(_SINGLE_FIXED), ACCENT_TO + "".join(_SINGLE_FIXED.values()))
     for k, v in _MULTI_FIXED.items():
-        out = F.replace(out, F.lit(k), F.lit(v))
-    out = F.regexp_replace(out, r"\p{M}+", "")
+        latin = F.replace(latin, F.lit(k), F.lit(v))
+    others = F.translate(latin, _GREEK[0] + _CYRILLIC[0], _GREEK[1] + _CYRILLIC[1])
+    others = _characters(others, _DIGRAPHS | _GREEK[2] | _CYRILLIC[2])
+    # the range is checked first, as most values have nothing beyond it and many classes are slow to match
+    beyond = col.rlike("[^\\x00-\u0131]") & col.rlike(_OTHERS)
+    out = F.regexp_replace(F.when(beyond, others).otherwise(latin), r"\p{M}+", "")
     # most values are plain ASCII and need none of this
     return F.when(col.rlike(r"[^\x00-\x7F]"), out).otherwise(col)
 

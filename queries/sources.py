@@ -150,12 +150,17 @@ def q_bad_file_skip(spark, d):
 
 
 def q_csv_all_string_parse(spark, d):
-    """A6 + H20/H36: orders through an all-string CSV, then lenient parsing."""
+    """A6 + H20/H36: orders through an all-string CSV with dates written in eight ways, then lenient parsing."""
     root = scratch_path(spark, "csv")
     o = table(spark, d, "orders")
+    way, day = F.pmod("o_orderkey", F.lit(8)), F.col("o_orderdate")
+    written = F.date_format(day, "yyyy-MM-dd")
+    for n, pattern in enumerate(("M/d/yy", "dd-MMM-yy", "yyyy-MM-dd hh:mm a", "yyyyMMdd'T'HHmmss", "EEEE, MMMM d, yyyy", "d MMM yyyy",
+                                 "M/d/yyyy HH:mm:ss")):
+        written = F.when(way == n, F.date_format(day, pattern)).otherwise(written)
     files.write_csv(o.select(*[F.col(c).cast("string").alias(c) for c in
                                ("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")],
-                             F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate")), root)
+                             written.alias("o_orderdate")), root)
     raw = files.read_csv_strings(spark, root)
     return raw.select("o_orderkey", "o_orderpriority",
                       F.col("o_totalprice").try_cast("double").alias("total_num"),

@@ -31,6 +31,27 @@ def test_lenient_dates(spark):
                    None, None, None, None]
 
 
+def test_date_grammar(spark):
+    """Values that a reader meets, each on its own; ambiguous ones are pinned here."""
+    may4 = datetime.date(2026, 5, 4)
+    same = ["04-May-26", "2026-05-04 10:00 AM", "20260504T100000", "Monday, May 4, 2026", "2026.05.04", "5-4-2026", "5/4/26", "May 4th, 2026",
+            "4 may 2026", "2026 May 4", "Mon 4 May 2026", "2026-05-04T10:00", "20260504 101010", "  2026-05-04  ", "Mon, 04 May 2026 10:00:00 GMT"]
+    assert one(spark, same, S.lenient_date) == [may4] * len(same)
+    other = {"1/2/26": (2026, 1, 2), "13/4/2026": (2026, 4, 13), "4.5.2026": (2026, 4, 5), "May 2026": (2026, 5, 1), "2026-05": (2026, 5, 1),
+             "5/2026": (2026, 5, 1), "2026": (2026, 1, 1), "26-May-04": (2004, 5, 26), "1/2/70": (1970, 1, 2), "12/31/68": (2068, 12, 31),
+             "Sept. 4, 2026": (2026, 9, 4), "Saturday 4 July 2026": (2026, 7, 4)}
+    assert one(spark, list(other), S.lenient_date) == [datetime.date(*x) for x in other.values()]
+    bad = ["13/13/2026", "2026-02-30", "2026-05-04 25:00", "4 mayo 2026", "May", "99999999", "00/00/0000", "1 2 3 4", "10:00"]
+    assert one(spark, bad, S.lenient_date) == [None] * len(bad)
+
+
+def test_names_of_any_script(spark):
+    names = {"Иван Петров": "ivan petrov", "Γιώργος": "giorgos", "손흥민": "sonheungmin", "Ǿ": "o", "ﬁne": "fine", "Щукин Юрий": "shchukin iurii",
+             "Θεόδωρος Ψ": "theodoros ps", "Їжак Ґ": "yizhak g", "Ǆ ǈ": "dz lj", "１２ Ａb": "12 ab", "김민재 Kim": "gimminjae kim", "Ёлка": "iolka",
+             "José Щ ß": "jose shch ss", "中文": "中文"}
+    assert one(spark, list(names), normalize_text) == list(names.values())
+
+
 def test_money_and_rounding(spark):
     values = [1.2346e9, 250000.0, 50000.0, 350000.0, -1.26e6, 0.0, 12.35e6]
     assert one(spark, [*values, None], S.money_millions, "double") == [f"{v / 1e6:.1f}M€" for v in values] + ["N/A"]
