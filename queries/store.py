@@ -28,6 +28,11 @@ def stored(spark: SparkSession, d: str, name: str, build: Callable[[], DataFrame
     return spark.read.parquet(path)
 
 
+def forget() -> None:
+    """Let the next query of each stored table build it anew."""
+    _PATHS.clear()
+
+
 def history_store(spark: SparkSession, d: str, name: str, key: str, buckets: int = 8) -> HistoryStore:
     """The stored history ``name`` of data folder ``d``, one in each application; buckets suit small tables."""
     at = (spark.sparkContext.applicationId, d.rstrip("/"), f"history-{name}")
