@@ -2,8 +2,8 @@
 
 The latest row of every key (its current one, or the last closed one of a key that
 has none) lies in the bucket of its key; closed rows lie in append-only segments.  A version is a
-manifest that names the folders of its buckets and segments, with rows and non-null counts
-of each column.  A load
+manifest that names the folders of its buckets and segments, with their rows and the
+columns that have a value in them.  A load
 
 1. compares the snapshot with the buckets of its keys (key, flag and tracked
    columns only),
@@ -20,6 +20,7 @@ second fails instead of hiding the first.
 
 from __future__ import annotations
 
+import functools
 import json
 import uuid
 from collections.abc import Callable, Sequence
@@ -35,17 +36,19 @@ from pitchforge.session import cut_lineage
 from pitchforge.sources.files import versions
 
 BUCKET = "__bucket"
+#: Columns whose bits one long holds.
+WORD = 60
 #: Closed segments that a version names before a load merges them into one.
 MAX_SEGMENTS = 64
 
 
 @dataclass
 class Part:
-    """A folder of Parquet files with its rows and its non-null values of each column."""
+    """A folder of Parquet files with its rows and the columns in which one of them has a value."""
 
     path: str
     rows: int
-    filled: dict[str, int]
+    filled: list[str]
 
 
 @dataclass
@@ -65,9 +68,9 @@ class Manifest:
         d = json.loads(text)
         return cls(d["buckets"], d["schema"], {int(b): Part(*p) for b, p in d["latest"].items()}, [Part(*p) for p in d["closed"]])
 
-    def filled(self, column: str) -> int:
-        """Non-null values of a column."""
-        return sum(p.filled.get(column, 0) for p in [*self.closed, *self.latest.values()])
+    def filled(self) -> set[str]:
+        """Columns in which some row has a value."""
+        return {c for p in [*self.closed, *self.latest.values()] for c in p.filled}
 
 
 class HistoryStore:
@@ -132,19 +135,28 @@ class HistoryStore:
         path = f"{self.base}/data/latest-{uuid.uuid4().hex[:12]}"
         df.repartition(F.col(BUCKET)).write.partitionBy(BUCKET).mode("error").parquet(path)
         back, cols = self.spark.read.schema(df.schema).parquet(path), [c for c in df.columns if c != BUCKET]
-        counts = back.groupBy(BUCKET).agg(*self.counted(cols)).collect()  # a row for each bucket
-        return {r[0]: Part(f"{path}/{BUCKET}={r[0]}", r[1], dict(zip(cols, r[2:], strict=True))) for r in counts}
+        rows = back.groupBy(BUCKET).agg(*self.summary(cols)).collect()  # a row for each bucket
+        return {r[0]: Part(f"{path}/{BUCKET}={r[0]}", r[1], self.present(cols, r[2:])) for r in rows}
 
     def write_segment(self, df: DataFrame) -> list[Part]:
         """Write closed rows; no part without any."""
         path = f"{self.base}/data/closed-{uuid.uuid4().hex[:12]}"
         df.write.mode("error").parquet(path)
-        r = self.spark.read.schema(df.schema).parquet(path).agg(*self.counted(df.columns)).first()
-        return [Part(path, r[0], dict(zip(df.columns, r[1:], strict=True)))] if r[0] else []
+        r = self.spark.read.schema(df.schema).parquet(path).agg(*self.summary(df.columns)).first()
+        return [Part(path, r[0], self.present(df.columns, r[1:]))] if r[0] else []
 
     @staticmethod
-    def counted(cols: Sequence[str]) -> list[Column]:
-        return [F.count(F.lit(1)), *[F.count(F.col(f"`{c}`")) for c in cols]]
+    def summary(cols: Sequence[str]) -> list[Column]:
+        """Rows, and for every WORD columns a word with the bits of those that have a value."""
+        words = []
+        for at in range(0, len(cols), WORD):
+            bits = [F.when(F.col(f"`{c}`").isNotNull(), F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, c in enumerate(cols[at:at + WORD])]
+            words.append(F.bit_or(functools.reduce(lambda a, b: a + b, bits)))
+        return [F.count(F.lit(1)), *words]
+
+    @staticmethod
+    def present(cols: Sequence[str], words: Sequence[int | None]) -> list[str]:
+        return [c for i, c in enumerate(cols) if (words[i // WORD] or 0) >> (i % WORD) & 1]
 
     def adopt(self, history: DataFrame) -> int:
         """Store an existing history (without changing a row) as the next version, whatever was stored before."""
@@ -217,11 +229,11 @@ class HistoryStore:
 
     def without_values(self, m: Manifest, snapshot: DataFrame) -> list[str]:
         """Columns in which the snapshot has values and the history none."""
-        empty = [c for c in snapshot.columns if c not in (self.key, BUCKET, *SCD_COLS) and not m.filled(c)]
+        filled = m.filled()
+        empty = [c for c in snapshot.columns if c not in (self.key, BUCKET, *SCD_COLS) and c not in filled]
         if not empty:
             return []
-        known = snapshot.filter(F.col(self.key).isNotNull()).agg(*[F.count(F.col(f"`{c}`")) for c in empty]).first()
-        return [c for c, n in zip(empty, known, strict=True) if n]
+        return self.present(empty, snapshot.filter(F.col(self.key).isNotNull()).agg(*self.summary(empty)).first()[1:])
 
     def statuses(self, m: Manifest, snapshot: DataFrame, tracked: Sequence[str]) -> DataFrame:
         """(key, bucket, __status) of the snapshot's new and changed keys, written; reads the buckets of its keys only."""
