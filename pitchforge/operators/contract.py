@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,8 +24,8 @@ class Rule:
 
 
 class ContractError(ValueError):
-    def __init__(self, report_rows):
-        self.report_rows = report_rows
+    def __init__(self, report_rows, rows=()):
+        self.report_rows, self.rows = report_rows, list(rows)
         super().__init__("data contract violated: " + "; ".join(
             f"{c}:{k}={n}" for c, k, n in report_rows))
 
@@ -47,27 +47,28 @@ def _type_ok(rule: Rule, dt: T.DataType) -> bool:
     return True
 
 
+def _value_checks(rules: list[Rule], schema: dict[str, T.DataType]) -> list[tuple[str, str, Column]]:
+    """(column, check, condition that a failing row meets) of the checks that need the data."""
+    out = []
+    for r in rules:
+        if r.column in schema:
+            c = F.col(f"`{r.column}`")
+            if not r.nullable:
+                out.append((r.column, "not_null", c.isNull()))
+            if r.dtype == "double" and r.coerce and isinstance(schema[r.column], T.StringType):
+                out.append((r.column, "coercible", c.isNotNull() & c.try_cast("double").isNull()))
+    return out
+
+
 def contract_report(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """One row per (column, check) with its failure count, checks that pass
     included (failures = 0).  Runs one aggregate over the data."""
     schema = {f.name: f.dataType for f in df.schema.fields}
-    static_rows = []
-    aggs = []
-    labels = []
-    for r in rules:
-        if r.column not in schema:
-            static_rows.append((r.column, "missing", 1))
-            continue
-        dt = schema[r.column]
-        static_rows.append((r.column, "type", 0 if _type_ok(r, dt) else 1))
-        c = F.col(f"`{r.column}`")
-        if not r.nullable:
-            aggs.append(F.count_if(c.isNull()).cast("bigint"))
-            labels.append((r.column, "not_null"))
-        if r.dtype == "double" and r.coerce and isinstance(dt, T.StringType):
-            aggs.append(F.count_if(c.isNotNull() & c.try_cast("double").isNull())
-                        .cast("bigint"))
-            labels.append((r.column, "coercible"))
+    static_rows = [(r.column, "type", 0 if _type_ok(r, schema[r.column]) else 1) if r.column in schema else (r.column, "missing", 1)
+                   for r in rules]
+    checks = _value_checks(rules, schema)
+    aggs = [F.count_if(failing).cast("bigint") for _, _, failing in checks]
+    labels = [(column, check) for column, check, _ in checks]
     spark = df.sparkSession
     static = spark.createDataFrame(static_rows, REPORT_SCHEMA)
     if not aggs:
@@ -79,12 +80,30 @@ def contract_report(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return static.unionByName(long)
 
 
-def validate(df: DataFrame, rules: list[Rule]) -> None:
-    """B19 gate: raise ``ContractError`` listing every failing check."""
+def failing_rows(df: DataFrame, rules: list[Rule], key: str) -> DataFrame:
+    """(key, column, check, value) of every value that breaks a rule, in one pass without a shuffle.
+
+    Missing columns and wrong types concern no single row; ``contract_report`` has them.
+    """
+    found = [F.when(failing, F.struct(F.lit(column).alias("column"), F.lit(check).alias("check"),
+                                      F.col(f"`{column}`").cast("string").alias("value")))
+             for column, check, failing in _value_checks(rules, {f.name: f.dataType for f in df.schema.fields})]
+    none = F.lit(None).cast("struct<column:string,check:string,value:string>")
+    each = F.filter(F.array(*found, none), lambda x: x.isNotNull())
+    return df.select(F.col(f"`{key}`"), F.inline(each))
+
+
+def validate(df: DataFrame, rules: list[Rule], key: str | None = None, shown: int = 20) -> None:
+    """B19 gate: raise ``ContractError`` listing every failing check.
+
+    With a ``key`` the error also has ``rows``, the ``shown`` failures of least key,
+    so that what reaches the driver is bounded; ``failing_rows`` has all.
+    """
     bad = [(r["column"], r["check"], r["failures"]) for r in
            contract_report(df, rules).filter(F.col("failures") > 0).collect()]
     if bad:
-        raise ContractError(bad)
+        rows = failing_rows(df, rules, key).orderBy(key, "column", "check").limit(shown).collect() if key else []
+        raise ContractError(bad, [tuple(r) for r in rows])
 
 
 def constraint_audit(spark: SparkSession, checks: dict[str, DataFrame]) -> DataFrame:
@@ -113,5 +132,5 @@ def out_of_range(df: DataFrame, col: str, low: float, high: float) -> DataFrame:
     return df.filter((F.col(col) < F.lit(low)) | (F.col(col) > F.lit(high)))
 
 
-__all__ = ["out_of_range", "Rule", "ContractError", "contract_report", "validate", "constraint_audit",
+__all__ = ["out_of_range", "Rule", "ContractError", "contract_report", "failing_rows", "validate", "constraint_audit",
            "duplicate_keys", "orphan_keys"]

@@ -145,11 +145,27 @@ def q_scd2_duplicate_snapshot(spark, d):
     return result.select(*before.columns)
 
 
-def q_contract_gate(spark, d):
-    """What the gate reports on a snapshot with faults, and whether the load stopped."""
-    snap = _merged(spark, d, RUNS[0][1]).drop("yellow_cards_sfs").withColumns({
+def _faulty(spark: SparkSession, d: str) -> DataFrame:
+    """A merged snapshot with a missing column, missing names and counts that are no numbers."""
+    return _merged(spark, d, RUNS[0][1]).drop("yellow_cards_sfs").withColumns({
         "name_sfs_norm": F.when(F.col("id_sfs").cast("bigint") % 4 != 0, F.col("name_sfs_norm")),
         "goals_sfs": F.when(F.col("id_sfs").cast("bigint") % 5 == 0, F.lit("many")).otherwise(F.col("goals_sfs").cast("string"))})
+
+
+def q_contract_failures(spark, d):
+    """Each failing value of the faulty snapshot with its row's id."""
+    return contract.failing_rows(_faulty(spark, d), MERGED_CONTRACT, "id_sfs")
+
+
+SQL_CONTRACT_FAILURES = """
+SELECT CAST(c_custkey AS VARCHAR) AS id_sfs, 'name_sfs_norm' AS "column", 'not_null' AS "check", CAST(NULL AS VARCHAR) AS value
+FROM customer WHERE c_custkey % 4 = 0
+UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'goals_sfs', 'coercible', 'many' FROM customer WHERE c_custkey % 5 = 0"""
+
+
+def q_contract_gate(spark, d):
+    """What the gate reports on a snapshot with faults, and whether the load stopped."""
+    snap = _faulty(spark, d)
     try:
         scd2_load(snap, None, KEY, TRACKED, run_date_col(RUNS[0][0]), order=["id_sfs"],
                   validate=lambda df: contract.validate(df, MERGED_CONTRACT))
@@ -251,6 +267,7 @@ QUERIES = {
     "normalize_valuations": (q_normalize_valuations, SQL_NORMALIZE_VALUATIONS),
     "scd2_duplicate_snapshot": (q_scd2_duplicate_snapshot, SILVER["scd2_run2"][1]),
     "contract_gate": (q_contract_gate, SQL_CONTRACT_GATE),
+    "contract_failures": (q_contract_failures, SQL_CONTRACT_FAILURES),
     "resolve_second_run": (q_resolve_second_run, SQL_SECOND_RUN),
     "resolve_second_key": (q_resolve_second_key, _sql_second_key()),
 }
