@@ -47,6 +47,17 @@ SELECT event_id, ts, user_id, event_type, value, props, event_type AS source,
 FROM events QUALIFY CAST(ts AS DATE) = max(CAST(ts AS DATE)) OVER (PARTITION BY event_type)"""
 
 
+def q_aux_latest_partition(spark, d):
+    """A2: the latest day of the whole landing zone, whichever sources have it."""
+    df, _ = landing.latest_partition(spark, _land_events(spark, d), EVENT_SCHEMA, timestampNTZFormat=TS_FMT)
+    return df
+
+
+SQL_AUX_LATEST = """
+SELECT event_id, ts, user_id, event_type, value, props, event_type AS source, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS dt
+FROM events QUALIFY CAST(ts AS DATE) = max(CAST(ts AS DATE)) OVER ()"""
+
+
 def q_landing_partitioned(spark, d):
     root = _land_events(spark, d)
     df = spark.read.schema(EVENT_SCHEMA).option("timestampNTZFormat", TS_FMT).json(root)
@@ -333,6 +344,7 @@ SELECT l_orderkey, l_linenumber, l_quantity, l_linestatus AS status, 1 AS meta_f
 
 QUERIES = {
     "latest_partition_scan": (q_latest_partition_scan, SQL_LATEST_PARTITION),
+    "aux_latest_partition": (q_aux_latest_partition, SQL_AUX_LATEST),
     "landing_partitioned": (q_landing_partitioned, SQL_LANDING),
     "recursive_scan_prefix": (q_recursive_scan_prefix, SQL_RECURSIVE),
     "json_explode_flatten": (q_json_explode_flatten, SQL_JSON_FLATTEN),
