@@ -11,15 +11,17 @@ from pitchforge.session import path_exists
 def read_csv_strings(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Header row, every column a string (no inference).
 
-    With ``multi_line`` quoted values may hold newlines, and a file is one task;
-    without it files are split.
+    With ``multi_line`` quoted values may hold newlines, and a file is one task
+    (``quoted_csv.read_csv_quoted`` splits such files); without it files are split.
     """
     return (spark.read.option("header", True).option("inferSchema", False)
                  .option("multiLine", multi_line).option("escape", '"').csv(path))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """Header row, quotes doubled within quotes, spaces at the ends of values kept."""
+    (df.write.mode("overwrite").option("header", True).option("escape", '"')
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def overwrite_parquet(df: DataFrame, path: str) -> None:

@@ -15,7 +15,7 @@ from pitchforge.functions.scalars import lenient_date, run_date_col
 from pitchforge.operators.columns import flatten, metric_rename_map, prune_fields, select_rename
 from pitchforge.plans import analogs
 from pitchforge.session import scratch_path
-from pitchforge.sources import documents, files, html, landing
+from pitchforge.sources import documents, files, html, landing, quoted_csv
 from pitchforge.sources.tables import table
 from queries.silver import snapshot
 
@@ -184,6 +184,16 @@ SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority, o_totalprice
        CAST(o_orderdate AS DATE) AS order_date, o_custkey AS custkey FROM orders"""
 
 
+def q_csv_quoted_splits(spark, d):
+    """Whole texts, newlines and all, through a CSV that is read in splits."""
+    root = scratch_path(spark, "csv-quoted")
+    files.write_csv(table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "text", "lang", "source"), root)
+    return quoted_csv.read_csv_quoted(spark, root)
+
+
+SQL_CSV_QUOTED = "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source FROM documents"
+
+
 def q_standings_extract(spark, d):
     """Standings analog -> nested documents -> extraction."""
     root = scratch_path(spark, "standings")
@@ -351,6 +361,7 @@ QUERIES = {
     "envelope": (q_envelope, SQL_ENVELOPE),
     "bad_file_skip": (q_bad_file_skip, "SELECT * FROM events"),
     "csv_all_string_parse": (q_csv_all_string_parse, SQL_CSV),
+    "csv_quoted_splits": (q_csv_quoted_splits, SQL_CSV_QUOTED),
     "standings_extract": (q_standings_extract, SQL_STANDINGS),
     "toplist_extract": (q_toplist_extract, SQL_TOPLIST),
     "parquet_roundtrip_stamp": (q_parquet_roundtrip_stamp, SQL_PARQUET_STAMP),
