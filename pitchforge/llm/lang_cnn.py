@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, narrow, small_side
@@ -31,8 +31,10 @@ WIDTHS, FILTERS, EMBEDDING = (2, 3, 4), 16, 8
 SAMPLE_DOCS, SAMPLE_WINDOWS = 1500, 2
 #: Bound on the labelled rows of all languages together, and the documents that each has in any case.
 SAMPLE_ALL, LEAST_DOCS = 384_000, 20
-#: Windows that one step of a prediction holds.
-STEP = 64
+#: Windows that one step of a prediction holds, and characters of the texts (one at least) whose windows are cut at once.
+STEP, GROUP_CHARS = 64, 1 << 18
+#: Share of windows in a learned language that may miss the least score, and bytes below which a text is not judged by it.
+LOST, ENOUGH = 0.005, 64
 PAD = 0  # no byte of text after cleaning
 
 
@@ -42,6 +44,7 @@ class ByteCNN:
     def __init__(self, labels: list[str], seed: int = 7):
         rng = np.random.default_rng(seed)
         self.labels = labels
+        self.least = 1 / len(labels)  # every text reaches this score
         p = {"embed": rng.normal(0, 0.5, (256, EMBEDDING))}
         for w in WIDTHS:
             p[f"filter{w}"] = rng.normal(0, (2 / (w * EMBEDDING)) ** 0.5, (w * EMBEDDING, FILTERS))
@@ -59,8 +62,8 @@ class ByteCNN:
             places = length - w + 1
             patches = np.lib.stride_tricks.as_strided(
                 e, (n, places, w * EMBEDDING), (e.strides[0], EMBEDDING * e.itemsize, e.itemsize))
-            a = np.ascontiguousarray(patches).reshape(n * places, -1) @ self.p[f"filter{w}"]
-            a = a.reshape(n, places, FILTERS)
+            # a product for each window: in one over all of them, other windows beside it would change its rounding
+            a = np.matmul(np.ascontiguousarray(patches), self.p[f"filter{w}"])
             best.append(a.max(axis=1) + self.p[f"bias{w}"])
             where.append(a)
         return np.concatenate(best, axis=1), where
@@ -69,7 +72,8 @@ class ByteCNN:
         out = []
         for lo in range(0, len(x), STEP):
             h, _ = self.pooled(x[lo:lo + STEP])
-            out.append(softmax(np.maximum(h, 0) @ self.p["out"] + self.p["out_bias"]))
+            evidence = np.einsum("nf,fl->nl", np.maximum(h, 0), self.p["out"], optimize=False)
+            out.append(softmax(evidence + self.p["out_bias"]))
         return np.concatenate(out) if out else np.zeros((0, len(self.labels)), np.float32)
 
     def gradients(self, x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
@@ -134,21 +138,18 @@ def windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return x, np.array(owner, dtype=np.int64), np.array(size, dtype=np.float32)
 
 
-def training_windows(texts: list[str], per_text: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Random windows of each text, of random lengths, so that short texts are known too."""
-    rng, rows, owner = np.random.default_rng(seed), [], []
-    for i, t in enumerate(texts):
-        b = text_bytes(t)
-        for _ in range(per_text if len(b) > WINDOW else 1):
-            at = int(rng.integers(0, max(1, len(b) - WINDOW + 1)))
-            keep = WINDOW if rng.random() < 0.6 else int(rng.integers(12, WINDOW))
-            row = np.zeros(WINDOW, np.uint8)
-            part = b[at:at + keep]
-            row[:len(part)] = part
-            rows.append(row)
-            owner.append(i)
-    x = np.array(rows, dtype=np.uint8).reshape(len(rows), WINDOW)
-    return x, np.array(owner, dtype=np.int64)
+def cut_windows(text: str, per_text: int, rng: np.random.Generator) -> list[bytes]:
+    """Random windows of a text, of random lengths, so that short texts are known too."""
+    b = text_bytes(text)
+    cut = []
+    for _ in range(per_text if len(b) > WINDOW else 1):
+        at = int(rng.integers(0, max(1, len(b) - WINDOW + 1)))
+        cut.append(b[at:at + (WINDOW if rng.random() < 0.6 else int(rng.integers(12, WINDOW)))].tobytes())
+    return cut
+
+
+def padded(parts: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(p.ljust(WINDOW, b"\0") for p in parts), np.uint8).reshape(len(parts), WINDOW)
 
 
 # ---- Spark ----------------------------------------------------------------
@@ -158,30 +159,59 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2, F.lit(False))
 
 
-def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, seed: int = 7) -> ByteCNN | None:
+def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, seed: int = 7, aside: float = 0.0) -> ByteCNN | None:
     """Fit a network on rows (doc_id, text, lang) with text and lang.
 
-    Every language is learned. About ``sample_docs`` documents of each reach the
-    driver (fewer, down to LEAST_DOCS, if all would pass SAMPLE_ALL), chosen by a
-    hash of the id; all rows are counted, none is read in order.
+    Every language is learned. About ``sample_docs`` documents of each (fewer, down to LEAST_DOCS, if all
+    would pass SAMPLE_ALL) are chosen by a hash of the row; all rows are counted, none is read in order.
+    Windows are cut where the texts are, so the driver gets SAMPLE_WINDOWS times WINDOW bytes of each.
+    A share ``aside`` of the sample sets the model's least score (``calibrated``) instead.
     """
     usable = labelled.where("text is not null and lang is not null").withColumn("pick", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)))
-    counts = small_side(materialize(usable.groupBy("lang").agg(F.count("*").alias("n")), "languages"))
+    counts = small_side(materialize(usable.groupBy("lang").agg(F.count("*").alias("n"), F.min("pick").alias("low")), "languages"))
     languages = counts.count()
     if not languages:
         return None
     each = min(sample_docs, max(LEAST_DOCS, SAMPLE_ALL // languages))
     share = F.floor(F.least(F.lit(1.0), F.lit(each) / F.col("n")) * (1 << 30))
-    picked = usable.join(counts, "lang").where(F.col("pick") < share)
-    rows = picked.select("lang", "text", "pick").limit(2 * each * languages)
-    pdf = rows.toPandas().sort_values(["lang", "pick", "text"], kind="stable").reset_index(drop=True)
-    pdf = pdf[pdf.text.map(has_letter)].reset_index(drop=True)
+
+    @F.pandas_udf("array<binary>")
+    def cut(texts: pd.Series, picks: pd.Series) -> pd.Series:
+        return pd.Series([cut_windows(t, SAMPLE_WINDOWS, np.random.default_rng([seed, int(p)])) if has_letter(t) else []
+                          for t, p in zip(texts, picks, strict=True)], dtype=object)
+
+    chosen = (F.col("pick") < share) | (F.col("pick") == F.col("low"))  # a label of copies alone has one pick
+    picked = usable.join(counts, "lang").where(chosen).select("lang", "pick", cut("text", "pick").alias("parts"))
+    # repeated rows share a pick and count once; the bound is each language's own
+    rows = picked.where(F.size("parts") > 0).groupBy("lang", "pick").agg(F.min("parts").alias("parts"))
+    rows = rows.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("pick"))).where(F.col("r") <= 2 * each)
+    pdf = rows.select("lang", "pick", "parts").toPandas().sort_values(["lang", "pick"], kind="stable").reset_index(drop=True)
     if not len(pdf):
         return None
     labels = sorted(pdf.lang.unique())
-    x, owner = training_windows(pdf.text.tolist(), SAMPLE_WINDOWS, seed)
-    y = pdf.lang.map({k: i for i, k in enumerate(labels)}).to_numpy()[owner]
-    return ByteCNN(labels, seed).fit(x, y)
+    tried = pdf.groupby("lang").cumcount() >= (pdf.groupby("lang").lang.transform("size") * (1 - aside)).clip(lower=1)
+    learned = pdf[~tried]
+    owner = np.repeat(learned.lang.map({k: i for i, k in enumerate(labels)}).to_numpy(), learned.parts.map(len))
+    model = ByteCNN(labels, seed).fit(padded([p for parts in learned.parts for p in parts]), owner)
+    if tried.any():
+        model.least = calibrated(model, [bytes(p) for parts in pdf[tried].parts for p in parts], seed)
+    return model
+
+
+def calibrated(model: ByteCNN, parts: list[bytes], seed: int = 7) -> float:
+    """The least score of a text in a learned language.
+
+    It is the score that all but a share LOST of windows put aside reach, or, if that is lower, the one that
+    nearly no noise reaches: windows of the same lengths, of bytes drawn evenly from those that occur.
+    Never under the score of no evidence, one in the number of languages.
+    """
+    long = [p for p in parts if len(p) >= ENOUGH]
+    if not long:
+        return 1 / len(model.labels)
+    rng, seen = np.random.default_rng(seed), np.unique(np.frombuffer(b"".join(long), np.uint8))
+    noise = [rng.choice(seen, len(p)).astype(np.uint8).tobytes() for p in long]
+    real, other = (model.predict(padded(x)).max(axis=1) for x in (long, noise))
+    return float(max(1 / len(model.labels), min(np.quantile(real, LOST, method="lower"), np.quantile(other, 1 - LOST))))
 
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -206,8 +236,10 @@ def identify(docs: DataFrame, model: ByteCNN | None, id_col: str = "doc_id", tex
 def identify_texts(texts: list[str | None], model: ByteCNN | None) -> tuple[list[str], list[float]]:
     lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
     known = [i for i, t in enumerate(texts) if model and has_letter(t)]
-    for lo in range(0, len(known), 32):  # a few texts at a time bound the windows in memory
-        group = known[lo:lo + 32]
+    while known:  # a few texts at a time bound the windows in memory
+        chars = np.cumsum([len(texts[i]) for i in known[:32]])
+        n = max(1, int((chars <= GROUP_CHARS).sum()))
+        group, known = known[:n], known[n:]
         x, owner, size = windows([texts[i] for i in group])
         p = model.predict(x) * size[:, None]
         total = np.zeros((len(group), p.shape[1]))
@@ -218,12 +250,15 @@ def identify_texts(texts: list[str | None], model: ByteCNN | None) -> tuple[list
     return lang, score
 
 
-def keep_identified(docs: DataFrame, model: ByteCNN | None, least: float = 0.3, text_col: str = "text") -> DataFrame:
-    """``docs`` without those of no language (``und``) or of none with a score of ``least`` or more."""
+def keep_identified(docs: DataFrame, model: ByteCNN | None, least: float | None = None, text_col: str = "text") -> DataFrame:
+    """``docs`` without those of no language (``und``) and, of texts of ENOUGH bytes or more, those of no
+    language with a score of ``least`` or more (without it, the model's own)."""
+    bound = least if least is not None else model.least if model else 0.0
 
     @F.pandas_udf("boolean")
     def kept(texts: pd.Series) -> pd.Series:
         lang, score = identify_texts(texts.tolist(), model)
-        return pd.Series([k != UNKNOWN and s >= least for k, s in zip(lang, score, strict=True)], dtype=bool)
+        return pd.Series([k != UNKNOWN and (s >= bound or len(text_bytes(t)) < ENOUGH)
+                          for t, k, s in zip(texts, lang, score, strict=True)], dtype=bool)
 
     return docs.where(kept(F.col(f"`{text_col}`")))

@@ -3,7 +3,8 @@
 File format, one family of files for each range of document ids:
 
 * ``<shard>.bin``  token ids of all documents, unsigned little-endian, 16 bits
-  if the vocabulary allows, else 32;
+  if the vocabulary and the end id allow, else 32 (``width_of``); an id that does
+  not fit is an error;
 * ``<shard>.off``  n + 1 signed 64-bit offsets (in ids) within the shard;
 * ``<shard>.doc``  n signed 64-bit document ids, then n bytes: 1 if the id is null.
 
@@ -32,6 +33,8 @@ from .tokens import encoder
 
 #: Bytes of text that a range of documents has on average.
 RANGE_BYTES = 32 << 20
+#: Bytes that a document counts beside its text, so that empty ones fill ranges too.
+ROW_BYTES = 32
 
 
 def _files(uri: str):
@@ -40,18 +43,29 @@ def _files(uri: str):
     return fs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri.removeprefix("file:"))
 
 
-def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int, id_bits: int = 16,
+def width_of(vocabulary: str, end_id: int) -> int:
+    """Bits of an id: 16 if every id of the vocabulary and the end id fit, else 32."""
+    from tokenizers import Tokenizer
+    known = Tokenizer.from_file(vocabulary).get_vocab(with_added_tokens=True)
+    return 16 if max([end_id, *known.values()]) < 1 << 16 else 32
+
+
+def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int, id_bits: int | None = None,
                       id_col: str = "doc_id", text_col: str = "text", ranges: int | None = None) -> DataFrame:
     """Write the files below ``folder``; returns the manifest.
 
-    Manifest: (shard int, name string, n_docs long, n_tokens long).  Each
+    Manifest: (shard int, name string, n_docs long, n_tokens long).  Without
+    ``id_bits`` the vocabulary gives the width.  Each
     attempt of a task writes files of a new name, and only the names that come
     back in the manifest count, so tasks may run again or twice.
     """
+    id_bits = id_bits or width_of(vocabulary, end_id)
+    if not docs.schema[id_col].dataType.typeName() in ("byte", "short", "integer", "long"):
+        raise TypeError(f"ids are written as 64-bit numbers, but {id_col} is {docs.schema[id_col].dataType.simpleString()}")
     src = narrow(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     src = src.withColumn("tie", F.xxhash64("text"))
     if ranges is None:
-        size = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        size = src.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + ROW_BYTES)).first()[0] or 0
         ranges = max(1, -(-size // RANGE_BYTES))
     order = [F.col("doc_id").asc_nulls_first(), F.col("tie").asc(), F.col("text").asc_nulls_first()]
     # Ties are ranged by the text's hash as well: no range has to hold all rows of one id.
@@ -72,6 +86,8 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
                 opened, shard = store.open_output_stream(f"{base}/{name}.bin"), int(pdf["shard"].iloc[0])
             for text in pdf.text:
                 got = np.frombuffer(enc.encode(text) + end, dtype="<u4")
+                if len(got) and int(got.max()) >> id_bits:
+                    raise ValueError(f"id {got.max()} does not fit in {id_bits} bits")
                 counts.append(len(got))
                 opened.write(got.astype(kind).tobytes())
             nulls.append(pdf["no_id"].to_numpy())
@@ -128,8 +144,9 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame, id_b
     return based.repartition(n, "shard").mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def round_trip(spark: SparkSession, docs: DataFrame, vocabulary: str, end_id: int = 1, id_bits: int = 16,
+def round_trip(spark: SparkSession, docs: DataFrame, vocabulary: str, end_id: int = 1, id_bits: int | None = None,
                id_col: str = "doc_id", text_col: str = "text", ranges: int | None = None) -> DataFrame:
     folder = scratch_path(spark, "llm-token-files")
+    id_bits = id_bits or width_of(vocabulary, end_id)
     manifest = write_token_files(docs, folder, vocabulary, end_id, id_bits, id_col, text_col, ranges)
     return read_token_files(spark, folder, manifest, id_bits)

@@ -313,6 +313,35 @@ def test_every_label_is_learned(spark, tmp_path):
     assert len(lang_cnn.train(spark.read.parquet(f"{tmp_path}/d"), sample_docs=3).labels) == 300
 
 
+def test_copies_do_not_displace_a_label(spark, tmp_path):
+    rows = [(1, "the same words again", "en")] * 500 + [(i, f"mots {i} de plus", "fr") for i in range(2, 12)]
+    spark.createDataFrame(rows, "doc_id int, text string, lang string").write.parquet(f"{tmp_path}/d")
+    assert lang_cnn.train(spark.read.parquet(f"{tmp_path}/d"), sample_docs=3).labels == ["en", "fr"]
+
+
+def test_least_score_is_calibrated(spark):
+    docs = table(spark, SF, "documents")
+    learn = docs.where(~lang_cnn.held_out(F.col("doc_id")))
+    model = lang_cnn.train(learn, aside=0.125)
+    assert lang_cnn.train(learn).least == 1 / len(model.labels) < model.least < 0.95
+    rng = np.random.default_rng(3)
+    real = [r["text"] for r in docs.where(lang_cnn.held_out(F.col("doc_id"))).collect() if lang_cnn.has_letter(r["text"])]
+    noise = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz0123456789+/="), 800)) for _ in range(200)]
+    passed = [np.mean([s >= model.least for s in lang_cnn.identify_texts([t for t in x if len(t) >= lang_cnn.ENOUGH], model)[1]]) for x in (real, noise)]
+    assert passed[0] > 0.99 and passed[1] < 0.95, passed
+    rows = spark.createDataFrame([(1, noise[0]), (2, real[0]), (3, "Re."), (4, None)], "doc_id int, text string")
+    kept = {r["doc_id"] for r in lang_cnn.keep_identified(rows, model, least=0.999999).collect()}
+    assert 3 in kept and 1 not in kept and 4 not in kept
+
+
+def test_neighbours_do_not_change_a_score():
+    rng, net = np.random.default_rng(5), lang_cnn.ByteCNN(list("abcde"))
+    texts = ["".join(rng.choice(list("abc de"), int(n))) + "x" for n in rng.integers(1, 3000, 40)]
+    alone = [lang_cnn.identify_texts([t], net) for t in texts]
+    together = lang_cnn.identify_texts(texts, net)
+    assert [a[1][0] for a in alone] == together[1] and [a[0][0] for a in alone] == together[0]
+
+
 def test_gradients_equal_differences():
     rng = np.random.default_rng(0)
     net = lang_cnn.ByteCNN(["a", "b", "c"])

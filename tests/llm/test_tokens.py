@@ -107,3 +107,16 @@ def test_token_files(spark, request, which, ranges):
 
 def test_no_files_for_no_documents(spark, no_docs):
     assert token_files.round_trip(spark, no_docs, WORDS).count() == 0
+
+
+def test_width_of_ids(spark, docs, tmp_path):
+    assert token_files.width_of(WORDS, 1) == 16 and token_files.width_of(WORDS, 70_000) == 32
+    few = docs.limit(5)
+    wide = token_files.round_trip(spark, few, WORDS, end_id=70_000).collect()
+    tok = Tokenizer.from_file(WORDS)
+    want = [(r["doc_id"], *brute.pieces(r["text"], tok, end_id=70_000, sequence=1 << 30)[0][2:]) for r in few.collect()]
+    same([(r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in wide], want)
+    with pytest.raises(Exception, match="does not fit"):
+        token_files.round_trip(spark, few, WORDS, end_id=70_000, id_bits=16)
+    with pytest.raises(TypeError, match="64-bit"):
+        token_files.round_trip(spark, few.selectExpr("concat('d', doc_id) doc_id", "text"), WORDS)
