@@ -3,8 +3,9 @@
 Each stage works on all rows that the one before it kept, as they were written
 and read again, and all but the last return the columns of documents.
 
-1. language_id: documents without a letter, or in which no learned language
-   reaches a score of 0.3, go.
+1. language_id: documents without a letter go, and those of 64 bytes or more in
+   which no learned language reaches the least score that an eighth of the
+   training sample, put aside, sets.
 2. near_duplicates: of each SimHash component (shingles of 3 words, 3 bits) the
    row with the smallest id stays.
 3. decontamination: documents that hold a benchmark item go.
@@ -27,7 +28,7 @@ from pitchforge.llm.common import materialize, prepare, table
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    model = lang_cnn.train(docs.where(~lang_cnn.held_out(F.col("doc_id"))))
+    model = lang_cnn.train(docs.where(~lang_cnn.held_out(F.col("doc_id"))), aside=1 / 8)
     return lang_cnn.keep_identified(docs, model)
 
 
