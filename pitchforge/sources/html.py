@@ -8,10 +8,13 @@ other page layouts pass their own.
 
 A row runs from its start tag to the next one, so tables inside its cells don't
 end it; a class matches as one of several words, wherever the attribute stands.
+Comments, scripts and styles are cut out first; links stay as written.
 """
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,17 +36,38 @@ ROSTER_VALUE = r"(?s)" + start_tag("td", "rechts", "hauptlink") + r"(.*?)</td>"
 DEFAULT_VALUE = "€0"
 UNKNOWN_ID = "Unknown"
 
-# Entity replacements applied to extracted text, in order (&amp; last).
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "),
-            ("&amp;", "&")]
+#: Code points of named entities (HTML 4); a fixed space counts as a space.
+NAMED = dict(name2codepoint) | {"apos": 39, "nbsp": 32}
+#: What a reader does not see: comments, scripts and styles, each to its end or the page's.
+UNSEEN = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)"
+
+
+def without_unseen(html: Column) -> Column:
+    return F.regexp_replace(html, UNSEEN, "")
+
+
+def decoded(col: Column) -> Column:
+    """Text with its numeric and named entities decoded once; others stay as they are."""
+    names = F.create_map(*[F.lit(x) for kv in NAMED.items() for x in kv])
+
+    def one(piece: Column) -> Column:
+        name = F.regexp_extract(piece, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
+        code = (F.when(name.rlike("^#[xX]"), F.conv(F.substr(name, F.lit(3)), 16, 10).cast("int"))
+                 .when(name.startswith("#"), F.substr(name, F.lit(2)).cast("int"))
+                 .otherwise(F.try_element_at(names, name)))
+        code = F.when(code == 160, 32).otherwise(code)
+        known = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(known, F.concat(char, F.substr(piece, F.length(name) + 2))).otherwise(F.concat(F.lit("&"), piece))
+
+    pieces = F.split(col, "&")
+    after = F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), one)
+    return F.when(F.contains(col, F.lit("&")), F.concat(F.get(pieces, 0), F.array_join(after, ""))).otherwise(col)
 
 
 def html_text(col: Column) -> Column:
     """Visible text of an HTML fragment: tags removed, entities decoded, stripped."""
-    out = F.regexp_replace(col, r"<[^>]*>", "")
-    for ent, ch in ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return F.regexp_replace(out, r"^\s+|\s+$", "")
+    return F.regexp_replace(decoded(F.regexp_replace(col, r"<[^>]*>", "")), r"^\s+|\s+$", "")
 
 
 #: A scope: tag and pattern of its start tag.
@@ -79,7 +103,7 @@ def extract_rows(pages: DataFrame, html_col: str, keep: list[str],
     (last path segment of href, 'Unknown' when empty) and value (text of the
     value cell, also if that is empty; ``default_value`` without such a cell).
     """
-    pieces = F.split(inside(F.col(html_col), scope), row_start)
+    pieces = F.split(inside(without_unseen(F.col(html_col)), scope), row_start)
     pieces = F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
     rows = pages.select(*keep, F.posexplode(pieces).alias("row_idx", "__row"))
     has_link = F.regexp_extract(F.col("__row"), link_pattern, 0) != ""
@@ -102,7 +126,7 @@ def first_link(pages: DataFrame, html_col: str, base_url: str, keep: list[str],
                link_pattern: str = ROSTER_LINK, scope: tuple[str, str] | None = ROSTER_SCOPE) -> DataFrame:
     """The first link in a main cell of the scope, prefixed with
     ``base_url``; null when there is none."""
-    href = F.regexp_extract(inside(F.col(html_col), scope), link_pattern, 1)
+    href = F.regexp_extract(inside(without_unseen(F.col(html_col)), scope), link_pattern, 1)
     return pages.select(*keep, F.when(href != "", F.concat(F.lit(base_url), href))
                         .alias("first_url"))
 

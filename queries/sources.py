@@ -275,9 +275,13 @@ def q_html_rows(spark, d):
                              value_pattern=r"(?s)<a href=\"/([^\"]*)\"", scope=("nav", "<nav>"))
 
 
+#: Entities that the pages hold, in the oracle's order (&amp; last).
+SQL_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
+
+
 def _html_text_sql(x: str) -> str:
     out = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
-    for ent, ch in html.ENTITIES:
+    for ent, ch in SQL_ENTITIES:
         out = f"replace({out}, '{ent}', '{ch.replace(chr(39), chr(39) * 2)}')"
     return f"regexp_replace({out}, '^\\s+|\\s+$', '', 'g')"
 
