@@ -48,13 +48,14 @@ def without_unseen(html: Column) -> Column:
 
 def decoded(col: Column) -> Column:
     """Text with its numeric and named entities decoded once; others stay as they are."""
-    names = F.create_map(*[F.lit(x) for kv in NAMED.items() for x in kv])
+    # one literal, which folds to a map
+    names = F.str_to_map(F.lit(",".join(f"{k}:{v}" for k, v in NAMED.items())), F.lit(","), F.lit(":"))
 
     def one(piece: Column) -> Column:
         name = F.regexp_extract(piece, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
         code = (F.when(name.rlike("^#[xX]"), F.conv(F.substr(name, F.lit(3)), 16, 10).cast("int"))
                  .when(name.startswith("#"), F.substr(name, F.lit(2)).cast("int"))
-                 .otherwise(F.try_element_at(names, name)))
+                 .otherwise(F.try_element_at(names, name).cast("int")))
         code = F.when(code == 160, 32).otherwise(code)
         known = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
         char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
