@@ -16,7 +16,8 @@ Blocks of queries meet shards of vectors of a fixed size, and the shards'
 results merge by rank.
 
 Vectors that are null, or hold a null or non-finite component, take no part;
-missing components of shorter vectors weigh 0; a null id is no query and comes
+missing components of shorter vectors weigh 0;
+components of any size are compared exactly; a null id is no query and comes
 last among ties; repeated rows are vectors and queries of their own, and a query
 leaves out its own row alone; empty tables give no rows.
 """
@@ -39,11 +40,13 @@ STEP = 8
 
 
 def integer_vectors(df: DataFrame, id_col: str, vector_col: str, scale: int = 256) -> DataFrame:
-    """Rows (rid, id, v array<long>): floor(scale * component), of the vectors that take part."""
+    """Rows (rid, id, v array<double>): floor(scale * component), of the vectors that take part."""
     src = with_row_id(narrow(df, id=id_col, v=vector_col)).withColumn("v", F.col("v").cast("array<double>"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
     src = src.where(F.col("v").isNotNull() & ~F.coalesce(bad, F.lit(True)))
-    return src.withColumn("v", F.transform("v", lambda x: F.floor(x * scale).cast("long")))
+    # a long holds less than a double: from 2^52 on a double is a whole number as it is
+    whole = lambda x: F.when(F.abs(x) < F.lit(2.0 ** 52), F.floor(x).cast("double")).otherwise(x)
+    return src.withColumn("v", F.transform("v", lambda x: whole(x * F.lit(float(scale)))))
 
 
 class Shard:
@@ -111,7 +114,7 @@ class Shard:
 
 
 def matrix(vectors, width: int) -> np.ndarray:
-    x = np.zeros((len(vectors), width), np.int64)
+    x = np.zeros((len(vectors), width))
     for i, v in enumerate(vectors):
         x[i, :len(v)] = v
     return x
@@ -123,9 +126,56 @@ def exact_type(x: np.ndarray, q: np.ndarray):
     return np.float64 if most < 2 ** 52 else np.int64
 
 
+def moderate(x: np.ndarray) -> np.ndarray:
+    """Vectors so small that sums of products of any two of them, and their bounds, are exact in a long."""
+    return np.abs(x).max(axis=1, initial=0) < (2.0 ** 62 / max(1, x.shape[1])) ** 0.5
+
+
+def unbounded(x: np.ndarray) -> np.ndarray:
+    """The same whole numbers as Python's integers."""
+    most = np.finfo(np.float64).max
+    return np.frompyfunc(int, 1, 1)(np.clip(x, -most, most) if x.dtype.kind == "f" else x).astype(object)
+
+
+def rounded(score: int) -> float:
+    """A double that keeps the order of scores which no long holds."""
+    return float(max(-2 ** 1023, min(2 ** 1023, score)))
+
+
+class Block:
+    """The vectors of a shard: a ``Shard`` of the moderate ones, and those beyond, which are compared one by one."""
+
+    def __init__(self, rids: np.ndarray, x: np.ndarray, q: np.ndarray):
+        small = moderate(x)
+        self.rids, self.whole, self.small, self.beyond = rids, x, np.flatnonzero(small), np.flatnonzero(~small)
+        self.kind = exact_type(x[self.small], q[moderate(q)])
+        self.shard = Shard(rids[self.small], x[self.small].astype(self.kind))
+        self.large = unbounded(x[self.beyond])
+        self.every = None
+
+    def top(self, rid: int, q: np.ndarray, k: int):
+        """(place, score, size) of the k best vectors other than row ``rid``.
+
+        Scores that a long can't hold are its least or largest; ``size`` keeps their order.
+        """
+        if moderate(q[None])[0]:
+            at, score = self.shard.top(rid, q.astype(self.kind), k)
+            at, score = self.small[at], score.astype(np.int64)
+            if not len(self.beyond):
+                return at, score, score.astype(np.float64)
+            at, score = np.concatenate([at, self.beyond]), np.concatenate([unbounded(score), self.large @ unbounded(q)])
+        else:
+            if self.every is None:
+                self.every = unbounded(self.whole)
+            at, score = np.arange(len(self.whole)), self.every @ unbounded(q)
+        best = sorted((-s, a) for a, s in zip(at, score, strict=True) if self.rids[a] != rid)[:k]
+        return (np.array([a for _, a in best], np.int64), np.array([max(-2 ** 63, min(2 ** 63 - 1, -s)) for s, _ in best], np.int64),
+                np.array([rounded(-s) for s, _ in best], np.float64))
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, shard_rows: int = SHARD_ROWS,
           block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Rows (query_id, rank, id, score) from a written table (rid long, id long, v array<long>).
+    """Rows (query_id, rank, id, score) from a written table (rid long, id long, v array<double>).
 
     Each query of ``is_query`` meets all vectors: shards and blocks are joined
     by number, and each pair of them is one bounded group.
@@ -133,7 +183,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, shard_rows: int = SH
     counts = vectors.agg(F.count("*"), F.count(F.when(is_query & F.col("id").isNotNull(), 1))).first()
     shards, blocks = max(1, -(-counts[0] // shard_rows)), max(1, -(-counts[1] // block_rows))
     numbered = vectors.withColumn("no_id", F.col("id").isNull()).withColumn("id", F.coalesce("id", F.lit(0)))
-    deal = lambda n, salt: F.pmod(F.xxhash64("rid", F.lit(salt)), F.lit(n))
+    # both sides' keys have one type: a cogroup compares hashes, and equal numbers of two types have different ones
+    deal = lambda n, salt: F.pmod(F.xxhash64("rid", F.lit(salt)), F.lit(n)).cast("int")
     data = numbered.withColumn("shard", deal(shards, 1)).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     # names of their own: both sides of a cogroup come from one table
     asked = numbered.where(is_query & ~F.col("no_id")).select(
@@ -146,20 +197,19 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, shard_rows: int = SH
             left = left.sort_values(["no_id", "id", "rid"], kind="stable")
             width = max(int(left["v"].map(len).max()), int(right["q"].map(len).max()))
             x, q = matrix(left["v"], width), matrix(right["q"], width)
-            kind = exact_type(x, q)
-            shard = Shard(left["rid"].to_numpy(), x.astype(kind))
+            shard = Block(left["rid"].to_numpy(), x, q)
             no_id, ids = left["no_id"].to_numpy(), left["id"].to_numpy()
-            for query, query_id, row in zip(right["query"], right["query_id"], q.astype(kind), strict=True):
-                at, score = shard.top(query, row, k)
+            for query, query_id, row in zip(right["query"], right["query_id"], q, strict=True):
+                at, score, size = shard.top(query, row, k)
                 out.append(pd.DataFrame({"query": query, "query_id": query_id, "no_id": no_id[at], "id": ids[at],
-                                         "rid": shard.rids[at], "score": score.astype(np.int64)}))
+                                         "rid": shard.rids[at], "score": score, "size": size}))
         if not out:
-            return pd.DataFrame({c: [] for c in ("query", "query_id", "no_id", "id", "rid", "score")})
+            return pd.DataFrame({c: [] for c in ("query", "query_id", "no_id", "id", "rid", "score", "size")})
         return pd.concat(out, ignore_index=True)
 
     each = data.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(
-        search, "query long, query_id long, no_id boolean, id long, rid long, score long")
-    order = Window.partitionBy("query").orderBy(F.desc("score"), "no_id", "id", "rid")
+        search, "query long, query_id long, no_id boolean, id long, rid long, score long, size double")
+    order = Window.partitionBy("query").orderBy(F.desc("size"), F.desc("score"), "no_id", "id", "rid")
     best = each.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return best.select("query_id", "rank", F.when(~F.col("no_id"), F.col("id")).alias("id"), "score")
 

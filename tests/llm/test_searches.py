@@ -106,6 +106,36 @@ def test_top_k(spark, tmp_path):
     assert two.count() == 1
 
 
+def test_top_k_in_many_partitions(spark):
+    """Both sides of the cogroup meet wherever their keys are dealt."""
+    e = spark.read.parquet(f"{SF}/embeddings.parquet")
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "7"}
+    before = {c: spark.conf.get(c) for c in conf}
+    try:
+        for c, v in conf.items():
+            spark.conf.set(c, v)
+        got = rows(registry.op4_maxscore(spark, SF), "query_id", "rank", "vec_id", "score")
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    want = brute.top_k(rows(e, "vec_id", "embedding"))
+    assert want
+    same(got, want)
+
+
+def test_top_k_of_large_components(spark, tmp_path):
+    """Bounds, products and components beyond a long: scores that fit are exact."""
+    rng = random.Random(4)
+    vec = [(i, [rng.choice([-1, 1]) * 2e6 * rng.random() for _ in range(12)]) for i in range(160)]
+    vec += [(200 + i, [rng.gauss(0, 0.2) for _ in range(12)]) for i in range(101)]
+    vec += [(400, [1e30] + [0.0] * 11), (401, [-1e30] + [0.5] * 11), (403, [0.0] * 11 + [2.0 ** 60])]
+    spark.createDataFrame(vec, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/v")
+    table = spark.read.parquet(f"{tmp_path}/v")
+    fits = lambda s: max(-2 ** 63, min(2 ** 63 - 1, s))
+    want = [(q, r, i, fits(s)) for q, r, i, s in brute.top_k(rows(table, "vec_id", "embedding"))]
+    same(rows(maxscore.search(table, lambda i: i % 50 == 0), "query_id", "rank", "vec_id", "score"), want)
+
+
 def _written(df, tmp_path):
     df.write.parquet(f"{tmp_path}/written")
     return df.sparkSession.read.parquet(f"{tmp_path}/written")
