@@ -118,7 +118,8 @@ def q_json_explode_flatten(spark, d):
     """A15 -> JSON landing -> A3 explode -> A5 flatten -> B17 prune."""
     root = scratch_path(spark, "documents")
     lines = _line_docs(spark, d).drop("o_orderpriority", "chunk")
-    lines.write.mode("overwrite").json(root)
+    # field names come again in every item: as plain text the landing would be many times its input
+    lines.write.mode("overwrite").option("compression", "gzip").json(root)
     docs = documents.good_documents(documents.read_documents(spark, root, lines.schema, multi_line=False))
     items = documents.explode_payload(docs, "data")
     flat = flatten(prune_fields(items.select("item.*"), ["fieldTranslations"]), sep="_")
