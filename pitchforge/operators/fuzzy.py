@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from pitchforge.functions.text import lcs_udf, token_sort_key
 from pitchforge.operators.dedupe import first_per_key
+from pitchforge.operators.joins import shuffled
 
 #: Below this a string may have fewer characters than segments.
 LEAST_THRESHOLD = 70
@@ -104,11 +105,11 @@ def candidate_pairs(left_sorted: DataFrame, right_sorted: DataFrame, t: int, wit
     ``segs``: stored segments of the right side; of names that are not in ``right_sorted`` none comes back.
     """
     segs = right_segments(right_sorted, t, within) if segs is None else segs
-    pairs = left_probes(left_sorted, t, within).join(segs, ["a", "b", "seg_i", "seg_text", *within])
+    pairs = left_probes(left_sorted, t, within).join(shuffled(segs), ["a", "b", "seg_i", "seg_text", *within])
     pairs = pairs.select("ls", "rs", "a", "b", *within).distinct()
     lefts, rights = (df.select(c).distinct() if within else df for df, c in ((left_sorted, "ls"), (right_sorted, "rs")))
-    pairs = pairs.join(lefts.select("ls", numbered_characters(F.col("ls")).alias("lc")), "ls")
-    pairs = pairs.join(rights.select("rs", numbered_characters(F.col("rs")).alias("rc")), "rs")
+    pairs = pairs.join(shuffled(lefts.select("ls", numbered_characters(F.col("ls")).alias("lc"))), "ls")
+    pairs = pairs.join(shuffled(rights.select("rs", numbered_characters(F.col("rs")).alias("rc"))), "rs")
     common = F.size(F.array_intersect("lc", "rc"))
     return pairs.filter(common * F.lit(200) >= F.lit(t) * (F.col("a") + F.col("b"))).select("ls", "rs", *within)
 
@@ -149,10 +150,10 @@ def fuzzy_best_match(left: DataFrame, left_name: str, right: DataFrame, right_na
         "rs", F.col(right_order).alias("__rorder"), *right_cols)
 
     ls_distinct = lnames.select("ls").distinct()
-    exact = ls_distinct.join(rfirst.select("rs").withColumnRenamed("rs", "ls"), "ls", "left_semi")
+    exact = ls_distinct.join(shuffled(rfirst.select("rs").withColumnRenamed("rs", "ls")), "ls", "left_semi")
     exact_pairs = exact.select("ls", F.col("ls").alias("rs"), F.lit(100.0).alias("score"))
 
-    todo = ls_distinct.join(exact, "ls", "left_anti")
+    todo = ls_distinct.join(shuffled(exact), "ls", "left_anti")
     segs = None
     if index is not None:
         if index.threshold != t:
@@ -160,9 +161,9 @@ def fuzzy_best_match(left: DataFrame, left_name: str, right: DataFrame, right_na
         index.update(rfirst)
         segs = index.segments()
     scored = similar_pairs(todo, rfirst.select("rs"), t, segs=segs)
-    pairs = exact_pairs.unionByName(scored).join(rfirst, "rs")
+    pairs = exact_pairs.unionByName(scored).join(shuffled(rfirst), "rs")
     best = first_per_key(pairs, ["ls"], [F.col("score").desc(), F.col("__rorder").asc()])
-    return (lnames.join(best, "ls").select(F.col("lname").alias(left_name), "score",
+    return (lnames.join(shuffled(best), "ls").select(F.col("lname").alias(left_name), "score",
                                            *right_cols))
 
 

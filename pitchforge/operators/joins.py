@@ -17,6 +17,15 @@ from pyspark.sql import functions as F
 from pitchforge.operators.dedupe import keep_first, keep_last, latest_per_key
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """A side with a row per entity, marked for a shuffle join.
+
+    The rows of such a side compress so well that a shuffle of a few MB may hold
+    hundreds of MB of rows, and AQE would send them all through the driver.
+    """
+    return df.hint("merge")
+
+
 def left_lookup(df: DataFrame, lookup: DataFrame, left_on: str | Sequence[str],
                 right_on: str | Sequence[str], take: Mapping[str, str],
                 defaults: Mapping[str, object] | None = None) -> DataFrame:
@@ -124,18 +133,17 @@ def bounded_broadcast_join(big: DataFrame, small: DataFrame, on: str | Sequence[
     ``small`` (an aggregate or dimension) is first written to the shared
     checkpoint folder, so counting it costs one read of that small output
     rather than recomputing it.  Under ``max_rows`` it is broadcast (the
-    count is the proven bound); beyond it the join stays a shuffle join that
-    AQE can split when a key is hot.  ``materialized=True`` skips the write
+    count is the proven bound); beyond it the join is a shuffle join that
+    AQE can split when a key is hot, but not turn into a broadcast.  ``materialized=True`` skips the write
     for a side that is already stored (e.g. a checkpointed dimension).
     """
     from pitchforge.session import cut_lineage
 
     materialised = small if materialized else cut_lineage(small, name)
-    if materialised.count() <= max_rows:
-        materialised = F.broadcast(materialised)
+    materialised = F.broadcast(materialised) if materialised.count() <= max_rows else shuffled(materialised)
     return big.join(materialised, on, how)
 
 
 __all__ = ["left_lookup", "latest_join", "registry_lookup", "bridge_join", "attach_first",
            "membership_flag", "work_list", "upsert_mapping", "compare_entities",
-           "rank_lookup", "bounded_broadcast_join"]
+           "rank_lookup", "bounded_broadcast_join", "shuffled"]

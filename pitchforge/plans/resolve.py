@@ -21,12 +21,15 @@ from pitchforge.functions.text import token_sort_key
 from pitchforge.operators.dedupe import first_per_key, keep_last, mint_ids
 from pitchforge.operators.fuzzy import LEAST_THRESHOLD, fuzzy_best_match, similar_pairs
 from pitchforge.operators.fuzzy_index import SegmentIndex
+from pitchforge.operators.joins import bounded_broadcast_join, shuffled
 from pitchforge.session import cut_lineage
 from pitchforge.sources.files import latest_version_path, next_version_path
 
 PLACEHOLDER = "unknown"
 #: What an equal second key adds to the similarity of names, and what it scores alone.
 KEY_BONUS, KEY_SCORE = 20.0, 80.0
+#: Matched names that may be broadcast.
+NAME_ROWS = 50_000
 REGISTRY_COLUMNS = ["internal_id", "left_id", "right_id", "display_name"]
 
 
@@ -60,14 +63,14 @@ def second_key_candidates(todo: DataFrame, left: DataFrame, right: DataFrame, on
 
     first = others.groupBy("rs", *keys).agg(F.min("__r").alias("__r"))
     lefts = rows.select("ls", *keys).distinct()
-    pairs = similar_pairs(lefts, first.filter("rs <> ''").select("rs", *keys), LEAST_THRESHOLD, keys).join(first, ["rs", *keys])
+    pairs = similar_pairs(lefts, first.filter("rs <> ''").select("rs", *keys), LEAST_THRESHOLD, keys).join(shuffled(first), ["rs", *keys])
     best = first_per_key(pairs, ["ls", *keys], [F.col("score").desc(), F.col("__r").asc()])
-    close = rows.join(best, ["ls", *keys]).select(left_id, (F.col("score") + KEY_BONUS).alias("score"), "__r", F.lit("key+name").alias("evidence"))
+    close = rows.join(shuffled(best), ["ls", *keys]).select(left_id, (F.col("score") + KEY_BONUS).alias("score"), "__r", F.lit("key+name").alias("evidence"))
 
     alone = left.select(F.col(left_id), *[F.col(c).alias(k) for c, k in zip(on, keys, strict=True)]).dropna(subset=keys)
     alone = alone.groupBy(*keys).agg(F.min(left_id).alias(left_id), F.count(F.lit(1)).alias("__n")).filter("__n = 1").drop("__n")
     only = others.groupBy(*keys).agg(F.min("__r").alias("__r"), F.count(F.lit(1)).alias("__n")).filter("__n = 1").drop("__n")
-    lone = alone.join(only, keys).join(todo.select(left_id), left_id, "left_semi").select(
+    lone = alone.join(shuffled(only), keys).join(shuffled(todo.select(left_id)), left_id, "left_semi").select(
         left_id, F.lit(KEY_SCORE).alias("score"), "__r", F.lit("key").alias("evidence"))
     return close.unionByName(lone).select(left_id, "score", "__r.*", "evidence")
 
@@ -95,7 +98,7 @@ def resolve_entities(left: DataFrame, right: DataFrame, registry: DataFrame | No
                                              "right_id string, display_name string")
     reg = keep_last(registry.withColumn("__n", F.regexp_extract("internal_id", r"(\d+)$", 1)
                                         .cast("bigint")), ["left_id"], ["__n"])
-    known = left.join(reg.select(F.col("left_id").alias(left_id), "internal_id"), left_id, "left")
+    known = left.join(reg.select(F.col("left_id").alias(left_id), "internal_id").transform(shuffled), left_id, "left")
     todo = known.filter(F.col("internal_id").isNull() & F.col(left_norm).isNotNull() &
                         (F.col(left_norm) != ""))
     candidates = right.select(right_norm, right_order,
@@ -109,14 +112,15 @@ def resolve_entities(left: DataFrame, right: DataFrame, registry: DataFrame | No
     else:
         place = F.col(right_order).alias("__rorder")
         # several right rows with one id: the match's own is the first
-        named = best.join(candidates.groupBy("__rid").agg(F.min(right_order).alias(right_order)), "__rid")
-        named = todo.select(left_id, left_norm).join(named, left_norm).select(
+        named = best.join(shuffled(candidates.groupBy("__rid").agg(F.min(right_order).alias(right_order))), "__rid")
+        # a frequent name has many left rows: few matched names are broadcast once they are counted
+        named = bounded_broadcast_join(todo.select(left_id, left_norm), named, left_norm, "inner", max_rows=NAME_ROWS, name="named").select(
             left_id, "score", place, "__rid", "__rraw", F.lit("name").alias("evidence"))
         keyed = second_key_candidates(todo, left, right, second_key, left_id=left_id, left_norm=left_norm,
                                       right_id=right_id, right_norm=right_norm, right_raw=right_raw, right_order=right_order)
         found = first_per_key(named.unionByName(keyed), [left_id], [F.col("score").desc(), F.col("__rorder").asc(), F.col("evidence").asc()])
         found = cut_lineage(found.select(F.col(left_id).alias("__found"), "__rid", "__rraw", "evidence"), "matches")
-        entries = entries.join(found, F.col(left_id) == F.col("__found"), "left")
+        entries = entries.join(shuffled(found), F.col(left_id) == F.col("__found"), "left")
     entries = entries.select(
         F.col(left_id).cast("string").alias("left_id"), left_order,
         F.coalesce(F.col("__rid"), F.lit(PLACEHOLDER)).alias("right_id"),
@@ -130,15 +134,15 @@ def resolve_entities(left: DataFrame, right: DataFrame, registry: DataFrame | No
     # one entry for each left id (the last one), so no left row is doubled
     ids = reg.select(*REGISTRY_COLUMNS).unionByName(minted).select(
         F.col("left_id").alias("__lid"), "internal_id", F.col("right_id").alias("__bridge"))
-    merged = left.join(ids, F.col(left_id).cast("string") == F.col("__lid"), "left").drop("__lid")
+    merged = left.join(shuffled(ids), F.col(left_id).cast("string") == F.col("__lid"), "left").drop("__lid")
     keep = [c for c in right.columns if c not in merged.columns]
     rside = right.select(F.col(right_id).cast("string").alias("__rk"), *keep)
     # the placeholder matches nothing: as null it isn't dealt to one task
     target = F.when(F.col("__bridge") != PLACEHOLDER, F.col("__bridge"))
     merged = merged.withColumn("__target", target).join(
-        rside, F.col("__target") == F.col("__rk"), "left").drop("__rk", "__target")
+        shuffled(rside), F.col("__target") == F.col("__rk"), "left").drop("__rk", "__target")
     if second_key is not None:
-        merged = merged.join(found.select(F.col("__found").alias(left_id), "evidence"), left_id, "left")
+        merged = merged.join(shuffled(found.select(F.col("__found").alias(left_id), "evidence")), left_id, "left")
     return merged.withColumnRenamed("__bridge", "bridge_id"), new_registry
 
 

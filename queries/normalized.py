@@ -10,6 +10,7 @@ import sql_oracles as O
 from pitchforge.functions.scalars import run_date_col
 from pitchforge.operators import contract
 from pitchforge.operators.fuzzy_index import SegmentIndex
+from pitchforge.operators.joins import shuffled
 from pitchforge.operators.scd2 import scd2_load
 from pitchforge.plans import normalize
 from pitchforge.plans.resolve import load_registry, resolve_entities, save_registry
@@ -220,7 +221,7 @@ def _with_second_key(df: DataFrame, spark: SparkSession, d: str, on: str, born:
     p = table(spark, d, "part").select(F.col("p_partkey").cast(df.schema[on].dataType).alias(on), F.when(
         F.col("p_partkey") % 13 != 0, F.date_add(F.to_date(F.lit("1990-01-01")), F.pmod("p_partkey", F.lit(20)).cast("int"))).alias(born),
         F.col("p_size").alias(team))
-    return df.join(p, on)
+    return df.join(shuffled(p), on)
 
 
 def q_resolve_second_key(spark: SparkSession, d: str) -> DataFrame:
@@ -233,7 +234,7 @@ def q_resolve_second_key(spark: SparkSession, d: str) -> DataFrame:
         _with_second_key(left, spark, d, "left_id", "born", "team"), _with_second_key(right, spark, d, "right_id", "dob", "club"), None,
         second_key={"born": "dob", "team": "club"}, **_NAMES)
     return merged.select("left_id", "internal_id", "bridge_id", "right_raw", "evidence").join(
-        registry.select("left_id", F.col("display_name").alias("registered_as")), "left_id", "left")
+        shuffled(registry.select("left_id", F.col("display_name").alias("registered_as"))), "left_id", "left")
 
 
 def _sql_second_key() -> str:

@@ -15,6 +15,25 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_sides_with_a_row_per_entity_are_not_broadcast(spark):
+    """They would all pass through the driver."""
+    rows = spark.createDataFrame([(f"p{i}", float(i), True) for i in range(20)], "k string, x double, is_current boolean")
+    assert "Broadcast" not in plan(bounded_broadcast_join(rows, rows.select("k"), "k", "left", max_rows=0))
+    assert "BroadcastHashJoin" not in plan(detect_changes(rows.drop("is_current"), rows, "k", ["x"]))
+
+
+def test_resolution_joins_rows_by_shuffle(spark):
+    left = spark.createDataFrame([(i, f"name {i} x", f"Name {i} X", i, i % 3) for i in range(9)],
+                                 "lid int, ln string, lr string, lo int, k1 int")
+    right = spark.createDataFrame([(f"r{i}", f"name {i} x", f"Name {i} X", i, i % 3) for i in range(9)],
+                                  "rid string, rn string, rr string, ro int, k2 int")
+    merged, _ = resolve_entities(left, right, None, left_id="lid", left_norm="ln", left_raw="lr", left_order="lo", right_id="rid",
+                                 right_norm="rn", right_raw="rr", right_order="ro", second_key={"k1": "k2"})
+    # only the offsets of the dense key, one row for each partition, are broadcast
+    assert plan(merged).count("BroadcastHashJoin") <= 1
+    assert sorted((r["lid"], r["bridge_id"], r["evidence"]) for r in merged.collect()) == [(i, f"r{i}", "key+name") for i in range(9)]
+
+
 def tables(spark, tmp_path):
     """Lines with whole, fractional, negative, large and missing numbers; orders without lines, customer or date."""
     lines = [(1, 1, 3.0, 0.05, 0.02, "R", "O"), (1, 2, 0.5, 0.06, 0.08, "A", "F"), (2, 1, -4.0, 0.0, 0.0, "N", "F"),
