@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchforge.operators.dedupe import first_per_key, keep_last
+from pitchforge.operators.joins import shuffled
 from pitchforge.session import cut_lineage
 
 SCD_COLS = ("is_current", "valid_from", "valid_to")
@@ -57,7 +58,7 @@ def detect_changes(new: DataFrame, silver: DataFrame | None, key: str,
     active = F.col("is_current").eqNullSafe(F.lit(True))
     state = silver.groupBy(key).agg(F.lit(True).alias("__known"), F.max(F.when(active, F.struct(
         F.lit(True).alias("__has_cur"), *[F.col(c).alias(f"__cur_{c}") for c in present]))).alias("__s"))
-    tagged = resolved.join(state, key, "left").select(
+    tagged = resolved.join(shuffled(state), key, "left").select(
         *resolved.columns, "__known", "__s.__has_cur", *[f"__s.__cur_{c}" for c in present])
     types = {f.name: f.dataType for f in resolved.schema.fields}
     diffs = [_differs(F.col(c) if c in resolved.columns else F.lit(None),
@@ -87,7 +88,7 @@ def apply_scd2(tagged: DataFrame, silver: DataFrame | None, key: str, run_date:
     # null flags count as not current and null dates as another day: no row may fall between
     active = F.col("is_current").eqNullSafe(F.lit(True))
     history = silver.filter(~active)
-    current = silver.filter(active).join(changed, key, "left")
+    current = silver.filter(active).join(shuffled(changed), key, "left")
     hit = F.col("__chg").isNotNull()
     same_day = hit & F.col("valid_from").eqNullSafe(run_date.cast("date"))
     current = (current.filter(~same_day)
@@ -120,7 +121,7 @@ def enrich_non_tracked(result: DataFrame, new: DataFrame, key: str) -> DataFrame
     for c in new_cols:
         if c not in out.columns:
             out = out.withColumn(c, F.lit(None).cast(new.schema[c].dataType))
-    out = out.join(src, key, "left")
+    out = out.join(shuffled(src), key, "left")
     active = F.col("is_current") == F.lit(True)
     out = out.withColumns({c: F.when(active, F.col(f"__new_{c}")).otherwise(F.col(c))
                            for c in new_cols})

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchforge.operators.dedupe import first_per_key, keep_last
+from pitchforge.operators.joins import bounded_broadcast_join, shuffled
 from pitchforge.operators.scd2 import SCD_COLS, detect_changes
 from pitchforge.session import cut_lineage
 from pitchforge.sources.files import versions
@@ -40,6 +41,8 @@ BUCKET = "__bucket"
 WORD = 60
 #: Closed segments that a version names before a load merges them into one.
 MAX_SEGMENTS = 64
+#: Changed keys of a load that may be broadcast.
+DELTA_ROWS = 100_000
 
 
 @dataclass
@@ -206,10 +209,11 @@ class HistoryStore:
         touched = {r[0] for r in status.select(BUCKET).distinct().collect()}  # at most the number of buckets
         if touched:
             state = self.latest(m, touched).withColumn(BUCKET, self.bucket_of(m.buckets))
-            inserts = snapshot.join(status.select(self.key), self.key, "left_semi").withColumns(opened)
+            inserts = bounded_broadcast_join(snapshot, status.select(self.key), self.key, "left_semi", max_rows=DELTA_ROWS,
+                                             materialized=True).withColumns(opened)
             changed = status.filter("__status = 'changed'").select(self.key, F.lit(True).alias("__chg"))
             hit = F.col("__chg").isNotNull() & F.col("is_current").eqNullSafe(True)
-            marked = state.join(changed, self.key, "left").withColumn("__hit", hit)
+            marked = bounded_broadcast_join(state, changed, self.key, "left", max_rows=DELTA_ROWS, materialized=True).withColumn("__hit", hit)
             closes = marked.filter(F.col("__hit") & ~F.col("valid_from").eqNullSafe(day)).withColumns(
                 {"valid_to": day, "is_current": F.lit(False)})
             stays = marked.filter(~F.col("__hit")).drop("__chg", "__hit").unionByName(inserts, allowMissingColumns=True)
@@ -246,7 +250,7 @@ class HistoryStore:
     def enriched(self, m: Manifest, snapshot: DataFrame, copied: Sequence[str]) -> DataFrame:
         """All latest rows, with columns that no row has a value in copied from the snapshot onto current ones."""
         source = snapshot.filter(F.col(self.key).isNotNull()).select(self.key, *[F.col(c).alias(f"__new_{c}") for c in copied])
-        rows = self.latest(m).withColumn(BUCKET, self.bucket_of(m.buckets)).join(source, self.key, "left")
+        rows = self.latest(m).withColumn(BUCKET, self.bucket_of(m.buckets)).join(shuffled(source), self.key, "left")
         active = F.col("is_current").eqNullSafe(True)
         return rows.withColumns({c: F.when(active, F.col(f"__new_{c}")) for c in copied}).drop(*[f"__new_{c}" for c in copied])
 

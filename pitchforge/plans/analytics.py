@@ -20,7 +20,7 @@ from pitchforge.functions.scalars import (millions, radar_multiplier, round_half
 from pitchforge.operators.aggregates import axis_stats, value_counts
 from pitchforge.operators.columns import column_or, mode_switch, name_matches, participation
 from pitchforge.operators.dedupe import display_rank, keep_first
-from pitchforge.operators.joins import attach_first, bounded_broadcast_join
+from pitchforge.operators.joins import attach_first, bounded_broadcast_join, shuffled
 
 TEAM_LOGO = ("https://img.example.org/team/", "/image")
 
@@ -72,11 +72,11 @@ def dashboard_frame(star: Mapping[str, DataFrame], silver: DataFrame) -> DataFra
     s_cols += [F.coalesce(column_or(cur, src, F.lit(None).cast("double")), F.lit(0.0)).alias(dst)
                for dst, src in DASHBOARD_ZERO_DEFAULT.items()]
     s = cur.select(F.col("internal_player_id").alias("__sid"), *s_cols)
-    out = f.join(p, "player_key", "left")
+    out = f.join(shuffled(p), "player_key", "left")
     # a team or league may hold a third of the fact: small dimensions are broadcast after a size check
     for dim, key in ((t, "team_key"), (pos, "position_key"), (tour, "tournament_key")):
         out = bounded_broadcast_join(out, dim, key, "left", materialized=True)
-    out = out.join(s, F.col("internal_player_id") == F.col("__sid"), "left").drop("__sid")
+    out = out.join(shuffled(s), F.col("internal_player_id") == F.col("__sid"), "left").drop("__sid")
     return out.withColumn("scout_score", round_half_up(F.col("final_scout_score"), 2)).drop(
         "player_key", "team_key", "position_key", "tournament_key", "season_key",
         "final_scout_score")

@@ -17,6 +17,7 @@ from pitchforge.functions.positions import scoring_group
 from pitchforge.functions.scalars import clip, per90, underdog_multiplier
 from pitchforge.operators.columns import column_or, sample_status, with_default
 from pitchforge.operators.dedupe import dense_key
+from pitchforge.operators.joins import shuffled
 from pitchforge.operators.scaling import scale_by_group
 from pitchforge.session import cut_lineage
 
@@ -147,7 +148,7 @@ def prepare_rating_input(silver: DataFrame, order_key: str = "internal_player_id
     else:
         df = df.withColumn("__rid", F.monotonically_increasing_id())
         numbered = dense_key(df.select(order_key, "__rid"), [F.col(order_key).asc_nulls_last(), "__rid"], "__row", start=0)
-        missing = df.filter(known.isNull()).join(numbered.select("__rid", "__row"), "__rid")
+        missing = df.filter(known.isNull()).join(shuffled(numbered.select("__rid", "__row")), "__rid")
         fallback = F.lit(FALLBACK_RATING_BASE) + \
             F.pmod(F.col("__row"), F.lit(10)).cast("double") * F.lit(FALLBACK_RATING_STEP)
         df = df.filter(known.isNotNull()).withColumn("base_rating", known).unionByName(

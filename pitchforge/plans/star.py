@@ -19,7 +19,7 @@ from pitchforge.functions.positions import (FALLBACK_LEAGUES, general_position,
 from pitchforge.functions.scalars import round_half_up, season_bounds, short_name
 from pitchforge.operators.columns import column_or
 from pitchforge.operators.dedupe import dense_key, small_dense_key
-from pitchforge.operators.joins import bounded_broadcast_join
+from pitchforge.operators.joins import bounded_broadcast_join, shuffled
 from pitchforge.operators.setops import union_domains
 
 FALLBACK_SEASONS = ["2025-2026"]
@@ -123,7 +123,7 @@ def build_fact(silver: DataFrame, dims: dict[str, DataFrame],
         column_or(cur, "goals_sfs", None).cast("double").alias("goals"),
         column_or(cur, "assists_sfs", None).cast("double").alias("assists"))
     players = _current(dims["player"]).select("internal_player_id", "player_key")
-    fact = base.join(players, "internal_player_id", "left")
+    fact = base.join(shuffled(players), "internal_player_id", "left")
     fact = bounded_broadcast_join(
         fact, dims["team"].select(F.col("name").alias("__team"), "team_key"), "__team", "left",
         name="dim-team", materialized=True)
@@ -137,7 +137,7 @@ def build_fact(silver: DataFrame, dims: dict[str, DataFrame],
         fact, dims["season"].select(F.col("name").alias("__season"), "season_key"),
         "__season", "left", name="dim-season", materialized=True)
     if rating is not None and "final_scout_score" in rating.columns:
-        fact = fact.join(rating.select("internal_player_id", "final_scout_score"),
+        fact = fact.join(shuffled(rating.select("internal_player_id", "final_scout_score")),
                          "internal_player_id", "left")
     else:
         fact = fact.withColumn("final_scout_score", F.lit(0.0))
