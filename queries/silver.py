@@ -21,14 +21,16 @@ TRACKED = O.TRACKED
 RUNS = [("2026-05-01", "1998-01-01"), ("2026-05-04", "2000-01-01"), ("2026-05-04", None)]
 
 
-def order_lines(spark: SparkSession, d: str) -> DataFrame:
-    """The per-order line aggregate is the same for every snapshot."""
-    return stored(spark, d, "order-lines", lambda: analogs.order_lines(spark, d))
+def periods(spark: SparkSession, d: str) -> analogs.Periods:
+    """What customers did between the cut-offs is the same for every snapshot."""
+    cutoffs = sorted({as_of for _, as_of in RUNS if as_of})
+    return analogs.Periods(cutoffs, stored(spark, d, "period-metrics", lambda: analogs.period_metrics(spark, d, cutoffs)),
+                           stored(spark, d, "period-latest", lambda: analogs.period_latest(spark, d, cutoffs)))
 
 
 def snapshot(spark: SparkSession, d: str, as_of: str | None) -> DataFrame:
     return stored(spark, d, f"snapshot-{as_of}",
-                  lambda: analogs.silver_players(spark, d, as_of, order_lines(spark, d)))
+                  lambda: analogs.silver_players(spark, d, as_of, periods(spark, d)))
 
 
 def history_after(spark: SparkSession, d: str, n_runs: int) -> DataFrame:

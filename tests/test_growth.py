@@ -50,6 +50,39 @@ def tables(spark, tmp_path):
     return str(tmp_path)
 
 
+def plain_metrics(spark, d, as_of):
+    """Per customer, from every line joined to its orders."""
+    li = spark.read.parquet(f"{d}/lineitem.parquet")
+    aggs = [F.count(F.lit(1)).alias("n_li"), F.sum("l_quantity").alias("qty"), F.sum(F.round(F.col("l_discount") * 100)).alias("disc_pts"),
+            F.sum(F.round(F.col("l_tax") * 100)).alias("tax_pts")] + [F.count_if(c).alias(n) for n, c in analogs._line_counts().items()]
+    o = analogs.orders_as_of(spark, d, as_of)
+    j = li.groupBy("l_orderkey").agg(*aggs).join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    alt = F.col("o_orderpriority") == analogs.ALT_PRIORITY
+    out = [F.sum(c).alias(c) for c in ("n_li", "qty", "disc_pts", "tax_pts")]
+    out += [F.count(F.lit(1)).alias("appearances"), F.count_if(F.col("o_orderstatus") == "F").alias("clean_sheet")]
+    out += [F.sum(F.when(alt, F.col("n_li")).otherwise(0)).alias("n_li_alt")] + [F.sum(n).alias(n) for n in analogs._line_counts()]
+    out += [F.sum(F.when(alt, F.col(n)).otherwise(0)).alias(f"{n}_alt") for n in analogs.ALT_COUNTS]
+    return j.groupBy(F.col("o_custkey").alias("custkey")).agg(*out)
+
+
+def test_metrics_of_all_snapshots_from_one_pass(spark, tmp_path):
+    d, cutoffs = tables(spark, tmp_path), ["1998-01-01", "2000-01-01"]
+    periods = analogs.Periods(cutoffs, analogs.period_metrics(spark, d, cutoffs), analogs.period_latest(spark, d, cutoffs))
+    key = lambda r: str(r[0])
+    for as_of in (*cutoffs, None):
+        want = plain_metrics(spark, d, as_of)
+        for got in (analogs.customer_metrics(spark, d, as_of, periods), analogs.customer_metrics(spark, d, as_of)):
+            assert sorted(map(tuple, got.select(*want.columns).collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
+        latest = lambda p: {tuple(r) for r in analogs.latest_orders(spark, d, as_of, p).filter("o_custkey is not null").collect()}  # noqa: E731, B023
+        assert latest(periods) == latest(None)
+
+
+def test_lines_are_dealt_before_they_are_aggregated(spark, tmp_path):
+    """A map-side aggregate per order holds a wide row for nearly every line."""
+    text = plan(analogs.order_lines(spark, tables(spark, tmp_path)))
+    assert "HashAggregate" in text and "HashAggregate" not in text[text.index("Exchange"):]
+
+
 def test_landed_json_is_compressed(spark, tmp_path, monkeypatch):
     from queries import sources
     monkeypatch.setattr(sources, "scratch_path", lambda spark, name: f"{tmp_path}/{name}")
